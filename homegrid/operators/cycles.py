@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from homegrid.functions.clock import DAY, epoch_seconds, floor_div, from_seconds
-from homegrid.operators.series import BUCKET, bucket_of, explode_range, with_neighbours
+from homegrid.operators.series import BUCKET, bucket_of, explode_range, in_buckets, with_neighbours
 
 DEVICE = ("dev_id",)
 QUIET_SECONDS = 300
@@ -22,9 +22,8 @@ MIN_CYCLE_SECONDS = 5400
 
 def _per_second(means: DataFrame, keys: Sequence[str]) -> DataFrame:
     sec = epoch_seconds("timestamp")
-    return means.filter(F.col("watts").isNotNull()).select(
-        *keys, sec.alias("_sec"), "watts", bucket_of(sec).alias(BUCKET)
-    )
+    rows = means.filter(F.col("watts").isNotNull()).select(*keys, sec.alias("_sec"), "watts")
+    return in_buckets(rows, F.col("_sec"), keys)
 
 
 def cycle_marks(

@@ -39,6 +39,18 @@ def bucket_of(seconds: Column | str, width: int = DAY) -> Column:
     return floor_div(seconds, width)
 
 
+def in_buckets(df: DataFrame, seconds: Column, keys: Sequence[str], width: int = DAY) -> DataFrame:
+    """Add the bucket, without rows that have no key or time.
+
+    The join of a carry drops NULL keys on one side; dropped on both, the two sides read
+    the same exchange.
+    """
+    rows = df.withColumn(BUCKET, bucket_of(seconds, width))
+    for name in (*keys, BUCKET):
+        rows = rows.filter(F.col(name).isNotNull())
+    return rows
+
+
 def with_neighbours(
     df: DataFrame, order: str, keys: Sequence[str], prev: str | None = None, next: str | None = None
 ) -> DataFrame:
@@ -180,12 +192,11 @@ def bfill_intervals(
     if skip_null:
         readings = readings.filter(F.col(value).isNotNull())
     # cell of the last label at or before the reading
-    cells = (
-        readings.groupBy(*keys, floor_div(epoch_seconds(ts), step).alias("hi"))
-        .agg(F.min_by(value, ts).alias(value))
-        .withColumn(BUCKET, bucket_of(F.col("hi") * step))
+    cells = readings.groupBy(*keys, floor_div(epoch_seconds(ts), step).alias("hi")).agg(
+        F.min_by(value, ts).alias(value)
     )
-    return with_neighbours(cells, "hi", keys, prev="_prev").select(
+    rows = in_buckets(cells, F.col("hi") * step, keys)
+    return with_neighbours(rows, "hi", keys, prev="_prev").select(
         *keys, F.coalesce(F.col("_prev.hi") + 1, F.col("hi")).alias("lo"), "hi", value
     )
 
@@ -231,9 +242,9 @@ def resample_ffill(
             F.min(low).alias("_low"),
             F.max(low).alias("_high"),
         )
-        .withColumn(BUCKET, bucket_of(F.col("_cell") * seconds))
     )
-    rows = with_neighbours(cells, "_cell", keys, prev="_prev", next="_next")
+    buckets = in_buckets(cells, F.col("_cell") * seconds, keys)
+    rows = with_neighbours(buckets, "_cell", keys, prev="_prev", next="_next")
     held = F.struct(
         F.col("_cell").alias("_lo"),
         F.coalesce(F.col("_next._cell") - 1, F.col("_high")).alias("_hi"),
@@ -261,9 +272,8 @@ def sampling_step(
     Equal steps are counted first, so the median is taken over the distinct ones.
     """
     keys = list(keys)
-    rows = df.select(
-        *keys, epoch_micros(ts).alias("_us"), bucket_of(epoch_seconds(ts)).alias(BUCKET)
-    ).filter("_us is not null")
+    micros = df.filter(F.col(ts).isNotNull()).select(*keys, epoch_micros(ts).alias("_us"))
+    rows = in_buckets(micros, floor_div(F.col("_us"), 1_000_000), keys)
     steps = (
         with_neighbours(rows, "_us", keys, prev="_prev")
         .select(*keys, (F.col("_us") - F.col("_prev._us")).alias("_step"))
@@ -346,10 +356,8 @@ def rolling_row_sum(
 ) -> DataFrame:
     """Sum of the row and the ``n - 1`` after it; NULL unless all ``n`` have a value."""
     keys = list(keys)
-    rows = (
-        df.filter(F.col(ts).isNotNull())
-        .withColumns({"_us": epoch_micros(ts), BUCKET: bucket_of(epoch_seconds(ts))})
-        .withColumn("_value", F.col(value).cast("double"))
+    rows = in_buckets(df.filter(F.col(ts).isNotNull()), epoch_seconds(ts), keys).withColumns(
+        {"_us": epoch_micros(ts), "_value": F.col(value).cast("double")}
     )
     ahead = Window.partitionBy(*keys, BUCKET).orderBy("_us").rowsBetween(0, n - 1)
     later = F.filter(
