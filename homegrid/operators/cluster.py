@@ -1,7 +1,11 @@
-"""Clusters of cycle profiles with Spark ML.
+"""Clusters of cycle profiles.
 
 A profile becomes a vector with one element per step, as long as the longest cycle and
 0 after the end of a shorter one. Pick ``step_s`` of the profiles to bound that length.
+
+:func:`cluster_cycles` fits Spark ML's k-means to one population of cycles.
+:func:`cluster_devices` clusters the cycles of every device on their own, all in the same
+jobs, so that many devices do not mean a loop of many small fits.
 """
 
 from __future__ import annotations
@@ -13,10 +17,12 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import MinMaxScaler
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from homegrid.session import stored_copy
+
 DEVICE = ("dev_id",)
 WATT_SECONDS_PER_KWH = 3_600_000
 PARALLEL_FITS = 4
@@ -58,6 +64,116 @@ def cluster_cycles(
     return _fit(vectors, k, seed).transform(vectors).select(*keys, "cycle_start", "cluster")
 
 
+# -- every device on its own ----------------------------------------------------------
+
+
+def _scaled_arrays(profiles: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One array per cycle, min-max scaled per device and elapsed second.
+
+    A cycle that has ended counts as 0 watts, which is also the scaled 0.
+    """
+    ranges = profiles.groupBy(*keys, "t").agg(
+        F.min("watts").alias("_min"), F.max("watts").alias("_max"), F.count("*").alias("_n")
+    )
+    # every cycle has a reading at 0 seconds, so the largest count is that of all cycles
+    all_cycles = F.max("_n").over(Window.partitionBy(*keys))
+    ranges = ranges.withColumn("_cycles", all_cycles).select(
+        *keys, "t", "_max", F.when(F.col("_n") < F.col("_cycles"), 0.0).otherwise(F.col("_min")).alias("_min")
+    )
+    width = F.col("_max") - F.col("_min")
+    scaled = F.when(width > 0, (F.col("watts") - F.col("_min")) / width).otherwise(0.0)
+    points = F.sort_array(F.collect_list(F.struct("t", scaled.alias("x"))))
+    return (
+        profiles.join(ranges, [*keys, "t"])
+        .groupBy(*keys, "cycle_start")
+        .agg(points["x"].alias("x"), F.sum("watts").alias("_total"))
+    )
+
+
+def _first_centers(arrays: DataFrame, k: int, keys: Sequence[str]) -> DataFrame:
+    """Of the cycles of a device in order of their use, those in the middle of k equal parts."""
+    order = Window.partitionBy(*keys).orderBy("_total", "cycle_start")
+    ranked = arrays.select(
+        *keys,
+        "cycle_start",
+        (F.row_number().over(order) - 1).alias("_rank"),
+        F.count("*").over(Window.partitionBy(*keys)).alias("_cycles"),
+    )
+    middle = F.floor((F.col("_part") * 2 + 1) * F.col("_cycles") / F.lit(2 * k))
+    chosen = (
+        ranked.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
+        .filter(F.col("_rank") == middle)
+        .groupBy(*keys, "cycle_start")
+        .agg(F.min("_part").alias("cluster"))
+    )
+    return arrays.join(chosen, [*keys, "cycle_start"]).select(*keys, "cluster", "x")
+
+
+def _nearest(arrays: DataFrame, centers: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Label of the center at the smallest squared distance, the lower label in a tie."""
+    per_device = centers.groupBy(*keys).agg(F.collect_list(F.struct("cluster", "x")).alias("_centers"))
+
+    def squared(a: Column, b: Column) -> Column:
+        gap = F.coalesce(a, F.lit(0.0)) - F.coalesce(b, F.lit(0.0))
+        return gap * gap
+
+    def candidate(center: Column) -> Column:
+        distance = F.aggregate(
+            F.zip_with(F.col("x"), center["x"], squared), F.lit(0.0), lambda acc, d: acc + d
+        )
+        return F.struct(distance.alias("distance"), center["cluster"].alias("cluster"))
+
+    best = F.array_min(F.transform("_centers", candidate))
+    return arrays.join(per_device, list(keys)).select(
+        *keys, "cycle_start", "x", best["cluster"].alias("cluster")
+    )
+
+
+def _means(assigned: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Mean array per cluster. Position 0 carries a 1 per cycle, so its sum is their number."""
+    by = [*keys, "cluster"]
+    counted = F.concat(F.array(F.lit(1.0)), "x")
+    sums = (
+        assigned.select(*by, F.posexplode(counted).alias("_pos", "_v"))
+        .groupBy(*by, "_pos")
+        .agg(F.sum("_v").alias("_sum"))
+        .groupBy(*by)
+        .agg(F.sort_array(F.collect_list(F.struct("_pos", "_sum"))).alias("_sums"))
+    )
+    total = F.col("_sums._sum")
+    rest = F.slice(total, F.lit(2), F.size("_sums") - 1)
+    return sums.select(*by, F.transform(rest, lambda v: v / total[0]).alias("_new"))
+
+
+def cluster_devices(
+    profiles: DataFrame, k: int = 3, rounds: int = 10, keys: Sequence[str] = DEVICE
+) -> DataFrame:
+    """k-means label of each cycle within its device, for all devices at once.
+
+    ``profiles`` is read twice, so give a stored table. The first centers are fixed
+    cycles: labels are the same in each run. Arrays and the centers of each round are
+    tables in the shared folder, so a lost executor costs at most the round at hand. A
+    center without cycles stays where it was. Stops early when no center moves.
+    """
+    arrays = stored_copy(_scaled_arrays(profiles, keys), "arrays")
+    centers = stored_copy(_first_centers(arrays, k, keys), "centers")
+    for _ in range(rounds):
+        means = _means(_nearest(arrays, centers, keys), keys)
+        x = F.coalesce("_new", "x")
+        centers = stored_copy(
+            centers.join(means, [*keys, "cluster"], "left").select(
+                *keys, "cluster", x.alias("x"), (x != F.col("x")).alias("moved")
+            ),
+            "centers",
+        )
+        if centers.filter("moved").isEmpty():
+            break
+    return _nearest(arrays, centers, keys).drop("x")
+
+
+# -- what the clusters look like ------------------------------------------------------
+
+
 def cluster_profiles(
     profiles: DataFrame, labels: DataFrame, keys: Sequence[str] = DEVICE
 ) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from homegrid.functions import epoch_seconds, normalize_soc
 from homegrid.operators import cluster, cycles, daily, dashboard, devices, prices, series, weather
 from homegrid.plans import jobs, views
-from homegrid.session import shared_dir
+from homegrid.session import shared_dir, stored_copy
 from homegrid.sinks import keyed, typed
 from homegrid.sources import payloads, tables
 from homegrid.streaming import ingest
@@ -26,6 +26,7 @@ QUERIES: dict[str, Query] = {}
 DIGITS = 4
 FINE_DIGITS = 6  # for prices per kWh, whose sums have up to six decimals
 STEP_S = 60
+ROUNDS = 3  # k-means rounds, also in the SQL
 SLOT = "15 minutes"
 LOCAL = "Europe/Copenhagen"
 STAMP = "yyyy-MM-dd'T'HH:mm:ss'+00:00'"
@@ -454,6 +455,16 @@ def cluster_cycles(ev):
     return cluster.cluster_cycles(_profiles(ev))
 
 
+@query
+def cluster_devices(ev):
+    return cluster.cluster_devices(stored_copy(_profiles(ev), "profiles"), rounds=ROUNDS)
+
+
+@query
+def appliance_summary(ev):
+    return jobs.appliance_summary(views.consumption(ev), rounds=ROUNDS, step_s=STEP_S)
+
+
 @source_query
 def cluster_elbow(spark, sf_dir):
     return cluster.k_sweep(spark, _profiles(views.events(spark, sf_dir)))

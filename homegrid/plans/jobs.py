@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from homegrid.operators.cluster import cluster_cycles, cluster_profiles, cluster_usage
+from homegrid.operators.cluster import cluster_devices, cluster_profiles, cluster_usage
 from homegrid.operators.cycles import cycle_marks, cycle_pairs, cycle_profiles
 from homegrid.operators.devices import device_readings, second_means
 from homegrid.operators.prices import clean_prices, union_prices
@@ -19,6 +17,7 @@ from homegrid.operators.series import (
     rolling_time_sum,
     sampling_step,
 )
+from homegrid.session import stored_copy
 
 PRICE_WINDOW = "3 hours"
 PRICE_STEP = "15 minutes"
@@ -60,15 +59,9 @@ def appliance_profiles(
 
 
 def appliance_summary(
-    consumption: DataFrame, dev_ids: Sequence[int], k: int = 3, step_s: int = 1
+    consumption: DataFrame, k: int = 3, rounds: int = 10, step_s: int = 1
 ) -> DataFrame:
-    """Use per cluster of each given device; devices are clustered one by one."""
-    parts = []
-    for dev_id in dev_ids:
-        profiles = appliance_profiles(consumption, dev_id, step_s)
-        labels = cluster_cycles(profiles, k)
-        parts.append(cluster_usage(cluster_profiles(profiles, labels), step_s))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out.withColumn("cluster", F.col("cluster").cast("int"))
+    """Use of an average cycle in each cluster of each located device."""
+    profiles = stored_copy(appliance_profiles(consumption, step_s=step_s), "profiles")
+    labels = cluster_devices(profiles, k, rounds)
+    return cluster_usage(cluster_profiles(profiles, labels), step_s)

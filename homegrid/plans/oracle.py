@@ -145,6 +145,30 @@ VIEWS = {
         select dev_id, cluster, t, sum(watts) / max(cycles) as watts
         from profiles join labels using (dev_id, cycle_start) join sizes using (dev_id, cluster)
         group by 1, 2, 3""",
+    # k-means of each device, on the padded matrix; the rounds follow below
+    "device_steps": "select distinct dev_id, t from profiles",
+    "totals": """
+        select dev_id, cycle_start, sum(watts) as total,
+               row_number() over (partition by dev_id order by sum(watts), cycle_start) - 1 as rank,
+               count(*) over (partition by dev_id) as cycles
+        from profiles group by 1, 2""",
+    "padded": """
+        select c.dev_id, c.cycle_start, s.t, coalesce(p.watts, 0) as watts
+        from totals c join device_steps s using (dev_id)
+        left join profiles p using (dev_id, cycle_start, t)""",
+    "matrix": """
+        select dev_id, cycle_start, t,
+               case when max(watts) over w > min(watts) over w
+                    then (watts - min(watts) over w) / (max(watts) over w - min(watts) over w)
+                    else 0 end as x
+        from padded window w as (partition by dev_id, t)""",
+    "centers_0": """
+        select dev_id, part as cluster, t, x
+        from matrix join (
+          select dev_id, cycle_start, min(part) as part
+          from totals, (select unnest([0, 1, 2]) as part)
+          where rank = floor((part * 2 + 1) * cycles / 6) group by 1, 2)
+        using (dev_id, cycle_start)""",
     # price view
     "rolled": """
         select timestamp, price, lead(s, 11) over (order by timestamp) as rolling_sum
@@ -157,6 +181,23 @@ VIEWS = {
           from prices_raw) asof left join prices_raw p on g >= p.timestamp""",
 }
 
+ROUNDS = 3
+for _i in range(ROUNDS + 1):
+    VIEWS[f"distances_{_i}"] = f"""
+        select m.dev_id, m.cycle_start, c.cluster, sum((m.x - c.x) * (m.x - c.x)) as d
+        from matrix m join centers_{_i} c on m.dev_id = c.dev_id and m.t = c.t group by 1, 2, 3"""
+    VIEWS[f"assigned_{_i}"] = f"""
+        select dev_id, cycle_start, arg_min(cluster, (d, cluster)) as cluster
+        from distances_{_i} group by 1, 2"""
+    if _i < ROUNDS:
+        VIEWS[f"centers_{_i + 1}"] = f"""
+            select c.dev_id, c.cluster, c.t, coalesce(n.x, c.x) as x
+            from centers_{_i} c left join (
+              select dev_id, cluster, t, avg(x) as x
+              from matrix join assigned_{_i} using (dev_id, cycle_start) group by 1, 2, 3) n
+            using (dev_id, cluster, t)"""
+LAST = f"assigned_{ROUNDS}"
+
 
 def tariff(ts: str) -> str:
     def band(season: str) -> str:
@@ -389,6 +430,13 @@ QUERIES = {
         select dev_id, cluster, round_even(sum(watts) * 60 / 1000, 0) as kws,
                round(sum(watts) * 60 / 3600000, 4) as kwh
         from cluster_means group by 1, 2""",
+    "cluster_devices": f"select dev_id, cycle_start, cluster from {LAST}",
+    "appliance_summary": f"""
+        select dev_id, cluster, round_even(sum(watts) * 60 / 1000, 0) as kws,
+               round(sum(watts) * 60 / 3600000, 4) as kwh
+        from (select dev_id, cluster, t, avg(watts) as watts
+              from padded join {LAST} using (dev_id, cycle_start) group by 1, 2, 3)
+        group by 1, 2""",
     # payloads
     "parse_power_flow": f"""
         select date_trunc('second', ts) as timestamp, round(value, 2) as p_battery,

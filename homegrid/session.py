@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def session(app: str = "homegrid", master: str | None = None, **conf: str) -> SparkSession:
@@ -40,3 +40,13 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="homegrid-")
     return f"{base.rstrip('/')}/homegrid-{purpose}-{uuid.uuid4().hex}"
+
+
+def stored_copy(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written to the shared folder and read back, for plans which use it often.
+
+    It cuts the lineage, and unlike a cache it outlives the executors that wrote it.
+    """
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

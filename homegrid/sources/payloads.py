@@ -32,25 +32,32 @@ def _read(df: DataFrame, col: str, schema: str, options: dict[str, str] | None =
 # -- inverter -------------------------------------------------------------------------
 
 
-def _power_flow(df: DataFrame, col: str) -> DataFrame:
-    rows = _read(df, col, schemas.POWER_FLOW, {"allowComments": "true"})
+def _usable_stamp() -> Column:
+    """Time of the payload; NULL when it is unreadable or has no site or inverter data."""
     stamp = F.try_to_timestamp("_p.Head.Timestamp", F.lit("yyyy-MM-dd'T'HH:mm:ssXXX"))
-    # a payload without site or inverter data is as bad as an unreadable one
     complete = (
         F.col(f"_p.{_CORRUPT}").isNull()
         & F.col("_p.Body.Data.Site").isNotNull()
         & F.try_element_at("_p.Body.Data.Inverters", F.lit("1")).isNotNull()
     )
-    return rows.withColumn("timestamp", F.when(complete, stamp))
+    return F.when(complete, stamp)
+
+
+def _read_power_flow(df: DataFrame, col: str) -> DataFrame:
+    return _read(df, col, schemas.POWER_FLOW, {"allowComments": "true"})
 
 
 def parse_power_flow(df: DataFrame, col: str = BODY, keep: Sequence[str] = ()) -> DataFrame:
-    """Inverter power flow → ``inverter_data`` rows; unusable payloads are dropped."""
+    """Inverter power flow → ``inverter_data`` rows; unusable payloads give none.
+
+    Rows come out of a generator and not a filter: a filter would move below the parsing
+    and parse every text again.
+    """
     site = "_p.Body.Data.Site"
     inverter = F.try_element_at("_p.Body.Data.Inverters", F.lit("1"))
     soc = or_zero(inverter["SOC"])
-    return _power_flow(df, col).filter(F.col("timestamp").isNotNull()).select(
-        "timestamp",
+    row = F.struct(
+        _usable_stamp().alias("timestamp"),
         or_zero(f"{site}.P_Akku").alias("p_battery"),
         or_zero(f"{site}.P_Grid").alias("p_grid"),
         or_zero(f"{site}.P_Load").alias("p_local"),
@@ -63,13 +70,16 @@ def parse_power_flow(df: DataFrame, col: str = BODY, keep: Sequence[str] = ()) -
         or_zero(f"{site}.E_Day").alias("e_day"),
         or_zero(f"{site}.E_Year").alias("e_year"),
         or_zero(f"{site}.E_Total").alias("e_total"),
-        *keep,
     )
+    usable = F.when(_usable_stamp().isNotNull(), F.array(row))
+    parsed = _read_power_flow(df, col).select(*keep, F.inline(usable))
+    return parsed.select(*[c for c in parsed.columns if c not in keep], *keep)
 
 
 def bad_rows(df: DataFrame, col: str = BODY) -> DataFrame:
     """The payloads which :func:`parse_power_flow` drops."""
-    return _power_flow(df, col).filter(F.col("timestamp").isNull()).select(*df.columns)
+    bad = F.when(_usable_stamp().isNull(), F.array(F.lit(True)))
+    return _read_power_flow(df, col).select(*df.columns, F.explode(bad).alias("_bad")).drop("_bad")
 
 
 # -- smart plugs ----------------------------------------------------------------------

@@ -167,3 +167,32 @@ def test_sweep_and_silhouette(spark, shapes):
     assert costs[2] > costs[3] >= costs[4] * 0.99
     scores = {r.k: r.silhouette for r in cluster.silhouettes(spark, shapes, (2, 3)).collect()}
     assert scores[3] > 0.9 and scores[3] > scores[2]
+
+
+def dense_kmeans(matrix, k, rounds):
+    """Plain rounds from the middle cycles of k equal parts by use."""
+    low, high = matrix.min(0), matrix.max(0)
+    x = np.where(high > low, (matrix - low) / np.where(high > low, high - low, 1), 0)
+    order = np.argsort(matrix.sum(1), kind="stable")
+    centers = np.array([x[order[(2 * i + 1) * len(x) // (2 * k)]] for i in range(k)])
+    for _ in range(rounds):
+        labels = ((x[:, None] - centers[None]) ** 2).sum(2).argmin(1)
+        centers = np.array([x[labels == c].mean(0) if (labels == c).any() else centers[c] for c in range(k)])
+    return ((x[:, None] - centers[None]) ** 2).sum(2).argmin(1)
+
+
+def test_devices_are_clustered_on_their_own(spark):
+    rng = np.random.default_rng(8)
+    rows, want = [], {}
+    for dev, count in enumerate((25, 7, 3)):
+        lengths = rng.integers(5, 40, count)
+        matrix = np.zeros((count, lengths.max()))
+        for c, length in enumerate(lengths):
+            matrix[c, :length] = np.round(rng.random(length) * 1000 * (1 + c % 3), 1)
+            start = (START + pd.Timedelta(days=c)).to_pydatetime()
+            rows += [(dev, start, t * 60, float(matrix[c, t])) for t in range(length)]
+        for c, label in enumerate(dense_kmeans(matrix, 3, 6)):
+            want[dev, (START + pd.Timedelta(days=c)).to_pydatetime()] = label
+    df = spark.createDataFrame(rows, "dev_id int, cycle_start timestamp_ntz, t long, watts double")
+    got = cluster.cluster_devices(df, 3, rounds=6).collect()
+    assert {(r.dev_id, r.cycle_start): r.cluster for r in got} == want
