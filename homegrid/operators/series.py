@@ -265,7 +265,11 @@ def resample_ffill(
 
 
 def sampling_step(
-    df: DataFrame, ts: str, window: str | timedelta = "3 hours", keys: Sequence[str] = ()
+    df: DataFrame,
+    ts: str,
+    window: str | timedelta = "3 hours",
+    keys: Sequence[str] = (),
+    bucket: str | timedelta = "1 day",
 ) -> DataFrame:
     """Median step between rows in microseconds, and how many such steps fill ``window``.
 
@@ -273,7 +277,7 @@ def sampling_step(
     """
     keys = list(keys)
     micros = df.filter(F.col(ts).isNotNull()).select(*keys, epoch_micros(ts).alias("_us"))
-    rows = in_buckets(micros, floor_div(F.col("_us"), 1_000_000), keys)
+    rows = in_buckets(micros, floor_div(F.col("_us"), 1_000_000), keys, span_seconds(bucket))
     steps = (
         with_neighbours(rows, "_us", keys, prev="_prev")
         .select(*keys, (F.col("_us") - F.col("_prev._us")).alias("_step"))
@@ -297,14 +301,16 @@ def rolling_time_sum(
     divisor: float = 4,
     keys: Sequence[str] = (),
     alias: str = "rolling_sum",
+    bucket: str | timedelta = "1 day",
 ) -> DataFrame:
     """Sum over the trailing ``(t - window, t]`` of the row ``n - 1`` rows ahead.
 
     The sum is NULL where the window has no value; NULL, NaN and ±inf are missing values.
-    Rows are also sent to the next bucket when its first rows look back to them.
+    Rows are also sent to the later buckets whose first rows look back to them. Series
+    with more than a row per second take a shorter ``bucket``.
     """
     keys, seconds = list(keys), span_seconds(window)
-    width = max(DAY, seconds)
+    width = span_seconds(bucket)
     home = bucket_of(epoch_seconds(ts), width)
     reach = floor_div(epoch_micros(ts) + F.lit(seconds * 1_000_000 - 1), width * 1_000_000)
     copies = (
@@ -353,10 +359,12 @@ def rolling_row_sum(
     divisor: float = 4,
     keys: Sequence[str] = (),
     alias: str = "rolling_sum",
+    bucket: str | timedelta = "1 day",
 ) -> DataFrame:
     """Sum of the row and the ``n - 1`` after it; NULL unless all ``n`` have a value."""
     keys = list(keys)
-    rows = in_buckets(df.filter(F.col(ts).isNotNull()), epoch_seconds(ts), keys).withColumns(
+    timed = df.filter(F.col(ts).isNotNull())
+    rows = in_buckets(timed, epoch_seconds(ts), keys, span_seconds(bucket)).withColumns(
         {"_us": epoch_micros(ts), "_value": F.col(value).cast("double")}
     )
     ahead = Window.partitionBy(*keys, BUCKET).orderBy("_us").rowsBetween(0, n - 1)

@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from homegrid.operators.series import dedupe_first
-from homegrid.session import shared_dir
+
+STAGING = "_staging"
 
 
 def keyed_replace(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -71,24 +72,50 @@ def _write(df: DataFrame, path: str, mode: str, partition_col: str, sort_by: Seq
     )
 
 
+def _folder(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, folder = _folder(spark, path)
+    return fs.exists(folder)
+
+
+def finish_replace(spark: SparkSession, path: str, keys: Sequence[str], partition_col: str = "date") -> bool:
+    """Put a complete staged version in place; True when there was one.
+
+    A staged version that is not complete is of no use and is dropped: the table is as it
+    was then.
+    """
+    staging = f"{path}/{STAGING}"
+    complete = _exists(spark, f"{staging}/_SUCCESS")
+    if complete:
+        _write(spark.read.parquet(staging), path, "overwrite", partition_col, keys)
+    fs, folder = _folder(spark, staging)
+    fs.delete(folder, True)
+    return complete
+
+
 def write_keyed(
     df: DataFrame, path: str, keys: Sequence[str], partition_col: str = "date"
 ) -> None:
     """Keyed replace in a table partitioned by a column that follows from the key.
 
-    The new version of the touched partitions goes to a staging folder first, and from
-    there over the old one. So no job reads the files that it replaces, and a failed
-    overwrite can be repeated.
+    The new version of the touched partitions is staged inside the table first, where
+    readers do not look, and goes from there over the old one. So no job reads the files
+    that it replaces, and a driver that is lost between the two leaves the whole new
+    version, which the next write puts in place. One writer per table at a time.
     """
     spark = df.sparkSession
+    finish_replace(spark, path, keys, partition_col)
     table = stored(spark, path)
     if table is None:
         _write(df, path, "append", partition_col, keys)
         return
-    staging = shared_dir(spark, "staging")
     merged = keyed_replace(_touched(table, df, partition_col), df.select(*table.columns), keys)
-    merged.write.parquet(staging)
-    _write(spark.read.parquet(staging), path, "overwrite", partition_col, keys)
+    merged.write.parquet(f"{path}/{STAGING}")
+    finish_replace(spark, path, keys, partition_col)
 
 
 def write_new(

@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.storagelevel import StorageLevel
 
 from homegrid.operators.daily import THRESHOLDS, diary_aggregates
 from homegrid.operators.series import dedupe_first, dedupe_last
@@ -21,6 +22,15 @@ def payload_stream(spark: SparkSession, path: str, files_per_batch: int | None =
     return reader.load(path).withColumnRenamed("value", "body")
 
 
+def _once(rows: DataFrame, write: Callable[[DataFrame], None]) -> None:
+    """A keyed write reads its rows more than once; a micro-batch is parsed only once."""
+    kept = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        write(kept)
+    finally:
+        kept.unpersist()
+
+
 def stream_ingest(
     bodies: DataFrame,
     parser: Callable[[DataFrame], DataFrame],
@@ -41,7 +51,7 @@ def stream_ingest(
         pick = dedupe_last if replace else dedupe_first
         rows = pick(batch, keys, arrival).drop(arrival) if arrival else batch.dropDuplicates(list(keys))
         write = write_keyed if replace else write_new
-        write(with_partition_date(rows), sink, keys)
+        _once(with_partition_date(rows), lambda df: write(df, sink, keys))
 
     return (
         parser(bodies)
@@ -81,7 +91,7 @@ def start_day_summary(days: DataFrame, sink: str, checkpoint: str) -> StreamingQ
 
     def store(batch: DataFrame, _: int) -> None:
         by_month = batch.withColumn("month", F.date_format("date", "yyyy-MM"))
-        write_keyed(by_month, sink, ["date"], "month")
+        _once(by_month, lambda df: write_keyed(df, sink, ["date"], "month"))
 
     return (
         days.writeStream.outputMode("update")

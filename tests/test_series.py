@@ -118,12 +118,12 @@ def test_resample_ffill_on_grid_edges(spark):
 
 
 @pytest.mark.parametrize("case", CASES)
-@pytest.mark.parametrize("n", [1, 4, 12])
-def test_rolling_time_sum(spark, case, n):
+@pytest.mark.parametrize("n, bucket", [(1, "1 day"), (4, "20 minutes"), (12, "1 day")])
+def test_rolling_time_sum(spark, case, n, bucket):
     frames = [random_series(**case), random_series(78, rows=60, max_gap=60_000)]
     frames[0].loc[1, "value"] = np.inf
     out = series.rolling_time_sum(
-        to_spark(spark, *frames), "timestamp", "value", "3 hours", n, keys=["k"]
+        to_spark(spark, *frames), "timestamp", "value", "3 hours", n, keys=["k"], bucket=bucket
     ).toPandas()
     for k, frame in enumerate(frames):
         s = frame.set_index("timestamp")["value"].replace([np.inf, -np.inf], np.nan)
@@ -134,10 +134,10 @@ def test_rolling_time_sum(spark, case, n):
         )
 
 
-@pytest.mark.parametrize("n", [1, 5, 12])
-def test_rolling_row_sum(spark, n):
+@pytest.mark.parametrize("n, bucket", [(1, "1 day"), (5, "10 minutes"), (12, "1 day")])
+def test_rolling_row_sum(spark, n, bucket):
     frames = [random_series(9, nulls=0.05, long_gap=True), random_series(79, rows=30, max_gap=90_000)]
-    out = series.rolling_row_sum(to_spark(spark, *frames), "timestamp", "value", n, keys=["k"]).toPandas()
+    out = series.rolling_row_sum(to_spark(spark, *frames), "timestamp", "value", n, keys=["k"], bucket=bucket).toPandas()
     for k, frame in enumerate(frames):
         want = (frame.set_index("timestamp")["value"].rolling(n).sum() / 4).shift(-(n - 1))
         got = out[out.k == k].set_index("timestamp")["rolling_sum"].sort_index().astype(float)

@@ -38,6 +38,28 @@ def test_write_keyed(spark, tmp_path):
     assert untouched == sorted(p.name for p in (tmp_path / "t" / "date=2024-01-02").iterdir())
 
 
+def test_lost_driver_between_staging_and_replace(spark, tmp_path):
+    """The partition is gone, its staged version is whole: the next write restores it."""
+    path = str(tmp_path / "t")
+    keyed.write_keyed(frame(spark, FIRST), path, KEYS)
+    day_one = [SECOND[0], FIRST[1]]
+    frame(spark, day_one).write.parquet(f"{path}/{keyed.STAGING}")
+    for file in (tmp_path / "t" / "date=2024-01-01").iterdir():
+        file.unlink()
+    keyed.write_keyed(frame(spark, [SECOND[1]]), path, KEYS)
+    assert content(spark.read.parquet(path)) == sorted([*day_one, FIRST[2], SECOND[1]])
+    assert not (tmp_path / "t" / keyed.STAGING).exists()
+
+
+def test_incomplete_staging_is_dropped(spark, tmp_path):
+    path = str(tmp_path / "t")
+    keyed.write_keyed(frame(spark, FIRST), path, KEYS)
+    frame(spark, SECOND).write.parquet(f"{path}/{keyed.STAGING}")
+    (tmp_path / "t" / keyed.STAGING / "_SUCCESS").unlink()
+    assert not keyed.finish_replace(spark, path, KEYS)
+    assert content(spark.read.parquet(path)) == sorted(FIRST)
+
+
 def test_keyed_replace_twice_is_once(spark):
     a, b = frame(spark, FIRST), frame(spark, SECOND)
     once = keyed.keyed_replace(a, b, KEYS)
