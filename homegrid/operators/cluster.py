@@ -17,7 +17,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import MinMaxScaler
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -35,7 +35,8 @@ def cycle_vectors(profiles: DataFrame, keys: Sequence[str] = DEVICE) -> DataFram
     """
     points = F.sort_array(F.collect_list(F.struct("t", "watts")))
     arrays = profiles.groupBy(*keys, "cycle_start").agg(points["watts"].alias("_watts"))
-    arrays = arrays.persist(StorageLevel.MEMORY_AND_DISK)
+    # a fixed order of rows gives the seeded start of the fit the same cycles each time
+    arrays = arrays.orderBy(*keys, "cycle_start").persist(StorageLevel.MEMORY_AND_DISK)
     longest = arrays.agg(F.max(F.size("_watts"))).first()[0]
     padded = F.concat("_watts", F.array_repeat(F.lit(0.0), F.lit(longest or 0) - F.size("_watts")))
     vectors = arrays.select(*keys, "cycle_start", array_to_vector(padded).alias("raw"))
@@ -200,7 +201,6 @@ def cluster_usage(
 
 
 def k_sweep(
-    spark: SparkSession,
     profiles: DataFrame,
     ks: Iterable[int] = range(2, 10),
     seed: int = 42,
@@ -212,11 +212,10 @@ def k_sweep(
     def cost(k: int) -> tuple[int, float]:
         return k, float(_fit(vectors, k, seed).summary.trainingCost)
 
-    return spark.createDataFrame(_side_by_side(cost, ks), "k int, cost double")
+    return profiles.sparkSession.createDataFrame(_side_by_side(cost, ks), "k int, cost double")
 
 
 def silhouettes(
-    spark: SparkSession,
     profiles: DataFrame,
     ks: Iterable[int] = (2, 3, 4, 5),
     seed: int = 42,
@@ -229,4 +228,4 @@ def silhouettes(
     def score(k: int) -> tuple[int, float]:
         return k, float(evaluator.evaluate(_fit(vectors, k, seed).transform(vectors)))
 
-    return spark.createDataFrame(_side_by_side(score, ks), "k int, silhouette double")
+    return profiles.sparkSession.createDataFrame(_side_by_side(score, ks), "k int, silhouette double")

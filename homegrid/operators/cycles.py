@@ -154,6 +154,20 @@ def with_cycle_label(pairs: DataFrame) -> DataFrame:
     return pairs.withColumn("label", F.date_format("cycle_start", "yyyy-MM-dd HH:mm"))
 
 
+def cycle_span(pairs: DataFrame, keys: Sequence[str] = DEVICE) -> DataFrame:
+    """Dates of the first and last cycle, as in the title of a plot."""
+    return pairs.groupBy(*keys).agg(
+        F.date_format(F.min("cycle_start"), "yy-MM-dd").alias("first_day"),
+        F.date_format(F.max("cycle_start"), "yy-MM-dd").alias("last_day"),
+        F.count("*").alias("cycles"),
+    )
+
+
+def with_minutes(profiles: DataFrame) -> DataFrame:
+    """Elapsed minutes, the scale on which profiles are shown."""
+    return profiles.withColumn("minutes", F.col("t") / 60)
+
+
 def cycle_profiles(
     means: DataFrame, pairs: DataFrame, step_s: int = 1, keys: Sequence[str] = DEVICE
 ) -> DataFrame:

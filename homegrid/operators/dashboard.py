@@ -53,3 +53,10 @@ def forecast_view(
         .orderBy("timestamp")
         .limit(limit)
     )
+
+
+def forecast_series(view: DataFrame) -> DataFrame:
+    """The forecast under the names of its three curves."""
+    return view.withColumnsRenamed(
+        {"pv_estimate": "Estimate", "pv_estimate10": "Pessimistic", "pv_estimate90": "Optimistic"}
+    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from homegrid.functions.clock import UTC, local_date, micros_of_day
+from homegrid.functions.clock import UTC, local_date, local_wall, micros_of_day
 
 NO_WEATHER = "No weather data available for today."
 
@@ -45,3 +45,12 @@ def sun_lookup(sun: DataFrame, date) -> DataFrame:
         "sunset",
         F.when(F.col("_n") > 0, F.col("_summary")).otherwise(NO_WEATHER).alias("summary"),
     )
+
+
+def sun_clock(found: DataFrame, tz: str = UTC) -> DataFrame:
+    """Local clock times of :func:`sun_lookup`, or "unknown"."""
+
+    def clock(name: str):
+        return F.coalesce(F.date_format(local_wall(name, tz), "HH:mm:ss"), F.lit("unknown"))
+
+    return found.select(clock("sunrise").alias("sunrise"), clock("sunset").alias("sunset"), "summary")

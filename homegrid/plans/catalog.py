@@ -37,7 +37,7 @@ def query(fn: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], DataFra
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-        fine = fn.__name__ in ("price_view", "forecast_view", "parse_solar_forecast")
+        fine = fn.__name__ in ("price_view", "forecast_view", "forecast_series", "parse_solar_forecast")
         return plain(fn(views.events(spark, sf_dir)), FINE_DIGITS if fine else DIGITS)
 
     QUERIES[fn.__name__] = run
@@ -336,6 +336,16 @@ def sun_lookup_missing(ev):
     return weather.sun_lookup(views.sun(ev), "2024-01-17")
 
 
+@query
+def sun_clock(ev):
+    return weather.sun_clock(weather.sun_lookup(views.sun(ev), "2024-01-11"), LOCAL)
+
+
+@query
+def sun_clock_missing(ev):
+    return weather.sun_clock(weather.sun_lookup(views.sun(ev), "2024-01-17"), LOCAL)
+
+
 def _forecast(ev: DataFrame) -> DataFrame:
     half_hour = F.window("ts", "30 minutes").start.cast("timestamp_ntz").alias("timestamp")
     return ev.groupBy(half_hour).agg(
@@ -350,6 +360,11 @@ def forecast_view(ev):
     return dashboard.forecast_view(_forecast(ev), "2024-01-10")
 
 
+@query
+def forecast_series(ev):
+    return dashboard.forecast_series(dashboard.forecast_view(_forecast(ev), "2024-01-10"))
+
+
 def _battery(ev: DataFrame) -> DataFrame:
     return views.telemetry(ev).withColumn("battery_state_norm", normalize_soc("battery_state"))
 
@@ -435,6 +450,11 @@ def cycle_pairs(ev):
     return cycles.with_cycle_label(cycles.cycle_pairs(cycles.cycle_marks(_means(ev))))
 
 
+@query
+def cycle_span(ev):
+    return cycles.cycle_span(cycles.cycle_pairs(cycles.cycle_marks(_means(ev))))
+
+
 @query
 def cycle_profiles(ev):
     return _profiles(ev)
@@ -442,7 +462,7 @@ def cycle_profiles(ev):
 
 @query
 def cluster_profiles(ev):
-    return cluster.cluster_profiles(_profiles(ev), _labels(ev))
+    return cycles.with_minutes(cluster.cluster_profiles(_profiles(ev), _labels(ev)))
 
 
 @query
@@ -465,14 +485,14 @@ def appliance_summary(ev):
     return jobs.appliance_summary(views.consumption(ev), rounds=ROUNDS, step_s=STEP_S)
 
 
-@source_query
-def cluster_elbow(spark, sf_dir):
-    return cluster.k_sweep(spark, _profiles(views.events(spark, sf_dir)))
+@query
+def cluster_elbow(ev):
+    return cluster.k_sweep(_profiles(ev))
 
 
-@source_query
-def cluster_silhouette(spark, sf_dir):
-    return cluster.silhouettes(spark, _profiles(views.events(spark, sf_dir)))
+@query
+def cluster_silhouette(ev):
+    return cluster.silhouettes(_profiles(ev))
 
 
 # -- payloads -------------------------------------------------------------------------

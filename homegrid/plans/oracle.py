@@ -388,6 +388,18 @@ QUERIES = {
     "sun_lookup_missing": """
         select null::timestamp as sunrise, null::timestamp as sunset,
                'No weather data available for today.' as summary""",
+    "sun_clock": """
+        select strftime(sunrise + interval 1 hour, '%H:%M:%S') as sunrise,
+               strftime(sunset + interval 1 hour, '%H:%M:%S') as sunset, summary
+        from sun where date = date '2024-01-11'""",
+    "sun_clock_missing": """
+        select 'unknown' as sunrise, 'unknown' as sunset,
+               'No weather data available for today.' as summary""",
+    "forecast_series": """
+        select timestamp, round(pv_estimate, 6) as "Estimate",
+               round(pv_estimate10, 6) as "Pessimistic", round(pv_estimate90, 6) as "Optimistic"
+        from forecast where timestamp >= date '2024-01-10' and timestamp < date '2024-01-13'
+        order by timestamp limit 250""",
     "forecast_view": """
         select timestamp, round(pv_estimate, 6) as pv_estimate,
                round(pv_estimate10, 6) as pv_estimate10, round(pv_estimate90, 6) as pv_estimate90
@@ -425,7 +437,13 @@ QUERIES = {
     "cycle_pairs": """
         select *, strftime(cycle_start, '%Y-%m-%d %H:%M') as label from pairs""",
     "cycle_profiles": "select dev_id, cycle_start, t, round(watts, 4) as watts from profiles",
-    "cluster_profiles": "select dev_id, cluster, t, round(watts, 4) as watts from cluster_means",
+    "cluster_profiles": """
+        select dev_id, cluster, t, round(watts, 4) as watts, round(t / 60, 4) as minutes
+        from cluster_means""",
+    "cycle_span": """
+        select dev_id, strftime(min(cycle_start), '%y-%m-%d') as first_day,
+               strftime(max(cycle_start), '%y-%m-%d') as last_day, count(*) as cycles
+        from pairs group by 1""",
     "cluster_usage": """
         select dev_id, cluster, round_even(sum(watts) * 60 / 1000, 0) as kws,
                round(sum(watts) * 60 / 3600000, 4) as kwh

@@ -162,10 +162,10 @@ def test_cluster_means_count_ended_cycles_as_zero(spark):
     assert (usage.kws, usage.kwh) == (2.0, pytest.approx(30 * 60 / 3_600_000))
 
 
-def test_sweep_and_silhouette(spark, shapes):
-    costs = {r.k: r.cost for r in cluster.k_sweep(spark, shapes, (2, 3, 4)).collect()}
+def test_sweep_and_silhouette(shapes):
+    costs = {r.k: r.cost for r in cluster.k_sweep(shapes, (2, 3, 4)).collect()}
     assert costs[2] > costs[3] >= costs[4] * 0.99
-    scores = {r.k: r.silhouette for r in cluster.silhouettes(spark, shapes, (2, 3)).collect()}
+    scores = {r.k: r.silhouette for r in cluster.silhouettes(shapes, (2, 3)).collect()}
     assert scores[3] > 0.9 and scores[3] > scores[2]
 
 
