@@ -100,12 +100,15 @@ def _first_centers(arrays: DataFrame, k: int, keys: Sequence[str]) -> DataFrame:
         (F.row_number().over(order) - 1).alias("_rank"),
         F.count("*").over(Window.partitionBy(*keys)).alias("_cycles"),
     )
-    middle = F.floor((F.col("_part") * 2 + 1) * F.col("_cycles") / F.lit(2 * k))
+    middles = F.transform(
+        F.sequence(F.lit(0), F.lit(k - 1)),
+        lambda part: F.floor((part * 2 + 1) * F.col("_cycles") / F.lit(2 * k)),
+    )
+    cluster = F.array_position(middles, F.col("_rank").cast("long")) - 1
     chosen = (
-        ranked.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
-        .filter(F.col("_rank") == middle)
-        .groupBy(*keys, "cycle_start")
-        .agg(F.min("_part").alias("cluster"))
+        ranked.withColumn("cluster", cluster.cast("int"))
+        .filter("cluster >= 0")
+        .select(*keys, "cycle_start", "cluster")
     )
     return arrays.join(chosen, [*keys, "cycle_start"]).select(*keys, "cluster", "x")
 

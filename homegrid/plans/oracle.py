@@ -85,13 +85,13 @@ VIEWS = {
         from (select distinct cast(timestamp as date) as date from telemetry) d
         left join ranked a on a.date = d.date and a.one = 1
         left join ranked b on b.date = d.date and b.five = 1""",
-    "seconds": """
-        select unnest(generate_series(date_trunc('second', min(timestamp)),
-                                      date_trunc('second', max(timestamp)),
-                                      interval 1 second)) as g
+    "spans": """
+        select timestamp, p_solar, epoch_us(timestamp) // 1000000 as hi,
+               lag(epoch_us(timestamp) // 1000000) over (order by timestamp) + 1 as lo
         from telemetry""",
     "dense": """
-        select s.g, t.p_solar from seconds s asof join telemetry t on s.g <= t.timestamp""",
+        select p_solar, make_timestamp(1000000 * unnest(generate_series(coalesce(lo, hi), hi))) as g
+        from spans""",
     "energy": """
         select cast(g as date) as date, sum(p_solar) / 3600000 as kwh from dense group by 1""",
     # cycles
@@ -234,11 +234,13 @@ QUERIES = {
         select *, battery_at_1am + 10 < battery_at_5am as night_grid_charge from snapshots""",
     "solar_energy_daily": "select date, round(kwh, 4) as kwh from energy",
     "solar_energy_by_device": """
-        select g.dev_id, cast(g as date) as date, round(sum(watts) / 3600000, 4) as kwh
-        from (select dev_id, unnest(generate_series(date_trunc('second', min(timestamp)),
-                date_trunc('second', max(timestamp)), interval 1 second)) as g
-              from consumption group by 1) g
-        asof join consumption c on g.dev_id = c.dev_id and g.g <= c.timestamp
+        select dev_id, cast(g as date) as date, round(sum(watts) / 3600000, 4) as kwh
+        from (select dev_id, watts,
+                make_timestamp(1000000 * unnest(generate_series(coalesce(lo, hi), hi))) as g
+              from (select *, epoch_us(timestamp) // 1000000 as hi,
+                      lag(epoch_us(timestamp) // 1000000) over
+                        (partition by dev_id order by timestamp) + 1 as lo
+                    from consumption))
         group by 1, 2""",
     "solar_energy_local_days": """
         select cast(g + interval 1 hour as date) as date, round(sum(p_solar) / 3600000, 4) as kwh
@@ -254,10 +256,12 @@ QUERIES = {
         from diary join snapshots using (date)
         left join (
           select cast(g as date) as date, sum(p_solar) / 3600000 as kwh
-          from (select unnest(generate_series(date_trunc('second', min(timestamp)),
-                  date_trunc('second', max(timestamp)), interval 1 second)) as g
-                from telemetry where timestamp >= date '2024-01-21' and timestamp < date '2024-01-30')
-          asof join telemetry t on g <= t.timestamp group by 1) new_energy using (date)
+          from (select p_solar,
+                  make_timestamp(1000000 * unnest(generate_series(coalesce(lo, hi), hi))) as g
+                from (select p_solar, epoch_us(timestamp) // 1000000 as hi,
+                        lag(epoch_us(timestamp) // 1000000) over (order by timestamp) + 1 as lo
+                      from telemetry where timestamp >= date '2024-01-21' and timestamp < date '2024-01-30'))
+          group by 1) new_energy using (date)
         where date > (select max(date) from summary_stored) and date < date '2024-01-30'""",
     "backfill_window": """
         select min(date) as start, min(date) + 90 as "end" from summary_stored
@@ -268,11 +272,13 @@ QUERIES = {
         from summary_stored s
         left join (
           select cast(g as date) as date, sum(p_solar) / 3600000 as kwh
-          from (select unnest(generate_series(date_trunc('second', min(timestamp)),
-                  date_trunc('second', max(timestamp)), interval 1 second)) as g
-                from telemetry
-                where timestamp >= (select min(date) from summary_stored where daily_solar_est is null))
-          asof join telemetry t on g <= t.timestamp group by 1) e on e.date = s.date
+          from (select p_solar,
+                  make_timestamp(1000000 * unnest(generate_series(coalesce(lo, hi), hi))) as g
+                from (select p_solar, epoch_us(timestamp) // 1000000 as hi,
+                        lag(epoch_us(timestamp) // 1000000) over (order by timestamp) + 1 as lo
+                      from telemetry
+                where timestamp >= (select min(date) from summary_stored where daily_solar_est is null)))
+          group by 1) e on e.date = s.date
         where s.date >= (select min(date) from summary_stored where daily_solar_est is null)""",
     "night_charge_backfill": """
         select s.date, round(peak_solar, 4) as peak_solar, daily_solar_est,

@@ -54,10 +54,13 @@ def stored(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def _touched(table: DataFrame, batch: DataFrame, partition_col: str) -> DataFrame:
-    """Partitions of the table with rows in the batch; a semi join prunes the scan to them."""
-    return table.join(batch.select(partition_col).distinct(), partition_col, "left_semi").select(
-        *table.columns
-    )
+    """Partitions of the table with rows in the batch.
+
+    Their values, one per partition, are read first: as literals they prune the scan,
+    which a join with an unfiltered batch would not.
+    """
+    values = [r[0] for r in batch.select(partition_col).distinct().collect()]
+    return table.filter(F.col(partition_col).isin(values))
 
 
 def _write(df: DataFrame, path: str, mode: str, partition_col: str, sort_by: Sequence[str]) -> None:

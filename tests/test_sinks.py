@@ -79,6 +79,17 @@ def test_write_new_keeps_the_first(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(date" in part._jdf.queryExecution().toString()
 
 
+def test_a_batch_reads_only_its_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    keyed.write_new(frame(spark, FIRST), path, KEYS)
+    part = keyed._touched(keyed.stored(spark, path), frame(spark, [FIRST[2]]), "date")
+    assert "PartitionFilters: [isnotnull(date" in part._jdf.queryExecution().toString()
+    assert [p for f in part.inputFiles() for p in f.split("/") if p.startswith("date=")] and all(
+        "date=2024-01-02" in r[0] for r in part.select(F.input_file_name()).collect()
+    )
+    assert part.count() == 1
+
+
 def test_append_days(spark, tmp_path, events):
     path = str(tmp_path / "days")
     days = daily.day_summary(views.telemetry(events))
