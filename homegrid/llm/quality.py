@@ -14,11 +14,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from homegrid.llm.arrow import SPACES, byte_set, chunks, column_of, lower_table, span_hashes, spans
-from homegrid.llm.labels import remainder, training_sample
+from homegrid.llm.labels import log_odds, remainder, training_sample
 
 PASSAGE = 48
-#: Documents that the model is fitted on, at most.
-TRAINED_ON = 6000
+#: Documents of each label that the model is fitted on, at most.
+TRAINED_ON = 2500
 HIDDEN, GATE = 16, 8
 
 UPPER = byte_set(bytes(range(65, 91)))
@@ -144,7 +144,7 @@ class Model:
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, column: str = "quality", most: int = TRAINED_ON) -> Model | None:
-    """The model of at most ``most`` labelled documents outside the held-out fold; None if there are none."""
+    """The model of at most ``most`` documents of each label outside the held-out fold; None if there are none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, at in chunks(batches):
@@ -154,7 +154,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, column: str = "quality", mos
                 [column_of(part, "doc_id").cast(pa.int64()), column_of(part, "label"), pa.array(rows, pa.binary())], ["doc_id", "label", "x"]
             )
 
-    sample = training_sample(docs, labels, column, most)
+    sample, share = training_sample(docs, labels, column, most)
     bags = sorted(sample.mapInArrow(run, "doc_id long, label int, x binary").collect())
     if not bags:
         return None
@@ -164,7 +164,9 @@ def fit_quality(docs: DataFrame, labels: DataFrame, column: str = "quality", mos
         return None
     bag = np.concatenate([[0], np.cumsum([len(v) for v in xs])])
     y = np.array([r.label for r in bags], np.float64)
-    return Model.new(x, y).fit(x, bag, y)
+    model = Model.new(x, y).fit(x, bag, y)
+    model.w["c0"] = model.w["c0"] + log_odds(share) - log_odds(y.mean())  # the sample has even labels
+    return model
 
 
 def score_quality(docs: DataFrame, model: Model | None, threshold: float = 0.3) -> DataFrame:
