@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from homegrid.llm import bpe, jaccard, lines
+from homegrid.llm import bpe, chat, decontam, jaccard, langid, lines, quality, toxic
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,9 +25,69 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_digests(table(spark, sf_dir, "documents"), min_docs=10)
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score_quality(docs, quality.fit_quality(docs, table(spark, sf_dir, "labels")), threshold=0.3)
+
+
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.predict_languages(docs, langid.fit_languages(docs))
+
+
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=10).drop("version")
+
+
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    return chat.conversation_digests(chat.format_conversations(chat.events_of(rows)))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxic.score_toxicity(docs, toxic.fit_toxicity(docs, table(spark, sf_dir, "labels")), threshold=0.5)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_jaccard_join": op2_jaccard_join,
+    "op3_quality": op3_quality,
+    "op4_language": op4_language,
+    "op6_decontaminate": op6_decontaminate,
+    "op7_chat": op7_chat,
     "op9_line_dedup": op9_line_dedup,
+    "op10_toxicity": op10_toxicity,
+}
+
+CONVERSATIONS = """
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '</s>[INST] ok [/INST]'
+  union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op9_line_dedup": r"""
+with lines as (
+  select doc_id, at, line, lower_ascii(line) as key from (
+    select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+           generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as at from documents)
+),
+often as (select key from lines where key <> '' group by key having count(distinct doc_id) >= 10)
+select l.doc_id, count(*) as n_lines, count(o.key) as n_dropped,
+       sha256(coalesce(string_agg(l.line, chr(10) order by l.at) filter (where o.key is null), '')) as kept_sha256
+from lines l left join often o on l.key = o.key
+group by l.doc_id
+""".replace("lower_ascii(line)", r"translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')".replace("\\\\", "\\")),
+    "op7_chat": f"""
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn)) as turns_sha256,
+       cast(coalesce(sum(length(text)) filter (where role = 'assistant'), 0) as bigint) as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn) filter (where role = 'assistant'), '')) as loss_sha256,
+       cast(sum(length('[INST][/INST]</s>') + 1 + length(role) + length(text)
+            + length(role || text) - length(replace(replace(replace(role || text, chr(92), ''), '[', ''), '<', ''))) as bigint) as formatted_chars
+from ({CONVERSATIONS}) group by conv_id
+""",
 }
-ORACLE_SQL: dict[str, str] = {}
