@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from homegrid.llm import bpe, chat, decontam, jaccard, langid, lines, quality, toxic
+from homegrid.llm import ann, bpe, chat, decontam, jaccard, langid, lines, quality, suffix, toxic
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_join(table(spark, sf_dir, "documents"), percent=90, width=3)
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), every=20, top=20)
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_digests(table(spark, sf_dir, "documents"), min_docs=10)
 
@@ -35,6 +39,10 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict_languages(docs, langid.fit_languages(docs))
 
 
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.span_digests(table(spark, sf_dir, "documents"), length=50)
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=10).drop("version")
 
@@ -56,8 +64,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_jaccard_join": op2_jaccard_join,
     "op3_quality": op3_quality,
     "op4_language": op4_language,
+    "op5_repeats": op5_repeats,
     "op6_decontaminate": op6_decontaminate,
     "op7_chat": op7_chat,
+    "op8_neighbours": op8_neighbours,
     "op9_line_dedup": op9_line_dedup,
     "op10_toxicity": op10_toxicity,
 }
