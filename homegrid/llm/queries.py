@@ -80,17 +80,21 @@ CONVERSATIONS = """
 
 ORACLE_SQL: dict[str, str] = {
     "op9_line_dedup": r"""
-with lines as (
-  select doc_id, at, line, lower_ascii(line) as key from (
-    select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
-           generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as at from documents)
-),
-often as (select key from lines where key <> '' group by key having count(distinct doc_id) >= 10)
-select l.doc_id, count(*) as n_lines, count(o.key) as n_dropped,
-       sha256(coalesce(string_agg(l.line, chr(10) order by l.at) filter (where o.key is null), '')) as kept_sha256
-from lines l left join often o on l.key = o.key
+with cut as (
+  select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as pos
+  from documents),
+lines as (
+  select doc_id, pos, line,
+         translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as line_key
+  from cut),
+often as (select line_key from lines where line_key <> '' group by line_key having count(distinct doc_id) >= 10)
+select l.doc_id, count(*) as n_lines, count(o.line_key) as n_dropped,
+       sha256(coalesce(string_agg(l.line, chr(10) order by l.pos) filter (where o.line_key is null), '')) as kept_sha256
+from lines l left join often o on l.line_key = o.line_key
 group by l.doc_id
-""".replace("lower_ascii(line)", r"translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')".replace("\\\\", "\\")),
+""",
     "op7_chat": f"""
 select conv_id, count(*) as n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn)) as turns_sha256,
