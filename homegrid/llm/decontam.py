@@ -88,15 +88,22 @@ def phrase_matches(docs: DataFrame, items: DataFrame, width: int = 10) -> tuple[
     seeds = live.where("rank = 1").select("term", F.col("item_id").alias("phrase"), "len", "j")
     places = lists.join(_sized(seeds, n_windows), "term").select("doc_id", "version", "phrase", "len", (F.col("position") - F.col("j")).alias("begin"))
     places = stored_copy(places.where("begin >= 0"), "places")
-    # the other lists, only of documents that have a place, and only at the places' offsets
-    rest = live.where("rank > 1").select(F.col("item_id").alias("phrase"), "term", "j")
-    asked = places.join(_sized(rest, n_windows), "phrase").select(
-        "doc_id", "version", "phrase", "len", "begin", "term", (F.col("begin") + F.col("j")).alias("position")
-    )
-    hits = asked.join(lists, ["doc_id", "version", "term", "position"]).distinct().groupBy("doc_id", "version", "phrase", "len", "begin").agg(
-        F.count("*").alias("others")
-    )
-    whole = hits.where(F.col("others") == F.col("len") - 1).drop("others").unionByName(places.where("len = 1").distinct())
+    key = ["doc_id", "version"]
+
+    def kept(found: DataFrame, ranks: Column, others: DataFrame) -> DataFrame:
+        """The places at whose offsets all terms of these ranks stand."""
+        terms_ = live.where(ranks).select(F.col("item_id").alias("phrase"), "term", "j")
+        asked = found.join(_sized(terms_, n_windows), "phrase").select(*key, "phrase", "len", "begin", "term", (F.col("begin") + F.col("j")).alias("position"))
+        hits = asked.join(others, [*key, "term", "position"]).distinct()
+        return hits.groupBy(*key, "phrase", "len", "begin").agg(F.count("*").alias("n"))
+
+    # the second list leaves few places; the others are read for the documents of these alone
+    second = live.where("rank = 2").select("term").distinct()
+    twice = stored_copy(kept(places.where("len > 1"), F.col("rank") == 2, lists.join(_sized(second, n_windows), "term", "left_semi")).drop("n"), "twice")
+    some = twice.where("len > 2").select(*key).distinct()
+    rest = lists.join(_sized(some, some.count()), key, "left_semi")
+    full = kept(twice.where("len > 2"), F.col("rank") > 2, rest).where(F.col("n") == F.col("len") - 2).drop("n")
+    whole = full.unionByName(twice.where("len = 2")).unionByName(places.where("len = 1").distinct())
     return index, whole.join(spelled.select("item_id", "w", "phrase"), "phrase")
 
 
