@@ -22,7 +22,6 @@ THRESHOLD_NAMES = ("prod", "1kw", "2kw")
 SNAPSHOTS = ("01:00", "05:00")
 SNAPSHOT_NAMES = ("battery_at_1am", "battery_at_5am")
 SNAPSHOT_BEFORE = "08:00"
-BACKFILL_DAYS = 90
 
 
 def diary_aggregates(df: DataFrame, thresholds: Sequence[float] = THRESHOLDS) -> list[Column]:
@@ -104,13 +103,26 @@ def night_charge(snapshots: DataFrame, margin: float = 10) -> DataFrame:
 
 
 def incremental_days(
-    df: DataFrame, stored: DataFrame, as_of, tz: str = UTC, ts: str = "timestamp"
+    df: DataFrame,
+    stored: DataFrame,
+    as_of,
+    tz: str = UTC,
+    ts: str = "timestamp",
+    keys: Sequence[str] = (),
 ) -> DataFrame:
     """Rows of whole days after the newest stored date and before ``as_of``.
 
-    The newest date is a scalar subquery, read before the scan; none stored means all days.
+    Without keys the newest date is a scalar subquery, read before the scan. With keys each
+    has its own newest date. None stored means all days.
     """
     kind = df.schema[ts].dataType
+    if keys:
+        start = day_start(F.date_add(F.max("date"), 1), tz, kind)
+        marks = stored.groupBy(*keys).agg(start.alias("_start"))
+        end = day_start(F.lit(as_of).cast("date"), tz, kind)
+        rows = df.filter(F.col(ts) < end).join(marks, list(keys), "left")
+        new = F.col("_start").isNull() | (F.col(ts) >= F.col("_start"))
+        return rows.filter(new).select(*df.columns)
     first_new = F.coalesce(F.date_add(F.max("date"), 1), F.lit("0001-01-01").cast("date"))
     start = stored.agg(day_start(first_new, tz, kind).alias("start")).scalar()
     end = day_start(F.lit(as_of).cast("date"), tz, kind)
@@ -130,7 +142,7 @@ def daily_summary(
     Diary and snapshots share one grouping; energy needs ordered readings and is joined
     by day.
     """
-    new = incremental_days(telemetry, stored, as_of, tz)
+    new = incremental_days(telemetry, stored, as_of, tz, keys=keys)
     days = night_charge(
         _by_day(new, keys, tz).agg(
             *diary_aggregates(new, thresholds), *snapshot_aggregates(tz=tz)
@@ -143,12 +155,16 @@ def daily_summary(
 # -- backfills ------------------------------------------------------------------------
 
 
-def backfill_window(stored: DataFrame, column: str, days: int = BACKFILL_DAYS) -> DataFrame:
-    """``[start, end)`` from the oldest date without ``column``; NULLs when none is left."""
+def backfill_window(stored: DataFrame, column: str, days: int | None = None) -> DataFrame:
+    """``[start, end)`` from the oldest date without ``column``; NULLs when none is left.
+
+    ``days`` None is all later dates.
+    """
+    last = F.date_add("start", days) if days is not None else F.lit("9999-12-31").cast("date")
     return (
         stored.filter(F.col(column).isNull())
         .agg(F.min("date").alias("start"))
-        .withColumn("end", F.date_add("start", days))
+        .withColumn("end", F.when(F.col("start").isNotNull(), last))
     )
 
 
@@ -164,7 +180,11 @@ def _readings_in(telemetry: DataFrame, window: DataFrame, tz: str) -> DataFrame:
 
 
 def backfill_solar_estimate(
-    stored: DataFrame, telemetry: DataFrame, days: int = BACKFILL_DAYS, tz: str = UTC
+    stored: DataFrame,
+    telemetry: DataFrame,
+    days: int | None = None,
+    tz: str = UTC,
+    keys: Sequence[str] = (),
 ) -> DataFrame:
     """Stored rows of the window with a new energy estimate.
 
@@ -173,30 +193,38 @@ def backfill_solar_estimate(
     """
     window = backfill_window(stored, "daily_solar_est", days)
     rows = _days_in(stored, window)
-    energy = energy_daily(_readings_in(telemetry, window, tz), tz=tz)
-    has_readings = energy.agg(F.count("*") > 0).scalar()
+    readings = _readings_in(telemetry, window, tz)
+    energy = energy_daily(readings, keys=keys, tz=tz)
+    known = readings.filter(F.col("timestamp").isNotNull() & F.col("p_solar").isNotNull())
+    has_readings = known.limit(1).agg(F.count("*") > 0).scalar()
     kept = F.when(has_readings, F.lit(0.0)).otherwise(F.coalesce("daily_solar_est", F.lit(0.0)))
-    return rows.join(energy, "date", "left").withColumn(
+    return rows.join(energy, [*keys, "date"], "left").withColumn(
         "daily_solar_est", F.coalesce("kwh", kept)
     ).select(*stored.columns)
 
 
 def backfill_night_charge(
-    stored: DataFrame, telemetry: DataFrame, days: int = BACKFILL_DAYS, tz: str = UTC
+    stored: DataFrame,
+    telemetry: DataFrame,
+    days: int | None = None,
+    tz: str = UTC,
+    keys: Sequence[str] = (),
 ) -> DataFrame:
     """Stored rows of the window with battery snapshots and the night charge flag."""
     window = backfill_window(stored, "night_grid_charge", days)
     rows = _days_in(stored, window).drop(*SNAPSHOT_NAMES, "night_grid_charge")
-    snapshots = battery_snapshot(_readings_in(telemetry, window, tz), tz=tz)
+    snapshots = battery_snapshot(_readings_in(telemetry, window, tz), tz=tz, keys=keys)
     return night_charge(
-        rows.join(snapshots, "date", "left").fillna(0.0, subset=list(SNAPSHOT_NAMES))
+        rows.join(snapshots, [*keys, "date"], "left").fillna(0.0, subset=list(SNAPSHOT_NAMES))
     )
 
 
-def merge_production_log(summary: DataFrame, log: DataFrame) -> DataFrame:
+def merge_production_log(
+    summary: DataFrame, log: DataFrame, keys: Sequence[str] = ()
+) -> DataFrame:
     """All days of both sides; a missing total comes from the log."""
     return (
-        summary.join(log.select("date", "e_day"), "date", "full")
+        summary.join(log.select(*keys, "date", "e_day"), [*keys, "date"], "full")
         .withColumn(
             "daily_total",
             F.coalesce(F.col("daily_total").cast("double"), F.col("e_day"), F.lit(0.0)).cast("int"),

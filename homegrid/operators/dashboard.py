@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from homegrid.functions.clock import span_seconds
@@ -12,27 +14,38 @@ FORECAST_ROWS = 250
 FORECAST_DAYS = 3
 
 
+def _level() -> Column:
+    level = F.greatest(F.least(F.col("battery_state_norm"), F.lit(100.0)), F.lit(0.0))
+    return F.when(F.col("battery_state_norm").isNotNull(), level)
+
+
 def battery_latest(df: DataFrame, limit: int = BATTERY_ROWS) -> DataFrame:
     """The newest readings of the normalised battery state, clipped to 0..100."""
-    level = F.greatest(F.least(F.col("battery_state_norm"), F.lit(100.0)), F.lit(0.0))
     return (
         df.select("timestamp", "battery_state_norm")
         .orderBy(F.desc("timestamp"))
         .limit(limit)
-        .withColumn("battery_state_norm", F.when(F.col("battery_state_norm").isNotNull(), level))
+        .withColumn("battery_state_norm", _level())
     )
 
 
-def battery_gauge(latest: DataFrame, lookback: str = "1 hour") -> DataFrame:
+def battery_gauge(
+    df: DataFrame, lookback: str = "1 hour", keys: Sequence[str] = ()
+) -> DataFrame:
     """Battery now, the oldest reading within ``lookback`` of it, and the difference.
 
-    Works on :func:`battery_latest`, whose row limit bounds the window.
+    Works on the whole table, however many readings an hour has: the newest time is read
+    first and bounds the scan; with keys, each has its own.
     """
-    newest = F.max("timestamp").over(Window.partitionBy())
-    recent = latest.withColumn("_newest", newest).filter(
-        F.col("timestamp") > F.col("_newest") - F.make_dt_interval(secs=F.lit(span_seconds(lookback)))
-    )
-    return recent.agg(
+    span = F.make_dt_interval(secs=F.lit(span_seconds(lookback)))
+    if keys:
+        newest = df.groupBy(*keys).agg(F.max("timestamp").alias("_newest"))
+        recent = df.join(newest, list(keys)).filter(F.col("timestamp") > F.col("_newest") - span)
+    else:
+        newest = df.agg(F.max("timestamp") - span).scalar()
+        recent = df.filter(F.col("timestamp") > newest)
+    recent = recent.withColumn("battery_state_norm", _level())
+    return recent.groupBy(*keys).agg(
         F.max_by("battery_state_norm", "timestamp").alias("battery_pct"),
         F.min_by("battery_state_norm", "timestamp").alias("battery_pct_before"),
     ).withColumn("delta", F.col("battery_pct") - F.col("battery_pct_before"))

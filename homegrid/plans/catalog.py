@@ -121,6 +121,20 @@ def incremental_days(ev):
     return new.select("event_id", "timestamp", "p_solar")
 
 
+def _sites(ev: DataFrame) -> DataFrame:
+    """The telemetry of five homes."""
+    return views.telemetry(ev).join(ev.select("event_id", (F.col("user_id") % 5).alias("site_id")), "event_id")
+
+
+@query
+def incremental_days_by_site(ev):
+    """Home 0 has all of summary_stored, home 1 its first ten days, the others nothing."""
+    stored = views.summary_stored(ev).select("date", F.explode(F.array(F.lit(0), F.lit(1))).alias("site_id"))
+    stored = stored.filter("site_id = 0 or dayofmonth(date) <= 10").withColumn("site_id", F.col("site_id").cast("long"))
+    new = daily.incremental_days(_sites(ev), stored, "2024-01-29", keys=["site_id"])
+    return new.select("event_id", "site_id", "timestamp")
+
+
 @query
 def daily_job(ev):
     return daily.daily_summary(views.telemetry(ev), views.summary_stored(ev), "2024-01-30")
@@ -376,7 +390,24 @@ def battery_latest(ev):
 
 @query
 def battery_gauge(ev):
-    return dashboard.battery_gauge(dashboard.battery_latest(_battery(ev)))
+    return dashboard.battery_gauge(_battery(ev))
+
+
+@query
+def battery_gauge_dense(ev):
+    """A reading each second, 3600 an hour, of which the oldest of the hour counts."""
+    rows = ev.select(
+        (F.lit("2024-02-01").cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("event_id"))).alias("timestamp"),
+        (F.col("event_id") % 1000 / 10).cast("double").alias("battery_state_norm"),
+    )
+    return dashboard.battery_gauge(rows)
+
+
+@query
+def battery_gauge_by_site(ev):
+    return dashboard.battery_gauge(
+        _sites(ev).withColumn("battery_state_norm", normalize_soc("battery_state")), keys=["site_id"]
+    )
 
 
 @query
@@ -564,6 +595,13 @@ def _plug_bodies(ev: DataFrame) -> DataFrame:
     return ev.select("event_id", body.alias("body"))
 
 
+@query
+def parse_plug_rejects(ev):
+    """Every seventh text is cut short."""
+    cut = F.when(F.col("event_id") % 7 == 0, F.substring("body", 1, 20)).otherwise(F.col("body"))
+    return payloads.plug_rejects(_plug_bodies(ev).withColumn("body", cut)).select("event_id")
+
+
 @query
 def parse_plug_status(ev):
     return payloads.parse_plug_status(_plug_bodies(ev), keep=["event_id"])
@@ -663,6 +701,50 @@ def parse_sun_times(ev):
     return payloads.parse_sun_times(bodies).select("date", "sunrise", "sunset")
 
 
+# -- tables that are written, written again and read back ------------------------------
+
+
+@source_query
+def write_keyed_table(spark, sf_dir):
+    """Readings of the plugs; the second batch replaces those of "purchase" and repeats a key."""
+    ev = views.events(spark, sf_dir)
+    rows = ev.select("event_id", (F.col("user_id") % 3).alias("dev_id"), F.col("ts").alias("timestamp"), "value", F.to_date("ts").alias("date"))
+    path = f"{shared_dir(spark, 'keyed')}/table"
+    keyed.write_keyed(rows, path, ["event_id"])
+    again = rows.join(ev.filter("event_type = 'purchase'").select("event_id"), "event_id")
+    again = again.withColumn("arrival", F.lit(1)).withColumn("value", F.lit(-2.0)).unionByName(
+        again.withColumn("arrival", F.lit(0)).withColumn("value", F.lit(-1.0))
+    )
+    for _ in range(2):
+        keyed.write_keyed(again, path, ["event_id"], arrival="arrival")
+    return spark.read.parquet(path)
+
+
+@source_query
+def write_new_table(spark, sf_dir):
+    """The first event of each slot stays, whatever comes later."""
+    ev = views.events(spark, sf_dir)
+    rows = ev.select(
+        F.window("ts", SLOT).start.cast("timestamp_ntz").alias("timestamp"), "event_id", F.to_date("ts").alias("date")
+    )
+    path = f"{shared_dir(spark, 'new')}/table"
+    for part in ("event_id % 2 = 0", "true", "true"):
+        keyed.write_new(rows.filter(part), path, ["timestamp"], arrival="event_id")
+    return spark.read.parquet(path)
+
+
+@source_query
+def append_days_table(spark, sf_dir):
+    """Days of two homes, written twice; each keeps its own days."""
+    ev = views.events(spark, sf_dir)
+    days = daily.day_summary(_sites(ev), keys=["site_id"]).select("site_id", "date", "daily_total").filter("site_id < 2")
+    path = f"{shared_dir(spark, 'days')}/table"
+    keyed.append_days(days.filter("dayofmonth(date) <= 20"), path, keys=["site_id"])
+    for _ in range(2):
+        keyed.append_days(days.withColumn("daily_total", F.col("daily_total") + 1), path, keys=["site_id"])
+    return spark.read.parquet(path)
+
+
 # -- streams --------------------------------------------------------------------------
 
 

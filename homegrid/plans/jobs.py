@@ -22,7 +22,6 @@ from homegrid.session import stored_copy
 PRICE_WINDOW = "3 hours"
 PRICE_STEP = "15 minutes"
 PRICE_ROWS = 12
-FETCH_ROWS = 1_000_000_000  # above any position within one fetch
 
 
 def day_ahead_prices(*fetches: DataFrame | None) -> DataFrame:
@@ -33,7 +32,7 @@ def day_ahead_prices(*fetches: DataFrame | None) -> DataFrame:
     rows in a window, is read first.
     """
     ordered = [
-        f.withColumn("arrival", F.lit(i * FETCH_ROWS) + F.col("position")).drop("position")
+        f.withColumn("arrival", F.struct(F.lit(i).alias("fetch"), "position")).drop("position")
         for i, f in enumerate(f for f in fetches if f is not None)
     ]
     prices = union_prices(*ordered, arrival="arrival")

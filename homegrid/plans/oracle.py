@@ -264,7 +264,7 @@ QUERIES = {
           group by 1) new_energy using (date)
         where date > (select max(date) from summary_stored) and date < date '2024-01-30'""",
     "backfill_window": """
-        select min(date) as start, min(date) + 90 as "end" from summary_stored
+        select min(date) as start, date '9999-12-31' as "end" from summary_stored
         where daily_solar_est is null""",
     "solar_estimate_backfill": """
         select s.date, round(s.peak_solar, 4) as peak_solar,
@@ -414,14 +414,47 @@ QUERIES = {
     "battery_latest": """
         select timestamp, battery_state_norm from battery order by timestamp desc limit 1000""",
     "battery_gauge": """
-        with latest as (select * from battery order by timestamp desc limit 1000),
-        recent as (select * from latest
-                   where timestamp > (select max(timestamp) from latest) - interval 1 hour)
+        with recent as (select * from battery
+                        where timestamp > (select max(timestamp) from battery) - interval 1 hour)
         select max_by(battery_state_norm, timestamp) as battery_pct,
                min_by(battery_state_norm, timestamp) as battery_pct_before,
                round(max_by(battery_state_norm, timestamp) - min_by(battery_state_norm, timestamp), 4)
                  as delta
         from recent""",
+    "battery_gauge_dense": """
+        with recent as (select event_id, (event_id % 1000) / 10 as level from events
+                        where event_id > (select max(event_id) from events) - 3600)
+        select max_by(level, event_id) as battery_pct, min_by(level, event_id) as battery_pct_before,
+               round(max_by(level, event_id) - min_by(level, event_id), 4) as delta
+        from recent""",
+    "battery_gauge_by_site": """
+        with own as (select user_id % 5 as site_id, ts, case when a < 1 then 0 when a > 99 then 100 else a end as level
+                     from norm join events using (event_id)),
+        recent as (select * from own join (select site_id, max(ts) as newest from own group by 1) using (site_id)
+                   where ts > newest - interval 1 hour)
+        select site_id, max_by(level, ts) as battery_pct, min_by(level, ts) as battery_pct_before,
+               round(max_by(level, ts) - min_by(level, ts), 4) as delta
+        from recent group by 1""",
+    "incremental_days_by_site": """
+        select event_id, user_id % 5 as site_id, ts as timestamp from events
+        where cast(ts as date) < date '2024-01-29'
+          and (user_id % 5 > 1
+               or user_id % 5 = 0 and cast(ts as date) > (select max(date) from summary_stored)
+               or user_id % 5 = 1 and cast(ts as date) > (select max(date) from summary_stored where dayofmonth(date) <= 10))""",
+    "parse_plug_rejects": "select event_id from events where event_id % 7 = 0",
+    "write_keyed_table": """
+        select event_id, user_id % 3 as dev_id, ts as timestamp,
+               case when event_type = 'purchase' then -2 else round(value, 4) end as value, cast(ts as date) as date
+        from events""",
+    "write_new_table": f"""
+        with slots_of as (select {SLOT} as timestamp, event_id, cast(ts as date) as date from events)
+        select timestamp, coalesce(min(event_id) filter (where event_id % 2 = 0), min(event_id)) as event_id,
+               min(date) as date
+        from slots_of group by 1""",
+    "append_days_table": """
+        select user_id % 5 as site_id, cast(ts as date) as date,
+               cast(max(hour(ts) * 100 + minute(ts)) as int) + case when dayofmonth(ts) <= 20 then 0 else 1 end as daily_total
+        from events where user_id % 5 < 2 group by user_id % 5, cast(ts as date), dayofmonth(ts)""",
     "normalize_soc": f"""
         select event_id, {_LEVEL.format('a')} as pack_a, {_LEVEL.format('b')} as pack_b from norm""",
     "device_readings": """

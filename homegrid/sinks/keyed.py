@@ -7,20 +7,28 @@ partitions that the batch has rows for.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from homegrid.operators.series import dedupe_first
+from homegrid.operators.series import dedupe_first, dedupe_last
 
 STAGING = "_staging"
+BATCH = "_batch"
+
+
+def _without(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` whose key ``other`` does not have; NULL is a key like any other."""
+    known = other.select(*[F.col(k).alias(f"_key_{k}") for k in keys])
+    same = reduce(lambda a, b: a & b, [df[k].eqNullSafe(known[f"_key_{k}"]) for k in keys])
+    return df.join(known, same, "left_anti")
 
 
 def keyed_replace(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``existing`` whose key is not in ``incoming``, and all of ``incoming``."""
-    replaced = incoming.select(*keys).distinct()
-    return existing.join(replaced, list(keys), "left_anti").select(*existing.columns).unionByName(incoming)
+    return _without(existing, incoming, keys).select(*existing.columns).unionByName(incoming)
 
 
 def new_rows(
@@ -30,7 +38,7 @@ def new_rows(
     first = dedupe_first(incoming, keys, arrival) if arrival else incoming.dropDuplicates(list(keys))
     if existing is None:
         return first
-    return first.join(existing.select(*keys), list(keys), "left_anti").select(*first.columns)
+    return _without(first, existing, keys).select(*first.columns)
 
 
 def insert_new(
@@ -60,7 +68,10 @@ def _touched(table: DataFrame, batch: DataFrame, partition_col: str) -> DataFram
     which a join with an unfiltered batch would not.
     """
     values = [r[0] for r in batch.select(partition_col).distinct().collect()]
-    return table.filter(F.col(partition_col).isin(values))
+    hit = F.col(partition_col).isin([v for v in values if v is not None])
+    if None in values:  # the overwrite replaces the partition of NULL too
+        hit = hit | F.col(partition_col).isNull()
+    return table.filter(hit)
 
 
 def _write(df: DataFrame, path: str, mode: str, partition_col: str, sort_by: Sequence[str]) -> None:
@@ -85,6 +96,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(folder)
 
 
+def _drop(spark: SparkSession, path: str) -> None:
+    fs, folder = _folder(spark, path)
+    fs.delete(folder, True)
+
+
 def finish_replace(spark: SparkSession, path: str, keys: Sequence[str], partition_col: str = "date") -> bool:
     """Put a complete staged version in place; True when there was one.
 
@@ -95,16 +111,22 @@ def finish_replace(spark: SparkSession, path: str, keys: Sequence[str], partitio
     complete = _exists(spark, f"{staging}/_SUCCESS")
     if complete:
         _write(spark.read.parquet(staging), path, "overwrite", partition_col, keys)
-    fs, folder = _folder(spark, staging)
-    fs.delete(folder, True)
+    _drop(spark, staging)
     return complete
 
 
 def write_keyed(
-    df: DataFrame, path: str, keys: Sequence[str], partition_col: str = "date"
+    df: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    partition_col: str = "date",
+    arrival: str | None = None,
 ) -> None:
     """Keyed replace in a table partitioned by a column that follows from the key.
 
+    The batch is computed once, into the table's folder. Of several rows with one key the
+    last by ``arrival`` counts, which is not stored; without it they are an error.
+
     The new version of the touched partitions is staged inside the table first, where
     readers do not look, and goes from there over the old one. So no job reads the files
     that it replaces, and a driver that is lost between the two leaves the whole new
@@ -113,12 +135,19 @@ def write_keyed(
     spark = df.sparkSession
     finish_replace(spark, path, keys, partition_col)
     table = stored(spark, path)
+    rows = dedupe_last(df, keys, arrival).drop(arrival) if arrival else df
+    rows.write.mode("overwrite").parquet(f"{path}/{BATCH}")
+    batch = spark.read.schema(rows.schema).parquet(f"{path}/{BATCH}")
+    if not arrival and not batch.groupBy(*keys).count().where("count > 1").isEmpty():
+        _drop(spark, f"{path}/{BATCH}")
+        raise ValueError("the batch has several rows of one key, and no arrival to choose by")
     if table is None:
-        _write(df, path, "append", partition_col, keys)
-        return
-    merged = keyed_replace(_touched(table, df, partition_col), df.select(*table.columns), keys)
-    merged.write.parquet(f"{path}/{STAGING}")
-    finish_replace(spark, path, keys, partition_col)
+        _write(batch, path, "append", partition_col, keys)
+    else:
+        merged = keyed_replace(_touched(table, batch, partition_col), batch.select(*table.columns), keys)
+        merged.write.parquet(f"{path}/{STAGING}")
+        finish_replace(spark, path, keys, partition_col)
+    _drop(spark, f"{path}/{BATCH}")
 
 
 def write_new(
@@ -135,9 +164,11 @@ def write_new(
     _write(rows, path, "append", partition_col, keys)
 
 
-def append_days(df: DataFrame, path: str, partition_col: str = "date") -> None:
-    """Append summary days that are not stored yet."""
-    write_new(df, path, [partition_col], partition_col)
+def append_days(
+    df: DataFrame, path: str, partition_col: str = "date", keys: Sequence[str] = ()
+) -> None:
+    """Append summary days that are not stored yet, for each of ``keys`` on its own."""
+    write_new(df, path, [*keys, partition_col], partition_col)
 
 
 def with_partition_date(df: DataFrame, ts: str = "timestamp") -> DataFrame:

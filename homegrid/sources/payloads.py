@@ -85,8 +85,20 @@ def bad_rows(df: DataFrame, col: str = BODY) -> DataFrame:
 # -- smart plugs ----------------------------------------------------------------------
 
 
+def _plug_time() -> Column:
+    """Time of the reading; NULL where the text is corrupt or names no time."""
+    time = F.coalesce(F.timestamp_seconds("_p.update.t"), F.date_trunc("second", "_p.received_at"))
+    return F.when(F.col(f"_p.{_CORRUPT}").isNull() & F.col("_p.dev_id").isNotNull(), time)
+
+
+def plug_rejects(df: DataFrame, col: str = BODY) -> DataFrame:
+    """The payloads which :func:`parse_plug_status` drops."""
+    bad = F.when(_plug_time().isNull(), F.array(F.lit(True)))
+    return _read(df, col, schemas.PLUG_STATUS).select(*df.columns, F.explode(bad).alias("_bad")).drop("_bad")
+
+
 def parse_plug_status(df: DataFrame, col: str = BODY, keep: Sequence[str] = ()) -> DataFrame:
-    """Plug status → ``consumption`` rows.
+    """Plug status → ``consumption`` rows; corrupt texts and those without time or device give none.
 
     An updated value counts when it is not 0, else the status value does. Without a
     power reading, power is current times voltage.
@@ -105,8 +117,8 @@ def parse_plug_status(df: DataFrame, col: str = BODY, keep: Sequence[str] = ())
     rows = _read(df, col, schemas.PLUG_STATUS).withColumns(
         {name: reading(*how) for name, how in points.items()}
     )
-    return rows.select(
-        F.coalesce(F.timestamp_seconds("_p.update.t"), F.date_trunc("second", "_p.received_at")).alias("timestamp"),
+    row = F.struct(
+        _plug_time().alias("timestamp"),
         F.col("_p.dev_id").alias("dev_id"),
         F.col("_p.device_id").alias("device_id"),
         "amps",
@@ -114,24 +126,36 @@ def parse_plug_status(df: DataFrame, col: str = BODY, keep: Sequence[str] = ())
         "volts",
         F.lit("").alias("device_location"),
         F.lit("").alias("comment"),
-        *keep,
     )
+    # a generator and no filter, as in parse_power_flow
+    parsed = rows.select(*keep, F.inline(F.when(_plug_time().isNotNull(), F.array(row))))
+    return parsed.select(*[c for c in parsed.columns if c not in keep], *keep)
 
 
 # -- prices and forecast --------------------------------------------------------------
 
 
 def parse_prices(
-    df: DataFrame, area: str, currency: str, col: str = BODY, position: bool = False
+    df: DataFrame,
+    area: str,
+    currency: str,
+    col: str = BODY,
+    position: bool = False,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Day-ahead prices of one area, per kWh; ``position`` adds the place in the payload."""
+    """Day-ahead prices of one area, per kWh.
+
+    ``position`` adds the place in the payload; with a column of ``keep`` that orders the
+    payloads it orders the rows of many of them.
+    """
     values = F.try_element_at("_p.areas", F.lit(area))["values"]
-    rows = _read(df, col, schemas.PRICES).select(F.posexplode(values).alias("position", "v"))
+    rows = _read(df, col, schemas.PRICES).select(*keep, F.posexplode(values).alias("position", "v"))
     prices = rows.select(
         F.col("v.start").alias("timestamp"),
         (F.col("v.value") / PRICE_UNIT).alias("price"),
         F.lit(currency).alias("currency"),
         "position",
+        *keep,
     )
     return prices if position else prices.drop("position")
 

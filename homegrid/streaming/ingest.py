@@ -47,6 +47,9 @@ def stream_ingest(
     orders the rows of one batch; it is not stored.
     """
 
+    if replace and not arrival:
+        raise ValueError("the last row of a key needs an arrival to be the last by")
+
     def store(batch: DataFrame, _: int) -> None:
         pick = dedupe_last if replace else dedupe_first
         rows = pick(batch, keys, arrival).drop(arrival) if arrival else batch.dropDuplicates(list(keys))

@@ -194,3 +194,9 @@ def test_dates(spark):
     stored = spark.sql("select date'2024-02-29' as date")
     assert [str(r.date) for r in tables.missing_dates(spine, stored).collect()] == ["2024-02-27", "2024-02-28"]
     assert tables.missing_dates(spine, stored.limit(0)).count() == 4
+
+
+def test_a_corrupt_plug_text_is_a_reject_and_no_row(spark):
+    df = spark.createDataFrame([("{oops",), ("{}",)], "body string")
+    assert payloads.parse_plug_status(df).count() == 0
+    assert payloads.plug_rejects(df).count() == 2

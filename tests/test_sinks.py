@@ -90,6 +90,36 @@ def test_a_batch_reads_only_its_partitions(spark, tmp_path):
     assert part.count() == 1
 
 
+def test_a_null_date_in_the_batch_loses_no_stored_row(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = "dev_id int, date date"
+    keyed.write_keyed(spark.createDataFrame([(1, None), (2, None)], schema), path, ["dev_id"])
+    keyed.write_keyed(spark.createDataFrame([(3, None)], schema), path, ["dev_id"])
+    assert sorted(r.dev_id for r in spark.read.parquet(path).collect()) == [1, 2, 3]
+
+
+def test_a_repeated_key_needs_an_arrival(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([(1, 5, 0), (1, 6, 1)], "k int, v int, arrival int").withColumn("date", F.current_date())
+    with pytest.raises(ValueError):
+        keyed.write_keyed(rows.drop("arrival"), path, ["k"])
+    keyed.write_keyed(rows, path, ["k"], arrival="arrival")
+    assert [r.v for r in spark.read.parquet(path).collect()] == [6]
+
+
+def test_append_days_of_two_sites(spark, tmp_path):
+    path = str(tmp_path / "d")
+    rows = spark.sql("select 'a' as site_id, date'2024-01-01' as date union all select 'b', date'2024-01-01'")
+    keyed.append_days(rows, path, keys=["site_id"])
+    keyed.append_days(rows, path, keys=["site_id"])
+    assert sorted(r.site_id for r in spark.read.parquet(path).collect()) == ["a", "b"]
+
+
+def test_the_last_row_needs_an_arrival(spark, tmp_path):
+    with pytest.raises(ValueError):
+        ingest.stream_ingest(None, None, str(tmp_path / "s"), str(tmp_path / "c"), KEYS, replace=True)
+
+
 def test_append_days(spark, tmp_path, events):
     path = str(tmp_path / "days")
     days = daily.day_summary(views.telemetry(events))
@@ -160,7 +190,13 @@ def test_stream_ingest_of_plugs_keeps_the_last(spark, tmp_path):
             drop_file(src, name, batch)
         bodies = ingest.payload_stream(spark, str(src))
         ingest.stream_ingest(
-            bodies, payloads.parse_plug_status, sink, str(tmp_path / "check"), KEYS, replace=True
+            bodies.withColumn("arrival", F.lit(0)),
+            lambda df: payloads.parse_plug_status(df, keep=["arrival"]),
+            sink,
+            str(tmp_path / "check"),
+            KEYS,
+            arrival="arrival",
+            replace=True,
         ).awaitTermination()
     assert sorted(r.watts for r in spark.read.parquet(sink).collect()) == [5, 7, 8]
 

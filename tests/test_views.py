@@ -60,10 +60,10 @@ def test_estimate_without_readings_keeps_the_old_value(spark):
         "select * from values (date'2024-01-01', null), (date'2024-01-02', 3.0D), (date'2024-06-01', null) t(date, daily_solar_est)"
     )
     before = telemetry(spark, [("2023-01-01 00:00:00", 1.0, 1.0, 1.0)])
-    got = {str(r.date): r.daily_solar_est for r in daily.backfill_solar_estimate(stored, before).collect()}
+    got = {str(r.date): r.daily_solar_est for r in daily.backfill_solar_estimate(stored, before, days=90).collect()}
     assert got == {"2024-01-01": 0.0, "2024-01-02": 3.0}
     some = telemetry(spark, [("2024-01-01 00:00:00", 3.6e6, 1.0, 1.0)])
-    got = {str(r.date): r.daily_solar_est for r in daily.backfill_solar_estimate(stored, some).collect()}
+    got = {str(r.date): r.daily_solar_est for r in daily.backfill_solar_estimate(stored, some, days=90).collect()}
     assert got == {"2024-01-01": 1.0, "2024-01-02": 0.0}
 
 
