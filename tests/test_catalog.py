@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
+from homegrid.plans import catalog, oracle
 from tests.conftest import SMALL
 
 ROWS_ONLY = {"cluster_cycles", "cluster_elbow", "cluster_silhouette"}
@@ -31,7 +32,7 @@ def comparable(df: pd.DataFrame) -> pd.DataFrame:
     return df.sort_values(list(df.columns), na_position="first").reset_index(drop=True)
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracle.QUERIES))
 def test_matches_sql(spark, db, name):
     got = comparable(entry.queries()[name](spark, SMALL).toPandas())
     want = comparable(db.execute(entry.oracle_sql()[name]).df())
@@ -39,7 +40,8 @@ def test_matches_sql(spark, db, name):
 
 
 def test_every_query_but_the_fits_has_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == ROWS_ONLY
+    assert set(catalog.QUERIES) - set(oracle.QUERIES) == ROWS_ONLY
+    assert set(catalog.QUERIES) <= set(entry.queries()) and set(oracle.QUERIES) <= set(entry.oracle_sql())
 
 
 def test_cluster_queries_give_rows(spark):
