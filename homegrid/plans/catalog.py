@@ -534,15 +534,19 @@ def _stamp(ts: str) -> Column:
 
 
 def _power_flow_bodies(ev: DataFrame) -> DataFrame:
-    """Power flow payloads. No sun in a "view", no battery in a "signup", junk in an "error"."""
+    """Power flow payloads. No sun in a "view", no battery in a "signup", junk in an "error";
+    one in eleven has no grid power."""
     kind = F.col("event_type")
     site = F.struct(
+        F.lit(1.5).alias("P_Grid"),
         F.round("value", 2).alias("P_Akku"),
         F.round(-F.col("value"), 2).alias("P_Load"),
         F.when(kind != "view", F.col("value") * 20).alias("P_PV"),
         F.lit(100.0).alias("rel_SelfConsumption"),
         F.lit(50.5).alias("rel_Autonomy"),
         F.col("event_id").alias("E_Day"),
+        (F.col("event_id") * 2).alias("E_Year"),
+        F.lit(7.25).alias("E_Total"),
     )
     soc = F.regexp_extract("props", "([0-9]+)", 1).try_cast("double")
     inverter = F.struct(F.col("value").alias("P"), F.when(kind != "signup", soc).alias("SOC"))
@@ -554,8 +558,10 @@ def _power_flow_bodies(ev: DataFrame) -> DataFrame:
                 ).alias("Data")
             ).alias("Body"),
             F.struct(_stamp("ts").alias("Timestamp")).alias("Head"),
-        )
+        ),
+        {"ignoreNullFields": "false"},
     )
+    body = F.when(F.col("event_id") % 11 == 0, F.replace(body, F.lit('"P_Grid":1.5,'), F.lit(""))).otherwise(body)
     return ev.select(
         "event_id", F.when(kind == "error", F.concat(F.lit("{oops "), body)).otherwise(body).alias("body")
     )

@@ -497,16 +497,17 @@ QUERIES = {
     # payloads
     "parse_power_flow": f"""
         select date_trunc('second', ts) as timestamp, round(value, 2) as p_battery,
-               0.0::double as p_grid, round(-value, 2) as p_local,
+               1.5::double as p_grid, round(-value, 2) as p_local,
                case when event_type <> 'view' then round(value * 20, 4) else 0 end as p_solar,
                100.0::double as pct_selfsufficient, 50.5::double as pct_autonomy,
                round(value, 4) as p_total,
                case when event_type <> 'signup' then n.battery_state else 0 end as battery_state,
                case when event_type <> 'signup' then {_LEVEL.format('a')} else 0 end
                  as battery_state_norm,
-               event_id::double as e_day, 0.0::double as e_year, 0.0::double as e_total, event_id
-        from events join norm n using (event_id) where event_type <> 'error'""",
-    "parse_power_flow_rejects": "select event_id from events where event_type = 'error'",
+               event_id::double as e_day, event_id * 2::double as e_year, 7.25::double as e_total, event_id
+        from events join norm n using (event_id) where event_type <> 'error' and event_id % 11 <> 0""",
+    "parse_power_flow_rejects": """
+        select event_id from events where event_type = 'error' or event_id % 11 = 0""",
     "parse_plug_status": """
         select date_trunc('second', ts) as timestamp, (user_id % 3)::int as dev_id,
                'plug' || (user_id % 3) as device_id, round(amps, 4) as amps,
@@ -543,7 +544,7 @@ QUERIES = {
                case when event_type <> 'signup' then battery_state_norm else 0 end
                  as battery_state_norm,
                event_id::double as e_day
-        from events e join battery b on b.timestamp = e.ts where event_type <> 'error'
+        from events e join battery b on b.timestamp = e.ts where event_type <> 'error' and event_id % 11 <> 0
         qualify row_number() over (partition by date_trunc('second', e.ts) order by event_id) = 1""",
     "stream_dedupe": f"""
         select distinct {SLOT} as timestamp, cast(user_id % 3 as int) as dev_id from events""",

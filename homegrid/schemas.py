@@ -7,12 +7,7 @@ from pyspark.sql import types as T
 # Fields of the payloads as the devices and services send them.
 POWER_FLOW = """
 Body STRUCT<Data: STRUCT<
-  Inverters: MAP<STRING, STRUCT<Battery_Mode: STRING, DT: INT, E_Day: DOUBLE,
-    E_Total: DOUBLE, E_Year: DOUBLE, P: DOUBLE, SOC: DOUBLE>>,
-  Site: STRUCT<BatteryStandby: BOOLEAN, E_Day: DOUBLE, E_Total: DOUBLE, E_Year: DOUBLE,
-    Meter_Location: STRING, Mode: STRING, P_Akku: DOUBLE, P_Grid: DOUBLE, P_Load: DOUBLE,
-    P_PV: DOUBLE, rel_Autonomy: DOUBLE, rel_SelfConsumption: DOUBLE>,
-  Version: STRING>>,
+  Inverters: MAP<STRING, MAP<STRING, STRING>>, Site: MAP<STRING, STRING>, Version: STRING>>,
 Head STRUCT<Status: STRUCT<Code: INT, Reason: STRING, UserMessage: STRING>, Timestamp: STRING>
 """
 

@@ -32,14 +32,34 @@ def _read(df: DataFrame, col: str, schema: str, options: dict[str, str] | None =
 # -- inverter -------------------------------------------------------------------------
 
 
+# The site's fields which a payload must have, if only as null.
+SITE_FIELDS = {
+    "p_battery": "P_Akku",
+    "p_grid": "P_Grid",
+    "p_local": "P_Load",
+    "p_solar": "P_PV",
+    "pct_selfsufficient": "rel_SelfConsumption",
+    "pct_autonomy": "rel_Autonomy",
+    "e_day": "E_Day",
+    "e_year": "E_Year",
+    "e_total": "E_Total",
+}
+_SITE = "_p.Body.Data.Site"
+
+
+def _inverter() -> Column:
+    return F.try_element_at("_p.Body.Data.Inverters", F.lit("1"))
+
+
 def _usable_stamp() -> Column:
-    """Time of the payload; NULL when it is unreadable or has no site or inverter data."""
+    """Time of the payload; NULL when it is unreadable or a field is missing.
+
+    A null counts as 0, a missing field does not; only the state of charge may be missing.
+    """
     stamp = F.try_to_timestamp("_p.Head.Timestamp", F.lit("yyyy-MM-dd'T'HH:mm:ssXXX"))
-    complete = (
-        F.col(f"_p.{_CORRUPT}").isNull()
-        & F.col("_p.Body.Data.Site").isNotNull()
-        & F.try_element_at("_p.Body.Data.Inverters", F.lit("1")).isNotNull()
-    )
+    complete = F.col(f"_p.{_CORRUPT}").isNull() & F.map_contains_key(_inverter(), "P")
+    for name in SITE_FIELDS.values():
+        complete = complete & F.map_contains_key(_SITE, name)
     return F.when(complete, stamp)
 
 
@@ -53,23 +73,20 @@ def parse_power_flow(df: DataFrame, col: str = BODY, keep: Sequence[str] = ()) -
     Rows come out of a generator and not a filter: a filter would move below the parsing
     and parse every text again.
     """
-    site = "_p.Body.Data.Site"
-    inverter = F.try_element_at("_p.Body.Data.Inverters", F.lit("1"))
-    soc = or_zero(inverter["SOC"])
+
+    def number(fields: Column, name: str) -> Column:
+        return or_zero(F.try_element_at(fields, F.lit(name)).try_cast("double"))
+
+    site = {to: number(F.col(_SITE), name) for to, name in SITE_FIELDS.items()}
+    soc = number(_inverter(), "SOC")
+    order = ("p_battery", "p_grid", "p_local", "p_solar", "pct_selfsufficient", "pct_autonomy")
     row = F.struct(
         _usable_stamp().alias("timestamp"),
-        or_zero(f"{site}.P_Akku").alias("p_battery"),
-        or_zero(f"{site}.P_Grid").alias("p_grid"),
-        or_zero(f"{site}.P_Load").alias("p_local"),
-        or_zero(f"{site}.P_PV").alias("p_solar"),
-        or_zero(f"{site}.rel_SelfConsumption").alias("pct_selfsufficient"),
-        or_zero(f"{site}.rel_Autonomy").alias("pct_autonomy"),
-        or_zero(inverter["P"]).alias("p_total"),
+        *[site[name].alias(name) for name in order],
+        number(_inverter(), "P").alias("p_total"),
         soc.alias("battery_state"),
         normalize_soc(soc).alias("battery_state_norm"),
-        or_zero(f"{site}.E_Day").alias("e_day"),
-        or_zero(f"{site}.E_Year").alias("e_year"),
-        or_zero(f"{site}.E_Total").alias("e_total"),
+        *[site[name].alias(name) for name in ("e_day", "e_year", "e_total")],
     )
     usable = F.when(_usable_stamp().isNotNull(), F.array(row))
     parsed = _read_power_flow(df, col).select(*keep, F.inline(usable))

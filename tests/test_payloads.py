@@ -13,13 +13,13 @@ def bodies(spark, *texts):
     return spark.createDataFrame([(t if isinstance(t, str) else json.dumps(t),) for t in texts], "body string")
 
 
-def power_flow(stamp="2021-03-01T18:31:40+01:00", soc=75.5, pv=7.8, **site):
-    inverter = {"Battery_Mode": "normal", "DT": 99, "P": 569}
+def power_flow(stamp="2022-02-03T10:11:12+01:00", soc=75.5, pv=7.8, **site):
+    inverter = {"Battery_Mode": "normal", "DT": 1, "P": 421}
     if soc != "missing":
         inverter["SOC"] = soc
     site = {
-        "E_Day": 4334, "E_Total": 453617, "E_Year": 45361, "P_Akku": 606.8, "P_Grid": 27.1,
-        "P_Load": -596.1, "P_PV": pv, "rel_Autonomy": 95.4, "rel_SelfConsumption": 100, **site,
+        "E_Day": 1200, "E_Total": 90000, "E_Year": 8100, "P_Akku": 310.5, "P_Grid": 12.4,
+        "P_Load": -330.7, "P_PV": pv, "rel_Autonomy": 88.6, "rel_SelfConsumption": 97, **site,
     }
     data = {"Inverters": {"1": inverter}, "Site": site, "Version": "12"}
     head = {"RequestArguments": {}, "Status": {"Code": 0}, "Timestamp": stamp}
@@ -28,16 +28,16 @@ def power_flow(stamp="2021-03-01T18:31:40+01:00", soc=75.5, pv=7.8, **site):
 
 def test_power_flow(spark):
     row = payloads.parse_power_flow(bodies(spark, power_flow())).first()
-    assert row.timestamp == datetime(2021, 3, 1, 17, 31, 40)
-    assert (row.p_battery, row.p_grid, row.p_local, row.p_solar, row.p_total) == (606.8, 27.1, -596.1, 7.8, 569)
-    assert (row.pct_selfsufficient, row.pct_autonomy) == (100, 95.4)
+    assert row.timestamp == datetime(2022, 2, 3, 9, 11, 12)
+    assert (row.p_battery, row.p_grid, row.p_local, row.p_solar, row.p_total) == (310.5, 12.4, -330.7, 7.8, 421)
+    assert (row.pct_selfsufficient, row.pct_autonomy) == (97, 88.6)
     assert (row.battery_state, row.battery_state_norm) == (75.5, 74.2)
-    assert (row.e_day, row.e_year, row.e_total) == (4334, 45361, 453617)
+    assert (row.e_day, row.e_year, row.e_total) == (1200, 8100, 90000)
 
 
 def test_power_flow_with_comments(spark):
-    text = json.dumps(power_flow(), indent=2).replace('"P": 569,', '"P": 569,  // watts now')
-    assert payloads.parse_power_flow(bodies(spark, "// reading\n" + text)).first().p_total == 569
+    text = json.dumps(power_flow(), indent=2).replace('"P": 421,', '"P": 421,  // watts now')
+    assert payloads.parse_power_flow(bodies(spark, "// reading\n" + text)).first().p_total == 421
 
 
 @pytest.mark.parametrize(
@@ -60,6 +60,17 @@ def test_bad_power_flow_is_dropped(spark):
     assert payloads.bad_rows(df).count() == 5
 
 
+@pytest.mark.parametrize("missing", [*payloads.SITE_FIELDS.values(), "P"])
+def test_a_missing_field_is_a_reject_and_a_null_is_0(spark, missing):
+    short, null = power_flow(), power_flow()
+    for flow in (short, null):
+        fields = flow["Body"]["Data"]["Inverters"]["1"] if missing == "P" else flow["Body"]["Data"]["Site"]
+        fields[missing] = None
+    del (short["Body"]["Data"]["Inverters"]["1"] if missing == "P" else short["Body"]["Data"]["Site"])[missing]
+    df = bodies(spark, short, null)
+    assert payloads.parse_power_flow(df).count() == payloads.bad_rows(df).count() == 1
+
+
 PLUG = {"status": {"dps": {"1": True, "18": 500, "19": 1150, "20": 2300, "38": "memory"}}, "dev_id": 1,
         "device_id": "x", "received_at": "2024-01-01T00:00:05.7Z"}
 
