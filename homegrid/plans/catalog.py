@@ -301,6 +301,34 @@ def price_rolling_rows(ev):
     return series.rolling_row_sum(resample_ffill(ev), "timestamp", "price", 12)
 
 
+@query
+def price_history(ev):
+    """Every slot was fetched twice; the later fetch has the price, a third one has none."""
+    last = views.prices_raw(ev).withColumn("currency", F.lit("DKK")).withColumn("arrival", F.lit(2))
+    first = last.withColumn("price", F.col("price") + 100).withColumn("arrival", F.lit(1))
+    none = last.withColumn("price", F.lit(float("inf"))).withColumn("arrival", F.lit(3))
+    return jobs.price_history(first.unionByName(none).unionByName(last), "arrival")
+
+
+def _price_fetch(rows: DataFrame) -> DataFrame:
+    """Rows of prices as parse_prices gives them, from one payload per day."""
+    end = F.col("timestamp") + F.expr("interval 15 minutes")
+    element = F.struct(
+        _stamp("timestamp").alias("start"), F.date_format(end, STAMP).alias("end"), (F.col("price") * 1000).alias("value")
+    )
+    area = F.create_map(F.lit("DK2"), F.struct(F.col("items").alias("values")))
+    bodies = _by_day(rows, element, "timestamp").select(F.to_json(F.struct(area.alias("areas"))).alias("body"))
+    return payloads.parse_prices(bodies, "DK2", "DKK", position=True)
+
+
+@query
+def price_job(ev):
+    """Two fetches which share a day, and a third that is missing."""
+    rows = views.prices_raw(ev)
+    today, tomorrow = rows.filter("timestamp < '2024-01-16'"), rows.filter("timestamp >= '2024-01-15'")
+    return jobs.day_ahead_prices(_price_fetch(today), _price_fetch(tomorrow), None)
+
+
 @query
 def price_tariff(ev):
     return prices.with_tariff(_kwh_prices(ev), LOCAL)

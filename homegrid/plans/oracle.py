@@ -362,6 +362,22 @@ QUERIES = {
                round(case when count(price) over w = 12 then sum(price) over w / 4 end, 4)
                  as rolling_sum
         from ffill window w as (order by timestamp rows between current row and 11 following)""",
+    "price_history": """
+        select timestamp, round(price, 4) as price, 'DKK' as currency,
+               round(case when count(price) over w = 12 then sum(price) over w / 4 end, 4)
+                 as rolling_sum
+        from ffill window w as (order by timestamp rows between current row and 11 following)""",
+    "price_job": """
+        with rows_in as (
+          select floor(10800000000 / median(step))::bigint as n
+          from (select epoch_us(timestamp) - lag(epoch_us(timestamp)) over (order by timestamp) as step from prices_raw)),
+        numbered as (
+          select timestamp, price, row_number() over (order by timestamp) as i,
+                 sum(price) over (order by timestamp range between
+                   interval '10799.999999 seconds' preceding and current row) / 4 as s
+          from prices_raw)
+        select a.timestamp, round(a.price, 4) as price, round(b.s, 4) as rolling_sum, 'DKK' as currency
+        from numbered a left join numbered b on b.i = a.i + (select n from rows_in) - 1""",
     "price_tariff": f"""
         select timestamp, round(price, 4) as price, {tariff(LOCAL)} as "offset",
                round(price + {tariff(LOCAL)}, 4) as price_with_tariff,

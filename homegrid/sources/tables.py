@@ -82,6 +82,4 @@ def spine_of(df: DataFrame, day: str = "date") -> DataFrame:
 def missing_dates(spine: DataFrame, stored: DataFrame, key: str = "date") -> DataFrame:
     """Dates of the spine before the oldest stored one."""
     oldest = stored.agg(F.coalesce(F.min(key), F.lit("9999-12-31").cast("date")).alias("d"))
-    return spine.filter(F.col("date") < oldest.scalar()).join(
-        stored.select(F.col(key).alias("date")), "date", "left_anti"
-    )
+    return spine.filter(F.col("date") < oldest.scalar())
