@@ -78,7 +78,7 @@ def anchors(data: np.ndarray, at: np.ndarray, length: int) -> tuple[Sums, dict[s
 
 def pieces(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """(doc_id of each row, byte offset of each row in its text, bytes, row offsets); long texts in pieces."""
-    for part, data, at in chunks(batches, "text", CHUNK):
+    for part, data, at in chunks(batches, "text", CHUNK // 4):
         ids = column_of(part, "doc_id").to_numpy(zero_copy_only=False)
         if len(data) <= 2 * PIECE:
             yield ids, np.zeros(len(ids), np.int64), data, at
