@@ -24,6 +24,8 @@ from pyspark.storagelevel import StorageLevel
 from homegrid.session import stored_copy
 
 DEVICE = ("dev_id",)
+ROUNDS = 300
+SAME = 1e-9
 WATT_SECONDS_PER_KWH = 3_600_000
 PARALLEL_FITS = 4
 
@@ -150,23 +152,27 @@ def _means(assigned: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def cluster_devices(
-    profiles: DataFrame, k: int = 3, rounds: int = 10, keys: Sequence[str] = DEVICE
+    profiles: DataFrame, k: int = 3, rounds: int = ROUNDS, keys: Sequence[str] = DEVICE
 ) -> DataFrame:
     """k-means label of each cycle within its device, for all devices at once.
 
     ``profiles`` is read twice, so give a stored table. The first centers are fixed
     cycles: labels are the same in each run. Arrays and the centers of each round are
     tables in the shared folder, so a lost executor costs at most the round at hand. A
-    center without cycles stays where it was. Stops early when no center moves.
+    center without cycles stays where it was. Ends when no center moves any more; ``rounds``
+    only guards against going round in circles.
     """
     arrays = stored_copy(_scaled_arrays(profiles, keys), "arrays")
     centers = stored_copy(_first_centers(arrays, k, keys), "centers")
     for _ in range(rounds):
         means = _means(_nearest(arrays, centers, keys), keys)
         x = F.coalesce("_new", "x")
+        # sums of another order differ in the last digits
+        steps = F.zip_with("_new", "x", lambda a, b: F.abs(a - b) > SAME)
+        moved = F.coalesce(F.exists(steps, lambda far: far), F.lit(False))
         centers = stored_copy(
             centers.join(means, [*keys, "cluster"], "left").select(
-                *keys, "cluster", x.alias("x"), (x != F.col("x")).alias("moved")
+                *keys, "cluster", x.alias("x"), moved.alias("moved")
             ),
             "centers",
         )

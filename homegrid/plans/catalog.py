@@ -26,7 +26,6 @@ QUERIES: dict[str, Query] = {}
 DIGITS = 4
 FINE_DIGITS = 6  # for prices per kWh, whose sums have up to six decimals
 STEP_S = 60
-ROUNDS = 3  # k-means rounds, also in the SQL
 SLOT = "15 minutes"
 LOCAL = "Europe/Copenhagen"
 STAMP = "yyyy-MM-dd'T'HH:mm:ss'+00:00'"
@@ -536,12 +535,12 @@ def cluster_cycles(ev):
 
 @query
 def cluster_devices(ev):
-    return cluster.cluster_devices(stored_copy(_profiles(ev), "profiles"), rounds=ROUNDS)
+    return cluster.cluster_devices(stored_copy(_profiles(ev), "profiles"))
 
 
 @query
 def appliance_summary(ev):
-    return jobs.appliance_summary(views.consumption(ev), rounds=ROUNDS, step_s=STEP_S)
+    return jobs.appliance_summary(views.consumption(ev), step_s=STEP_S)
 
 
 @query

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from homegrid.operators.cluster import cluster_devices, cluster_profiles, cluster_usage
+from homegrid.operators.cluster import ROUNDS, cluster_devices, cluster_profiles, cluster_usage
 from homegrid.operators.cycles import cycle_marks, cycle_pairs, cycle_profiles
 from homegrid.operators.devices import device_readings, second_means
 from homegrid.operators.prices import clean_prices, union_prices
@@ -58,7 +58,7 @@ def appliance_profiles(
 
 
 def appliance_summary(
-    consumption: DataFrame, k: int = 3, rounds: int = 10, step_s: int = 1
+    consumption: DataFrame, k: int = 3, rounds: int = ROUNDS, step_s: int = 1
 ) -> DataFrame:
     """Use of an average cycle in each cluster of each located device."""
     profiles = stored_copy(appliance_profiles(consumption, step_s=step_s), "profiles")
