@@ -3,8 +3,10 @@
 Vectors are dealt to the lists of a few thousand centroids, fitted on a bounded sample so that
 lists are of like size. A vector near a boundary is replicated to several lists. Centroids are
 searched through a graph of their neighbours that every task holds in memory; a query visits
-the lists whose centroid is not much farther than the nearest one. Lists are joined with the
-queries that visit them, block by block, and the best of all blocks are ranked.
+all lists whose centroid is not farther than the nearest one by more than a ratio. That ratio is
+measured on the data at hand: some queries are scored against all vectors, and it is the least
+one with which the search finds RECALL of their neighbours. Lists are joined with the queries
+that visit them, block by block, and the best of all blocks are ranked.
 
 The largest inner product is the least distance once each vector has one more component that
 gives all the same length; centroids and boundaries use that distance, scores the original
@@ -29,9 +31,12 @@ LIST, CENTROIDS, SAMPLE = 256, 4096, 40_000
 #: Lists that a vector is put in at most, how much farther than its nearest one they may be, and
 #: by how much (squared) two centroids may be nearer to each other than to the vector.
 REPLICAS, BOUNDARY, ALIKE = 4, 1.20, 16
-#: Lists that a query looks at, at least and at most, and how much farther than the nearest one they may be.
-VISITED_LEAST, VISITED, RATIO = 8, 48, 1.12
-NEIGHBOURS, BEAM, ENTRIES = 24, 96, 32
+#: Lists that a query looks at, at least.
+VISITED_LEAST = 8
+#: Queries that are scored against all vectors, and the part of their neighbours that the visited lists must hold.
+MEASURED, RECALL = 200, 0.97
+#: Links of a centroid, centroids in a beam at first, and where searches start. A beam of 1 / DENSE of all is no longer searched by graph.
+NEIGHBOURS, BEAM, ENTRIES, DENSE = 24, 96, 32, 8
 BLOCK = 2048
 
 
@@ -104,6 +109,81 @@ class Graph:
             open_ &= ~repeat
         return ids, dist
 
+    def distances(self, x: np.ndarray) -> np.ndarray:
+        """Squared distances of each vector to all centroids."""
+        return np.maximum(0, (x**2).sum(1)[:, None] + (self.centers**2).sum(1) - 2 * x @ self.centers.T)
+
+    def visits(self, x: np.ndarray, ratio: float) -> tuple[np.ndarray, np.ndarray]:
+        """(row, centroid) of all whose squared distance is within ``ratio`` of the nearest one's, and of the first few.
+
+        Where a beam ends before the ratio does, it is made four times as wide, up to all centroids.
+        """
+        k, beam, rows, found = len(self.centers), BEAM, np.arange(len(x)), []
+        while len(rows):
+            if beam * DENSE >= k:
+                dist = self.distances(x[rows])
+                ids = np.argsort(dist, axis=1, kind="stable")
+                dist = np.take_along_axis(dist, ids, 1)
+            else:
+                ids, dist = self.search(x[rows], beam)
+            real = ids >= 0
+            use = real & ((dist <= ratio * np.maximum(dist[:, :1], 1e-12)) | (np.arange(ids.shape[1]) < VISITED_LEAST))
+            n = real.sum(1)
+            more = (use.sum(1) == n) & (n < k)
+            row, j = np.nonzero(use & ~more[:, None])
+            found.append((rows[row], ids[row, j]))
+            rows, beam = rows[more], 4 * beam
+        return np.concatenate([r for r, _ in found]), np.concatenate([c for _, c in found])
+
+
+def fit_ratio(graph: Graph, x: np.ndarray, query: np.ndarray, vector: np.ndarray, lists: np.ndarray) -> float:
+    """The least ratio with which visits of ``x`` hold RECALL of their neighbours; infinite where none is known.
+
+    ``query``, ``vector`` and ``lists`` say that a neighbour of a row of ``x`` is in a list.
+    """
+    if not len(query):
+        return float("inf")
+    dist = graph.distances(x)
+    place = np.argsort(np.argsort(dist, axis=1, kind="stable"), axis=1, kind="stable")
+    need = dist[query, lists] / np.maximum(dist.min(1), 1e-12)[query]
+    need[place[query, lists] < VISITED_LEAST] = 0
+    order = np.lexsort((vector, query))
+    head = np.flatnonzero(np.concatenate([[True], (np.diff(query[order]) != 0) | (np.diff(vector[order]) != 0)]))
+    least = np.sort(np.minimum.reduceat(need[order], head))
+    at = int(np.ceil(RECALL * len(least))) - 1
+    while True:  # the graph may miss some of what is within the ratio
+        ratio = max(1.0, least[at] * (1 + 1e-9)) if at < len(least) else float("inf")
+        seen = np.zeros(dist.shape, bool)
+        seen[graph.visits(x, ratio)] = True
+        if ratio == float("inf") or np.logical_or.reduceat(seen[query, lists][order], head).mean() >= RECALL:
+            return float(ratio)
+        at += max(1, len(least) // 200)
+
+
+def exact_neighbours(vectors: DataFrame, ids: np.ndarray, q: np.ndarray, top: int) -> DataFrame:
+    """(query, vec_id): the ``top`` best of all vectors for each row of a few queries ``q``, without its own id."""
+    sent = vectors.sparkSession.sparkContext.broadcast((ids, q))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids_, q_ = sent.value
+        best, score = np.zeros((len(q_), 0), np.int64), np.zeros((len(q_), 0))
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            own = column_of(batch, "vec_id").to_numpy(zero_copy_only=False)
+            s = q_ @ _matrix(column_of(batch, "v")).T
+            s[ids_[:, None] == own[None, :]] = -np.inf
+            score = np.concatenate([score, s], 1)
+            best = np.concatenate([best, np.broadcast_to(own, s.shape)], 1)
+            if score.shape[1] > top:
+                keep = np.argpartition(-score, top - 1, axis=1)[:, :top]
+                best, score = np.take_along_axis(best, keep, 1), np.take_along_axis(score, keep, 1)
+        row, j = np.nonzero(score > -np.inf)
+        yield pa.RecordBatch.from_arrays([pa.array(row.astype(np.int64)), pa.array(best[row, j]), pa.array(score[row, j])], ["query", "vec_id", "score"])
+
+    place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id"))
+    return vectors.mapInArrow(run, "query long, vec_id long, score double").withColumn("r", place).where(F.col("r") <= top).select("query", "vec_id")
+
 
 def fit_centers(sample: np.ndarray, k: int, rounds: int = 12, seed: int = 3) -> np.ndarray:
     """K-means whose distances grow with the size of a list, so that lists stay of like size."""
@@ -145,7 +225,8 @@ def nearest(rows: DataFrame, every: int = 20, top: int = 20) -> DataFrame:
     own, nearest first and ties by the smaller vec_id. Rows with a null, zero or non-finite
     vector, without an id, or with another dimension than most take no part. Of equal vectors
     only the first ``top`` + 1 by id can be among the nearest, so the others are not looked at.
-    An empty table gives no rows; of repeated rows one counts.
+    An empty table gives no rows; of repeated rows one counts. The lists that are visited hold
+    RECALL of the neighbours of MEASURED queries, however many lists that takes.
     """
     spark = rows.sparkSession
     data = stored_copy(valid_vectors(rows).dropDuplicates(["vec_id"]), "vectors")
@@ -194,20 +275,25 @@ def nearest(rows: DataFrame, every: int = 20, top: int = 20) -> DataFrame:
         for batch in batches:
             for a in range(0, batch.num_rows, 500):
                 part_ = batch.slice(a, 500)
-                x = lifted(_matrix(column_of(part_, "v")), True)
-                ids, dist = graph.search(x, BEAM)
-                use = (dist <= RATIO**2 * np.maximum(dist[:, :1], 1e-12)) | (np.arange(ids.shape[1]) < VISITED_LEAST)
-                use &= (np.arange(ids.shape[1]) < VISITED) & (ids >= 0)
-                row, j = np.nonzero(use)
+                row, to = graph.visits(lifted(_matrix(column_of(part_, "v")), True), ratio)
                 take = pa.array(row)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[row, j].astype(np.int64)), column_of(part_, "vec_id").take(take), column_of(part_, "v").take(take)], ["list", "query_id", "q"])
+                yield pa.RecordBatch.from_arrays([pa.array(to.astype(np.int64)), column_of(part_, "vec_id").take(take), column_of(part_, "v").take(take)], ["list", "query_id", "q"])
 
     lists = stored_copy(kept.mapInArrow(deal, "list long, vec_id long, v array<double>"), "lists")
+    queries = data.where(F.pmod("vec_id", F.lit(every)) == 0)
+    some = queries.orderBy(F.xxhash64("vec_id", F.lit(11)), "vec_id").limit(MEASURED).toArrow()
+    ratio = float("inf")
+    if some.num_rows:
+        q = _matrix(some.column("v").combine_chunks())
+        exact = exact_neighbours(kept, some.column("vec_id").to_numpy(), q, top)
+        # MEASURED * top rows
+        held = lists.select("vec_id", "list").join(F.broadcast(exact), "vec_id").toArrow()
+        ratio = fit_ratio(sent.value, lifted(q, True), *(held.column(c).to_numpy() for c in ("query", "vec_id", "list")))
     blocks = lists.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     # CENTROIDS rows at most
     dealt = lists.join(F.broadcast(blocks), "list").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
     dealt = dealt.select("list", "block", "vec_id", "v")
-    asked = data.where(F.pmod("vec_id", F.lit(every)) == 0).mapInArrow(visit, "list long, query_id long, q array<double>")
+    asked = queries.mapInArrow(visit, "list long, query_id long, q array<double>")
     spread = blocks.select("list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("part"))
     asked = asked.join(spread, "list").select("list", "part", "query_id", "q")
 

@@ -85,6 +85,39 @@ def test_recall(spark):
     assert sum(len(set(got[q]) & set(want[q])) for q in want) / sum(map(len, want.values())) > 0.9
 
 
+def test_recall_where_most_lists_are_not_visited(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    e = rng.normal(size=(12_000, 16))  # they point anywhere
+    monkeypatch.setattr(ann, "LIST", 12)
+    asked, fit = [], ann.fit_ratio
+
+    def spied(graph, x, *rest):
+        asked.append((graph, x, fit(graph, x, *rest)))
+        return asked[-1][2]
+
+    monkeypatch.setattr(ann, "fit_ratio", spied)
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(e.tolist())], "vec_id long, embedding array<double>").repartition(8)
+    got = collections.defaultdict(list)
+    for r in sorted(ann.nearest(df).collect(), key=lambda r: (r.query_id, r.rank)):
+        got[r.query_id].append(r.vec_id)
+    want = brute_nearest(np.arange(len(e)), e, 20, 20)
+    assert got.keys() == want.keys()
+    assert sum(len(set(got[q]) & set(want[q])) for q in want) / sum(map(len, want.values())) > 0.95
+    graph, x, ratio = asked[0]
+    assert len(graph.centers) == 1000 and 48 < len(graph.visits(x, ratio)[0]) / len(x) < 500
+
+
+def test_visits_are_all_within_the_ratio():
+    rng = np.random.default_rng(6)
+    graph, x = ann.Graph.build(rng.normal(size=(1500, 10))), rng.normal(size=(40, 10))
+    d = graph.distances(x)
+    for ratio in (1.5, 3.0, float("inf")):
+        want = d <= ratio * d.min(1, keepdims=True)
+        seen = np.zeros(d.shape, bool)
+        seen[graph.visits(x, ratio)] = True
+        assert (seen & want).sum() > 0.97 * want.sum() and (seen.all() or ratio < float("inf"))
+
+
 def test_few_vectors_are_exact(spark):
     rng = np.random.default_rng(2)
     e = np.round(rng.normal(size=(60, 8)) * rng.integers(1, 5, (60, 1)), 2)
