@@ -138,8 +138,9 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFra
 def proximity_matches(docs: DataFrame, items: DataFrame, span: int) -> DataFrame:
     """(doc_id, version, item_id, first, last): where all terms of an item lie within ``span`` words.
 
-    From each posting of the item's rarest term, the nearest posting of every other term is
-    sought within the span on either side. Items whose terms repeat need each term once.
+    Of each place the least windows are given, those that hold no smaller one. Around each posting
+    of the item's rarest term every posting of its terms is tried as the start of a window, which
+    ends where the last of the terms first stands. Items whose terms repeat need each term once.
     """
     words = windows(items, 1 << 30).select("item_id", "word").distinct()
     terms = stored_copy(words.select("word").distinct().withColumn("term", F.row_number().over(Window.orderBy("word"))), "terms")
@@ -152,10 +153,12 @@ def proximity_matches(docs: DataFrame, items: DataFrame, span: int) -> DataFrame
     places = index.join(seeds, "term").select("doc_id", "version", "item_id", "many", F.col("position").alias("at"))
     asked = places.join(ranked.select("item_id", "term"), "item_id")
     other = index.withColumnRenamed("position", "p")
-    near = asked.join(other, ["doc_id", "version", "term"]).where(F.abs(F.col("p") - F.col("at")) < span)
-    best = near.groupBy("doc_id", "version", "item_id", "many", "at", "term").agg(F.min_by("p", F.struct(F.abs(F.col("p") - F.col("at")), "p")).alias("p"))
-    whole = best.groupBy("doc_id", "version", "item_id", "many", "at").agg(F.count("*").alias("n"), F.min("p").alias("first"), F.max("p").alias("last"))
-    return whole.where((F.col("n") == F.col("many")) & (F.col("last") - F.col("first") < span)).select("doc_id", "version", "item_id", "first", "last").distinct()
+    near = asked.join(other, ["doc_id", "version", "term"]).where(F.abs(F.col("p") - F.col("at")) < span).distinct()
+    seed = ["doc_id", "version", "item_id", "many", "at"]
+    starts = near.where("p <= at").select(*seed, F.col("p").alias("first"))
+    inside = starts.join(near, seed).where((F.col("p") >= F.col("first")) & (F.col("p") - F.col("first") < span))
+    ends = inside.groupBy(*seed, "first", "term").agg(F.min("p").alias("p")).groupBy(*seed, "first").agg(F.count("*").alias("n"), F.max("p").alias("last"))
+    return ends.where("n = many").groupBy("doc_id", "version", "item_id", "last").agg(F.max("first").alias("first")).select("doc_id", "version", "item_id", "first", "last")
 
 
 def keep_clean(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFrame:

@@ -329,3 +329,25 @@ def test_proximity(spark, documents):
     df = documents([(1, "alpha x x beta"), (2, "alpha x x x x x beta"), (3, "beta alpha"), (4, "alpha")])
     got = decontam.proximity_matches(df, items_table(spark, [(7, "alpha beta")]), 5).collect()
     assert sorted((r.doc_id, r.item_id, r.first, r.last) for r in got) == [(1, 7, 0, 3), (3, 7, 0, 1)]
+
+
+def brute_proximity(rows, items, span):
+    out = set()
+    for i, t in rows:
+        w = (t or "").split()
+        for item, text in items:
+            terms = set(text.split())
+            spans = [(a, b) for a in range(len(w)) for b in range(a, min(len(w), a + span)) if terms <= set(w[a : b + 1])]
+            out |= {(i, item, a, b) for a, b in spans if not any((c, d) != (a, b) and a <= c and d <= b for c, d in spans)}
+    return sorted(out)
+
+
+def test_proximity_of_more_terms_against_brute_force(spark, documents):
+    rng = random.Random(9)
+    items = [(1, "alpha beta gamma"), (2, "alpha beta gamma delta"), (3, "gamma delta alpha gamma"), (4, "beta"), (5, "alpha none beta")]
+    rows = [(1, "beta x x alpha x x x beta gamma"), (2, None)]
+    rows += [(i, " ".join(rng.choice(["alpha", "beta", "gamma", "delta", "x", "y", "z"]) for _ in range(rng.randrange(60)))) for i in range(10, 60)]
+    for span in (4, 6):
+        got = decontam.proximity_matches(documents([*rows, rows[5]]), items_table(spark, items), span).collect()
+        assert sorted((r.doc_id, r.item_id, r.first, r.last) for r in got) == brute_proximity(rows, items, span)
+    assert (1, 1, 3, 8) in brute_proximity(rows, items, 6)
