@@ -20,6 +20,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LENGTH = -1
 #: Broadcast the distinct test terms or windows only up to so many rows; beyond it they are joined by shuffle.
 SMALL = 200_000
+#: What tells texts apart: doc_id, filled in where ``no_id`` says that it is null, so that null ids meet in joins, and a hash.
+KEY = ["no_id", "doc_id", "version"]
 
 
 def lowered(word: Column) -> Column:
@@ -43,22 +45,28 @@ def windows(items: DataFrame, width: int = 10) -> DataFrame:
     )
 
 
+def own_id() -> Column:
+    """doc_id as it was, from the columns of KEY."""
+    return F.when(~F.col("no_id"), F.col("doc_id")).alias("doc_id")
+
+
 def _sized(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= SMALL else df
 
 
 def positional_index(docs: DataFrame, terms: DataFrame, n_terms: int) -> DataFrame:
-    """The stored postings (term, doc_id, version, position) of ``terms`` (word, term), sorted by term within each file."""
-    tokens = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("version"), words_of("text").alias("words"))
+    """The stored postings (term, KEY, position) of ``terms`` (word, term), sorted by term within each file."""
+    filled = F.coalesce(F.col("doc_id"), F.lit("0").cast(docs.schema["doc_id"].dataType)).alias("doc_id")
+    tokens = docs.select(F.col("doc_id").isNull().alias("no_id"), filled, F.xxhash64(F.coalesce("text", F.lit(""))).alias("version"), words_of("text").alias("words"))
     rows = tokens.select(
-        "doc_id", "version", F.posexplode(F.concat(F.array(F.lit(None).cast("string")), "words")).alias("at", "raw"), F.size("words").alias("n")
-    ).select("doc_id", "version", "at", "n", lowered(F.col("raw")).alias("word"))
+        *KEY, F.posexplode(F.concat(F.array(F.lit(None).cast("string")), "words")).alias("at", "raw"), F.size("words").alias("n")
+    ).select(*KEY, "at", "n", lowered(F.col("raw")).alias("word"))
     found = rows.join(_sized(terms, n_terms), "word", "left").where("term is not null or word is null")
     postings = found.select(
-        F.coalesce("term", F.lit(LENGTH)).alias("term"), "doc_id", "version",
+        F.coalesce("term", F.lit(LENGTH)).alias("term"), *KEY,
         F.when(F.col("word").isNull(), F.col("n")).otherwise(F.col("at") - 1).alias("position"),
     )
-    return stored_copy(postings.sortWithinPartitions("term", "doc_id", "version", "position"), "postings")
+    return stored_copy(postings.sortWithinPartitions("term", *KEY, "position"), "postings")
 
 
 def _ranked(windows_: DataFrame, frequency: DataFrame) -> DataFrame:
@@ -69,7 +77,7 @@ def _ranked(windows_: DataFrame, frequency: DataFrame) -> DataFrame:
 
 
 def phrase_matches(docs: DataFrame, items: DataFrame, width: int = 10) -> tuple[DataFrame, DataFrame]:
-    """The postings, and (doc_id, version, item_id, w, len, begin) for every occurrence of every window."""
+    """The postings, and (KEY, item_id, w, len, begin) for every occurrence of every window."""
     raw = stored_copy(windows(items, width), "windows")
     terms = stored_copy(raw.select("word").distinct().withColumn("term", F.row_number().over(Window.orderBy("word"))), "terms")
     n_terms = terms.count()
@@ -86,22 +94,21 @@ def phrase_matches(docs: DataFrame, items: DataFrame, width: int = 10) -> tuple[
     never = ranked.where("seen = 0").select("item_id").distinct()
     live = ranked.join(never, "item_id", "left_anti")
     seeds = live.where("rank = 1").select("term", F.col("item_id").alias("phrase"), "len", "j")
-    places = lists.join(_sized(seeds, n_windows), "term").select("doc_id", "version", "phrase", "len", (F.col("position") - F.col("j")).alias("begin"))
+    places = lists.join(_sized(seeds, n_windows), "term").select(*KEY, "phrase", "len", (F.col("position") - F.col("j")).alias("begin"))
     places = stored_copy(places.where("begin >= 0"), "places")
-    key = ["doc_id", "version"]
 
     def kept(found: DataFrame, ranks: Column, others: DataFrame) -> DataFrame:
         """The places at whose offsets all terms of these ranks stand."""
         terms_ = live.where(ranks).select(F.col("item_id").alias("phrase"), "term", "j")
-        asked = found.join(_sized(terms_, n_windows), "phrase").select(*key, "phrase", "len", "begin", "term", (F.col("begin") + F.col("j")).alias("position"))
-        hits = asked.join(others, [*key, "term", "position"]).distinct()
-        return hits.groupBy(*key, "phrase", "len", "begin").agg(F.count("*").alias("n"))
+        asked = found.join(_sized(terms_, n_windows), "phrase").select(*KEY, "phrase", "len", "begin", "term", (F.col("begin") + F.col("j")).alias("position"))
+        hits = asked.join(others, [*KEY, "term", "position"]).distinct()
+        return hits.groupBy(*KEY, "phrase", "len", "begin").agg(F.count("*").alias("n"))
 
     # the second list leaves few places; the others are read for the documents of these alone
     second = live.where("rank = 2").select("term").distinct()
     twice = stored_copy(kept(places.where("len > 1"), F.col("rank") == 2, lists.join(_sized(second, n_windows), "term", "left_semi")).drop("n"), "twice")
-    some = twice.where("len > 2").select(*key).distinct()
-    rest = lists.join(_sized(some, some.count()), key, "left_semi")
+    some = twice.where("len > 2").select(*KEY).distinct()
+    rest = lists.join(_sized(some, some.count()), KEY, "left_semi")
     full = kept(twice.where("len > 2"), F.col("rank") > 2, rest).where(F.col("n") == F.col("len") - 2).drop("n")
     whole = full.unionByName(twice.where("len = 2")).unionByName(places.where("len = 1").distinct())
     return index, whole.join(spelled.select("item_id", "w", "phrase"), "phrase")
@@ -112,24 +119,22 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFra
 
     A word is hit if it is inside any occurrence of a window. Null texts have no words. Rows
     of one doc_id are told apart by a hash of their text (version); equal rows give equal
-    results, once each. A null item_id is left out.
+    results, once each; rows without an id are looked at like all others. A null item_id is left out.
     """
     index, found = phrase_matches(docs, items, width)
     found = stored_copy(found, "matches")
-    key = ["doc_id", "version"]
-    spans = found.select(*key, "begin", "len").distinct()
-    hit = spans.select(*key, F.explode(F.sequence("begin", F.col("begin") + F.col("len") - 1)).alias("at")).distinct().groupBy(*key).agg(
+    spans = found.select(*KEY, "begin", "len").distinct()
+    hit = spans.select(*KEY, F.explode(F.sequence("begin", F.col("begin") + F.col("len") - 1)).alias("at")).distinct().groupBy(*KEY).agg(
         F.count("*").alias("n_hit")
     )
-    names = found.select(*key, F.col("item_id").cast("string").alias("item")).distinct().groupBy(*key).agg(
+    names = found.select(*KEY, F.col("item_id").cast("string").alias("item")).distinct().groupBy(*KEY).agg(
         F.count("*").alias("n_items"), F.sha2(F.array_join(F.sort_array(F.collect_list("item")), ","), 256).alias("items_sha256")
     )
-    some = hit.join(names, key).select(*key, "n_hit", "n_items", "items_sha256")
-    lengths = index.where(F.col("term") == LENGTH).select(*key, F.col("position").cast("long").alias("n_words"))
-    same = [lengths[k].eqNullSafe(some[k]) for k in key]
+    some = hit.join(names, KEY).select(*KEY, "n_hit", "n_items", "items_sha256")
+    lengths = index.where(F.col("term") == LENGTH).select(*KEY, F.col("position").cast("long").alias("n_words"))
     none = F.sha2(F.lit(""), 256)
-    return lengths.join(some, same[0] & same[1], "left").select(
-        lengths["doc_id"], lengths["version"], "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
+    return lengths.join(some, KEY, "left").select(
+        own_id(), "version", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"), F.coalesce("items_sha256", none).alias("items_sha256"),
         F.coalesce(F.col("n_hit") > 0, F.lit(False)).alias("contaminated"),
     )
@@ -150,20 +155,20 @@ def proximity_matches(docs: DataFrame, items: DataFrame, span: int) -> DataFrame
     order = Window.partitionBy("item_id").orderBy(F.coalesce("seen", F.lit(0)), "term")
     ranked = stored_copy(wanted.withColumn("rank", F.row_number().over(order)).withColumn("many", F.count("*").over(Window.partitionBy("item_id"))), "ranked")
     seeds = ranked.where("rank = 1").select("term", "item_id", "many")
-    places = index.join(seeds, "term").select("doc_id", "version", "item_id", "many", F.col("position").alias("at"))
+    places = index.join(seeds, "term").select(*KEY, "item_id", "many", F.col("position").alias("at"))
     asked = places.join(ranked.select("item_id", "term"), "item_id")
     other = index.withColumnRenamed("position", "p")
-    near = asked.join(other, ["doc_id", "version", "term"]).where(F.abs(F.col("p") - F.col("at")) < span).distinct()
-    seed = ["doc_id", "version", "item_id", "many", "at"]
+    near = asked.join(other, [*KEY, "term"]).where(F.abs(F.col("p") - F.col("at")) < span).distinct()
+    seed = [*KEY, "item_id", "many", "at"]
     starts = near.where("p <= at").select(*seed, F.col("p").alias("first"))
     inside = starts.join(near, seed).where((F.col("p") >= F.col("first")) & (F.col("p") - F.col("first") < span))
     ends = inside.groupBy(*seed, "first", "term").agg(F.min("p").alias("p")).groupBy(*seed, "first").agg(F.count("*").alias("n"), F.max("p").alias("last"))
-    return ends.where("n = many").groupBy("doc_id", "version", "item_id", "last").agg(F.max("first").alias("first")).select("doc_id", "version", "item_id", "first", "last")
+    return ends.where("n = many").groupBy(*KEY, "item_id", "last").agg(F.max("first").alias("first")).select(own_id(), "version", "item_id", "first", "last")
 
 
 def keep_clean(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFrame:
     """The rows of ``docs`` in which no window of the test set occurs, with all their columns."""
     _, found = phrase_matches(docs, items, width)
-    hit = found.select(F.col("doc_id").alias("_id"), F.col("version").alias("_version")).distinct()
+    hit = found.select(own_id().alias("_id"), F.col("version").alias("_version")).distinct()
     version = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
     return docs.join(hit, docs["doc_id"].eqNullSafe(hit["_id"]) & (version == hit["_version"]), "left_anti")

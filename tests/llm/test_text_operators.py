@@ -325,6 +325,19 @@ def test_empty_tables_and_clean_rows(spark, documents):
     assert kept.schema == df.schema and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 2]
 
 
+def test_rows_without_an_id_are_looked_at(spark, documents):
+    items = [(1, "one two three four"), (2, "five six"), (3, "seven")]
+    rows = [(None, "x one two three four y"), (0, "x one two three y"), (None, "five six seven"), (None, "six five"), (5, "x one two three four y"), (None, None)]
+    df, bench = documents([*rows, rows[0]]), items_table(spark, items)
+    out = decontam.contamination(df, bench)
+    assert out.schema["doc_id"] == df.schema["doc_id"]
+    got = sorted((r.doc_id or -1 * (r.doc_id is None), r.n_words, r.n_hit, r.n_items, r.contaminated) for r in out.collect())
+    assert got == [(-1, 0, 0, 0, False), (-1, 2, 0, 0, False), (-1, 3, 3, 2, True), (-1, 6, 4, 1, True), (-1, 6, 4, 1, True), (0, 5, 0, 0, False), (5, 6, 4, 1, True)]
+    assert sorted((r.doc_id is None, r.text or "") for r in decontam.keep_clean(df, bench).collect()) == [(False, "x one two three y"), (True, ""), (True, "six five")]
+    near = decontam.proximity_matches(df, items_table(spark, [(2, "five six")]), 3).collect()
+    assert sorted((r.doc_id, r.first, r.last) for r in near) == [(None, 0, 1)] * 2
+
+
 def test_proximity(spark, documents):
     df = documents([(1, "alpha x x beta"), (2, "alpha x x x x x beta"), (3, "beta alpha"), (4, "alpha")])
     got = decontam.proximity_matches(df, items_table(spark, [(7, "alpha beta")]), 5).collect()
