@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from homegrid.llm.arrow import CHUNK, _BASE, _BYTES, _INVERSE, _power, chunks, column_of, mix, text_bytes
 from homegrid.session import stored_copy
@@ -76,16 +76,17 @@ def anchors(data: np.ndarray, at: np.ndarray, length: int) -> tuple[Sums, dict[s
     return sums, {"row": row[lo], "place": place, "lo": lo, "hi": hi, "gram": rank[place]}
 
 
-def pieces(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(doc_id of each row, byte offset of each row in its text, bytes, row offsets); long texts in pieces."""
+def pieces(batches: Iterator[pa.RecordBatch], length: int, *more: str) -> Iterator[tuple[np.ndarray, ...]]:
+    """(doc_id of each row, byte offset of each row in its text, bytes, row offsets, ``more`` columns); long texts in pieces."""
     for part, data, at in chunks(batches, "text", CHUNK // 4):
         ids = column_of(part, "doc_id").to_numpy(zero_copy_only=False)
+        rest = [column_of(part, c).to_numpy(zero_copy_only=False) for c in more]
         if len(data) <= 2 * PIECE:
-            yield ids, np.zeros(len(ids), np.int64), data, at
+            yield ids, np.zeros(len(ids), np.int64), data, at, *rest
             continue
         for a in range(0, len(data) - length + 1, PIECE):  # one long text
             cut = data[a : a + PIECE + length - 1]
-            yield ids, np.array([a]), cut, np.array([0, len(cut)])
+            yield ids, np.array([a]), cut, np.array([0, len(cut)]), *rest
 
 
 def bit_table(values: DataFrame) -> np.ndarray:
@@ -108,15 +109,26 @@ def place_name(ids: np.ndarray, lo: np.ndarray) -> np.ndarray:
     return mix(ids.astype(np.int64).view(np.uint64) * np.uint64(0x9FB21C651E98DF25) + lo.astype(np.uint64))
 
 
+def version_of(text: str) -> Column:
+    """A hash that tells different texts of one doc_id apart."""
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
 def repeated_spans(docs: DataFrame, length: int = 50) -> DataFrame:
-    """(doc_id, start, end): bytes of strings of ``length`` that a document with a smaller id has too.
+    """(doc_id, version, start, end): bytes of strings of ``length`` that a document with a smaller id has too.
 
     Spans may overlap and touch. Rows without an id or with less text than ``length`` give none.
+    ``version`` is 0 for an id with one text, else it tells which of its texts has the span.
     """
     if length < GRAM + 1:
         raise ValueError(f"strings of {GRAM + 1} bytes or more")
     spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null and text is not null")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", version_of("text").alias("version")).where("doc_id is not null and text is not null")
+    differ = texts.groupBy("doc_id").agg(F.min("version").alias("a"), F.max("version").alias("b")).where("a <> b")
+    several = spark.sparkContext.broadcast(bit_table(differ.select(F.col("doc_id").alias("value"))))
+
+    def told_apart(ids: np.ndarray, version: np.ndarray) -> np.ndarray:
+        return np.where(has(several.value, ids.astype(np.int64).view(np.uint64)), version, 0)
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, _, data, at in pieces(batches, length):
@@ -128,28 +140,28 @@ def repeated_spans(docs: DataFrame, length: int = 50) -> DataFrame:
 
     def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
-        for ids, offset, data, at in pieces(batches, length):
+        for ids, offset, data, at, version in pieces(batches, length, "version"):
             sums, found = anchors(data, at, length)
             use = has(table, found["gram"])
             row, place, lo, hi = (found[k][use] for k in ("row", "place", "lo", "hi"))
             around = sums.rank(lo, hi + length) + mix(((hi - lo) * 64 + (place - lo)).astype(np.uint64))
             start = lo - at[row] + offset[row]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(found["gram"][use].view(np.int64)), pa.array(around.view(np.int64)), pa.array(ids[row]), pa.array(start * 64 + (hi - lo))],
-                ["gram", "around", "doc_id", "spot"],
+                [pa.array(found["gram"][use].view(np.int64)), pa.array(around.view(np.int64)), pa.array(ids[row]), pa.array(told_apart(ids[row], version[row])), pa.array(start * 64 + (hi - lo))],
+                ["gram", "around", "doc_id", "version", "spot"],
             )
 
-    alive = texts.mapInArrow(second, "gram long, around long, doc_id long, spot long")
+    alive = texts.mapInArrow(second, "gram long, around long, doc_id long, version long, spot long")
     by_gram, by_pair = Window.partitionBy("gram"), Window.partitionBy("gram", "around")
     told = (
         alive.withColumn("g_least", F.min("doc_id").over(by_gram)).withColumn("g_most", F.max("doc_id").over(by_gram))
         .withColumn("one", F.min("around").over(by_gram) == F.max("around").over(by_gram))
         .where("g_least <> g_most").withColumn("least", F.min("doc_id").over(by_pair))
-        .where("doc_id > least or not one").select("doc_id", "spot", (F.col("doc_id") > F.col("least")).alias("whole"))
+        .where("doc_id > least or not one").select("doc_id", "version", "spot", (F.col("doc_id") > F.col("least")).alias("whole"))
     )
     told = stored_copy(told, "anchors")
     start = F.floor(F.col("spot") / 64)
-    whole = told.where("whole").select("doc_id", start.alias("start"), (start + F.col("spot") % 64 + length).alias("end"))
+    whole = told.where("whole").select("doc_id", "version", start.alias("start"), (start + F.col("spot") % 64 + length).alias("end"))
 
     def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -162,7 +174,7 @@ def repeated_spans(docs: DataFrame, length: int = 50) -> DataFrame:
 
     def third(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = closer.value
-        for ids, offset, data, at in pieces(batches, length):
+        for ids, offset, data, at, version in pieces(batches, length, "version"):
             sums, found = anchors(data, at, length)
             row, lo, hi = found["row"], found["lo"], found["hi"]
             use = has(table, place_name(ids[row], lo - at[row] + offset[row]))
@@ -172,13 +184,13 @@ def repeated_spans(docs: DataFrame, length: int = 50) -> DataFrame:
             left, right = sums.rank(s, s + half), sums.rank(s + half, s + length)
             pair = mix(left * np.uint64(0xD1342543DE82EF95) + right)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(pair.view(np.int64)), pa.array(ids[r]), pa.array(s - at[r] + offset[r])], ["pair", "doc_id", "start"]
+                [pa.array(pair.view(np.int64)), pa.array(ids[r]), pa.array(told_apart(ids[r], version[r])), pa.array(s - at[r] + offset[r])], ["pair", "doc_id", "version", "start"]
             )
 
-    strings = texts.mapInArrow(third, "pair long, doc_id long, start long")
+    strings = texts.mapInArrow(third, "pair long, doc_id long, version long, start long")
     again = strings.withColumn("least", F.min("doc_id").over(Window.partitionBy("pair"))).where("doc_id > least")
-    return whole.select("doc_id", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end")).unionByName(
-        again.select("doc_id", "start", (F.col("start") + length).alias("end"))
+    return whole.select("doc_id", "version", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end")).unionByName(
+        again.select("doc_id", "version", "start", (F.col("start") + length).alias("end"))
     )
 
 
@@ -192,9 +204,10 @@ def merged(spans: np.ndarray) -> np.ndarray:
 
 
 def _with_spans(docs: DataFrame, length: int) -> DataFrame:
-    packed = repeated_spans(docs, length).select("doc_id", (F.col("start") * 4096 + F.col("end") - F.col("start")).alias("span"))
-    spans = packed.groupBy("doc_id").agg(F.collect_list("span").alias("_spans")).withColumnRenamed("doc_id", "_id")
-    return docs.join(spans, docs["doc_id"].cast("long") == spans["_id"], "left").drop("_id")
+    packed = repeated_spans(docs, length).select("doc_id", "version", (F.col("start") * 4096 + F.col("end") - F.col("start")).alias("span"))
+    spans = packed.groupBy("doc_id", "version").agg(F.collect_list("span").alias("_spans")).withColumnsRenamed({"doc_id": "_id", "version": "_version"})
+    mine = (docs["doc_id"].cast("long") == spans["_id"]) & ((spans["_version"] == 0) | (spans["_version"] == version_of("text")))
+    return docs.join(spans, mine, "left").drop("_id", "_version")
 
 
 def _cut(text: np.ndarray, packed: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
@@ -214,7 +227,8 @@ def _cut(text: np.ndarray, packed: np.ndarray | None) -> tuple[np.ndarray, np.nd
 def span_digests(docs: DataFrame, length: int = 50) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for every row; a null text is empty.
 
-    Rows that share an id are one document: neither repeats the other. A null id keeps its text.
+    Rows that share an id are one document: neither repeats the other, and each has the spans of
+    its own text. A null id keeps its text.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -267,6 +267,18 @@ def test_dropping_repeats(spark, documents):
     assert suffix.span_digests(documents([]), 50).count() == 0
 
 
+def test_texts_of_one_id_have_their_own_spans(spark, documents):
+    rng = random.Random(11)
+    part, other, own = ("".join(rng.choice("abcdefgh ") for _ in range(n)) for n in (90, 130, 400))
+    rows = [(1, part), (2, own + part), (2, "short"), (2, "y" + part + own), (3, other), (2, other[:60]), (4, other)]
+    df = documents(rows)
+    out = sorted((r.doc_id, r.text) for r in suffix.drop_repeats(df, 50).collect())
+    # own is in two texts of one id, which is one document; other[:60] of 2 is repeated by 3 and 4
+    assert out == sorted([(1, part), (2, own), (2, "short"), (2, "y" + own), (3, other[60:]), (2, other[:60]), (4, "")])
+    got = sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans) for r in suffix.span_digests(df, 50).collect())
+    assert got == sorted([(1, 90, 0, 0), (2, 490, 90, 1), (2, 5, 0, 0), (2, 491, 90, 1), (3, 130, 60, 1), (2, 60, 0, 0), (4, 130, 130, 1)])
+
+
 # -- benchmark decontamination ----------------------------------------------------------
 
 
