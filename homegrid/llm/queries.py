@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from homegrid.llm import ann, bpe, chat, decontam, jaccard, langid, lines, quality, suffix, toxic
+from homegrid.llm import ann, bpe, chat, decontam, fim, jaccard, langid, lines, quality, suffix, tokenfile, toxic
+from homegrid.session import shared_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +60,16 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxic.score_toxicity(docs, toxic.fit_toxicity(docs, table(spark, sf_dir, "labels")), threshold=0.5)
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_dir(spark, "tokens")
+    tokenfile.write_tokens(table(spark, sf_dir, "documents"), folder, bpe.public_vocabulary("byte_bpe_50k.json"), end=0)
+    return tokenfile.token_digests(tokenfile.read_tokens(spark, folder))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.fim_digests(fim.restored(fim.transform(table(spark, sf_dir, "documents"), seed="1", percent=90, spm_percent=20)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_jaccard_join": op2_jaccard_join,
@@ -70,6 +81,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_neighbours": op8_neighbours,
     "op9_line_dedup": op9_line_dedup,
     "op10_toxicity": op10_toxicity,
+    "op11_token_files": op11_token_files,
+    "op12_fill_in_middle": op12_fill_in_middle,
 }
 
 CONVERSATIONS = """
@@ -79,6 +92,29 @@ CONVERSATIONS = """
 """
 
 ORACLE_SQL: dict[str, str] = {
+    "op12_fill_in_middle": r"""
+with draws as (select doc_id, coalesce(text, '') as text, sha256('1:' || coalesce(cast(doc_id as varchar), '')) as h from documents),
+units as (
+  select doc_id, text, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') as u,
+         cast('0x' || substr(h, 1, 8) as bigint) as h1, cast('0x' || substr(h, 9, 8) as bigint) as h2,
+         cast('0x' || substr(h, 17, 8) as bigint) as h3, cast('0x' || substr(h, 25, 8) as bigint) as h4
+  from draws),
+cuts as (
+  select *, len(u) as n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) as a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) as b,
+         case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 % 100 >= 90 then 'plain'
+              when h4 % 100 < 20 then 'spm' else 'psm' end as form
+  from units),
+parts as (
+  select *, coalesce(array_to_string(u[1:a], ''), '') as prefix, coalesce(array_to_string(u[a + 1:b], ''), '') as middle,
+         coalesce(array_to_string(u[b + 1:n], ''), '') as suffix
+  from cuts)
+select doc_id, n, form, case when form <> 'plain' then length(prefix) end as prefix_chars,
+       case when form <> 'plain' then length(middle) end as middle_chars,
+       sha256(case form when 'plain' then text when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+       sha256(text) as restored_sha256
+from parts
+""",
     "op9_line_dedup": r"""
 with cut as (
   select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
