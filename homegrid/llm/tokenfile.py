@@ -15,9 +15,11 @@ that count. Files left by lost attempts are in no manifest and are never read.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import uuid
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 from struct import pack, unpack
 
@@ -30,14 +32,13 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from homegrid.llm.arrow import column_of
+from homegrid.llm.arrow import SPACES, byte_set, chunks, column_of
+from homegrid.llm.bpe import byte_letters
 
 #: Ids in a frame: 128 KiB before compression.
 FRAME = 1 << 15
 #: Bytes of text for each file.
 SHARD = 64 << 20
-#: Letters of one text that are encoded at a time.
-PIECE = 1 << 19
 DIRECTORY, SEEK_TABLE, SEEKABLE = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 CHECKSUMS = 0x80
 WORD = np.dtype("<u4")
@@ -153,53 +154,133 @@ class FrameReader:
 
 # -- encoding ----------------------------------------------------------------------------
 
-_WHITE = regex.compile(r"(?<=\S)\s")
-
-
-def pieces(text: str, most: int = PIECE) -> list[str]:
-    """Parts of a long text, cut before white space that follows another sign.
-
-    No word of the pre-tokenizer begins before such a place and ends behind it.
+#: The words of byte-level pre-tokenizers (fixed by the format).
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Entries of each cache of a worker, and the longest string that is kept in one.
+CACHE, LONGEST = 600_000, 100
+#: Bytes of text whose distinct parts are looked up together.
+BLOCK = 4 << 20
+BLANK = byte_set(SPACES)
+# In UTF-8: white space outside ASCII, and signs which not every library takes for white space.
+_ODD = re.compile(
+    rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1(?:\x9a\x80|\xa0\x8e)|\xe2(?:\x80[\x80-\x8b\xa8\xa9\xaf]|\x81\x9f)|\xe3\x80\x80|\xef\xbb\xbf"
+)
+
+
+class Encoder:
+    """Texts to ids with the tokenizers library, on one thread, without truncation or padding.
+
+    Texts are cut before white space that follows another sign, which no word of a byte-level
+    pre-tokenizer crosses. Of each block of text the distinct parts are encoded once, and what the
+    library's model says of a part or a word is kept in caches of bounded size. Texts with added
+    tokens or odd white space, and parts with letters on which versions of Unicode may differ,
+    go through the whole library, as do all texts of vocabularies of another kind.
     """
-    out, at = [], 0
-    while len(text) - at > most:
-        cut = _WHITE.search(text, at + most)
-        if cut is None:
-            break
-        out.append(text[at : cut.start()])
-        at = cut.start()
-    return [*out, text[at:]]
-
 
-_loaded: dict[str, object] = {}
-
-
-def loaded(path: str):
-    """One tokenizer for each Python worker, on one thread; truncation and padding are off."""
-    if path not in _loaded:
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.no_truncation()
-        tokenizer.no_padding()
-        _loaded[path] = tokenizer
+        self.library = Tokenizer.from_file(path)
+        self.library.no_truncation()
+        self.library.no_padding()
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        cut = spec["pre_tokenizer"] or {}
+        plain = cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space")
+        self.by_word = bool(plain and spec["normalizer"] is None and spec["model"]["type"] == "BPE")
+        self.added = [x["content"].encode() for x in spec["added_tokens"]]
+        self.model = self.library.model
+        self.letters = dict(enumerate(byte_letters()))
+        self.cut_words = regex.compile(WORDS)
+        self.parts: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, WORD).tobytes()
+
+    def word(self, word: str) -> bytes:
+        found = self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))
+        got = pack(f"<{len(found)}I", *[token.id for token in found])
+        if len(word) <= LONGEST:
+            self.words[word] = got
+        return got
+
+    def part(self, part: str) -> bytes:
+        """The ids, as bytes, of a run of white space and the other signs behind it."""
+        if max(part) >= "\u0250":
+            got = self.whole(part)
+        else:
+            known, word = self.words.get, self.word
+            got = b"".join([known(w) or word(w) for w in self.cut_words.findall(part)])
+        if len(part) <= LONGEST:
+            self.parts[part] = got
+        return got
+
+    def block(self, data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the parts between ``edges``, and how many each has."""
+        for cache in (self.parts, self.words):
+            if len(cache) >= CACHE:
+                cache.clear()
+        buffers = [None, pa.py_buffer(edges.astype(np.int64)), pa.py_buffer(data)]
+        coded = pa.Array.from_buffers(pa.large_string(), len(edges) - 1, buffers).dictionary_encode()
+        known, part = self.parts.get, self.part
+        rows = [known(p) or part(p) for p in coded.dictionary.to_pylist()]
+        lengths = np.fromiter(map(len, rows), np.int64, len(rows)) // WORD.itemsize
+        starts = np.cumsum(lengths) - lengths
+        which = coded.indices.to_numpy()
+        sizes = lengths[which]
+        before = np.cumsum(sizes) - sizes
+        place = np.repeat(starts[which] - before, sizes) + np.arange(int(sizes.sum()))
+        return np.frombuffer(b"".join(rows), WORD)[place], sizes
+
+    def plain_rows(self, data: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+        """The ids of each row of a run of rows without odd signs."""
+        if len(data) == 0:
+            return [np.zeros(0, WORD)] * (len(at) - 1)
+        blank = BLANK[data]
+        cut = blank.copy()
+        cut[1:] &= ~blank[:-1]
+        cut[at[:-1][at[:-1] < len(data)]] = True
+        edges = np.append(np.flatnonzero(cut), len(data))
+        ids, sizes, k = [], [], 0
+        while k < len(edges) - 1:
+            end = max(int(np.searchsorted(edges, edges[k] + BLOCK, side="right")) - 1, k + 1)
+            found, count = self.block(data[edges[k] : edges[end]], edges[k : end + 1] - edges[k])
+            ids.append(found)
+            sizes.append(count)
+            k = end
+        whole = np.concatenate(ids)
+        total = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
+        token_at = total[np.searchsorted(edges, at)]
+        return [whole[a:b] for a, b in zip(token_at[:-1].tolist(), token_at[1:].tolist(), strict=True)]
+
+    def encode(self, data: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+        """The ids of each text; texts lie in the bytes ``data`` between the offsets ``at``."""
+        text = data.tobytes()
+        odd = [m.start() for m in _ODD.finditer(text)]
+        for added in self.added:
+            odd += [m.start() for m in re.finditer(re.escape(added), text)]
+        rows = sorted(set((np.searchsorted(at, odd, side="right") - 1).tolist())) if self.by_word else range(len(at) - 1)
+        out, done = [], 0
+        for k in [*rows, len(at) - 1]:
+            out += self.plain_rows(data[at[done] : at[k]], at[done : k + 1] - at[done])
+            if k < len(at) - 1:
+                out.append(np.frombuffer(self.whole(text[at[k] : at[k + 1]].decode()), WORD))
+            done = k + 1
+        return out
+
+
+_loaded: dict[str, Encoder] = {}
+
+
+def loaded(path: str) -> Encoder:
+    """One vocabulary for each Python worker."""
+    if path not in _loaded:
+        _loaded[path] = Encoder(path)
     return _loaded[path]
 
 
-def encoder(path: str, end: int) -> Callable[[Sequence[str]], Iterator[np.ndarray]]:
-    """A function from texts to the ids of each, closed by the id ``end``."""
-
-    def encode(texts: Sequence[str]) -> Iterator[np.ndarray]:
-        parts = [pieces(text) for text in texts]
-        done = iter(loaded(path).encode_batch_fast([p for ps in parts for p in ps], add_special_tokens=False))
-        for ps in parts:
-            rows = [np.array(next(done).ids, WORD) for _ in ps]
-            yield np.concatenate([*rows, np.array([end], WORD)])
-
-    return encode
-
-
 # -- files -------------------------------------------------------------------------------
 
 
@@ -224,21 +305,19 @@ def write_tokens(docs: DataFrame, folder: str, path: str, end: int = 0, shard: i
     id_name = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, writer, sink = encoder(path, end), None, None
+        encode, closing, writer, sink = loaded(path).encode, np.array([end], WORD), None, None
         number, n_tokens = TaskContext.get().partitionId(), 0
-        for batch in batches:
-            ids, texts = column_of(batch, "doc_id"), column_of(batch, "text")
+        for part, data, at in chunks(batches, most=BLOCK):
+            ids = column_of(part, "doc_id")
             if writer is None:
                 store, base = fs.FileSystem.from_uri(f"{folder}/files")
                 store.create_dir(base, recursive=True)
                 name = f"{number:06d}-{uuid.uuid4().hex}.zst"
                 sink = store.open_output_stream(f"{base}/{name}", compression=None)
                 writer = FrameWriter(sink, ids.type, frame)
-            for at in range(0, batch.num_rows, 64):
-                part = texts.slice(at, 64).to_pylist()
-                for k, row in enumerate(encode(part)):
-                    writer.add(ids[at + k].as_py(), row)
-                    n_tokens += len(row)
+            for doc_id, row in zip(ids.to_pylist(), encode(data, at), strict=True):
+                writer.add(doc_id, np.concatenate([row, closing]))
+                n_tokens += len(row) + 1
         if writer is not None:
             writer.close()
             sink.close()

@@ -78,15 +78,34 @@ def test_damage_is_found():
         tokenfile.FrameReader(io.BytesIO(data[:directory] + bytes([data[directory] ^ 1]) + data[directory + 1 :]))
 
 
-def test_pieces_do_not_change_the_ids():
-    rng = random.Random(5)
-    text = "".join(rng.choice(["a", "Bc", " ", "  ", "\n", "'s", "9", "é", "!", "\t\t", "<|endoftext|>", "日"]) for _ in range(4000))
-    parts = tokenfile.pieces(text, 50)
-    assert len(parts) > 20 and "".join(parts) == text
-    tokenizer = Tokenizer.from_file(BYTE_BPE)
-    cut = [i for p in parts for i in tokenizer.encode(p, add_special_tokens=False).ids]
-    assert cut == tokenizer.encode(text, add_special_tokens=False).ids
-    assert tokenfile.pieces("x" * 1000, 50) == ["x" * 1000]
+def ids_of(encoder, texts):
+    rows = [t.encode() for t in texts]
+    at = np.concatenate([[0], np.cumsum([len(r) for r in rows], dtype=np.int64)])
+    return [row.tolist() for row in encoder.encode(np.frombuffer(b"".join(rows), np.uint8), at)]
+
+
+@pytest.mark.parametrize("chunk", [1, 90, 1 << 20])
+def test_cached_words_give_the_ids_of_the_library(monkeypatch, chunk):
+    monkeypatch.setattr(tokenfile, "CACHE", 40)
+    monkeypatch.setattr(tokenfile, "LONGEST", 6)
+    monkeypatch.setattr(tokenfile, "BLOCK", chunk)
+    common = ["a", "Bc", "the", " ", "  ", "\n", "\r\n", "'s", "'", "9", "12", "é", "ß", "!", "...", "\t", "日", "ⅷ", "²", "\u0308", "😀", "\x00"]
+    rare = ["\x1c", "\x85", "\xa0", "\u2003", "\u180e", "\u200b", "\ufeff", "\u3000", "<|endoftext|>"]
+    tokenizer, rng, texts = Tokenizer.from_file(BYTE_BPE), random.Random(6), []
+    for i in range(1500):
+        signs = common + rare if i % 7 == 0 else common
+        texts.append("".join(rng.choice(signs) for _ in range(rng.randrange(60))))
+    encoder = tokenfile.Encoder(BYTE_BPE)
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    for at in range(0, len(texts), 100):
+        assert ids_of(encoder, texts[at : at + 100]) == want[at : at + 100]
+    assert ids_of(encoder, []) == [] and ids_of(encoder, ["", ""]) == [[], []]
+
+
+def test_other_vocabularies_go_through_the_library():
+    path, texts = bpe.public_vocabulary(), ["Some Words\n here", "", "é  x"]
+    tokenizer = Tokenizer.from_file(path)
+    assert ids_of(tokenfile.Encoder(path), texts) == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 def test_token_files_of_odd_rows(spark, documents):
