@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from homegrid.llm import ann, bpe, chat, decontam, fim, jaccard, langid, lines, quality, suffix, tokenfile, toxic
+from homegrid.llm import ann, bpe, chat, decontam, fim, jaccard, langid, lines, quality, repair, suffix, tokenfile, toxic
 from homegrid.session import shared_dir
 
 
@@ -70,6 +70,10 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.fim_digests(fim.restored(fim.transform(table(spark, sf_dir, "documents"), seed="1", percent=90, spm_percent=20)))
 
 
+def op13_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_digests(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_jaccard_join": op2_jaccard_join,
@@ -83,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": op10_toxicity,
     "op11_token_files": op11_token_files,
     "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_repair_conversations": op13_repair_conversations,
 }
 
 CONVERSATIONS = """
@@ -91,7 +96,86 @@ CONVERSATIONS = """
   union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'
 """
 
+
+
+def _then(way: str, cost: str | int, letter: str) -> str:
+    """SQL: a way (nine digits of cost, then its letters; '~' where there is none) with one more edit."""
+    return f"case when {way} = '~' then '~' else lpad(cast(cast(left({way}, 9) as bigint) + {cost} as varchar), 9, '0') || substr({way}, 10) || '{letter}' end"
+
+
+_IN = {state: _then(state, 3, "I") for state in ("s0", "s1", "s2", "s3")}
+_REPAIR = rf"""
+with recursive damaged as (
+  select conv_id, turn, coalesce(role, ' ') as role0, sha256(coalesce(text, ' ')) as place,
+         xor(list_reduce(list_prepend(4294967295::bigint, flatten(list_transform(
+               string_split(coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' '), ''),
+               lambda c: [ascii(c)::bigint, 0, 0, 0, 0, 0, 0, 0]))),
+             lambda a, e: xor(xor(a, e) >> 1, (xor(a, e) & 1) * 3988292384)), 4294967295) % 20 as kind,
+         coalesce(text, ' ') as text0
+  from conversations),
+rows_left as (
+  select conv_id, turn, role0, place, unnest(case when kind = 3 then [1, 2] else [1] end) as copy,
+         case when kind = 4 then 'user' else role0 end as role,
+         case kind when 1 then '' when 2 then translate(text0, '.!?', '') else text0 end as text
+  from damaged where kind <> 0),
+ordered as (select *, row_number() over (partition by conv_id order by turn nulls first, role0, place) as i from rows_left),
+numbered as (
+  select *, row_number() over (partition by conv_id, role, text order by i) as nth,
+         rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as said
+  from ordered),
+faults as (
+  select conv_id, turn, i, role, text, left(role, 1) as r,
+         case when said = '' then 'blank' when nth > 1 then 'duplicate' when right(said, 1) not in ('.', '!', '?') then 'truncated' end as fault,
+         lag(left(role, 1)) over (partition by conv_id order by i) || left(role, 1) as pair
+  from numbered),
+counts as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) as n,
+         count(*) filter (fault = 'blank') as blank, count(*) filter (fault = 'duplicate') as duplicate,
+         count(*) filter (fault = 'truncated') as truncated,
+         count(*) filter (i > 1 and pair not in ('su', 'ua', 'au')) as illegal
+  from faults group by conv_id),
+walk as (
+  select conv_id, 0::bigint as i, '000000000' as s0, '~' as s1, '~' as s2, '~' as s3 from counts
+  union all
+  select conv_id, i, {_then("g0", 4, "D")},
+         least({_then("g1", 4, "D")}, case when stays and r = 's' then {_then("g0", "t", "K")} else '~' end),
+         least({_then("g2", 4, "D")}, case when stays and r = 'u' then {_then("before_u", "t", "K")} else '~' end,
+               case when stays then {_then("before_u", "3 + t", "R")} else '~' end),
+         least({_then("g3", 4, "D")}, case when stays and r = 'a' then {_then("g2", "t", "K")} else '~' end,
+               case when stays then {_then("g2", "3 + t", "R")} else '~' end)
+  from (select *, least(g0, g1, g3) as before_u from (
+    select f.conv_id, f.i, f.r, f.fault is null or f.fault = 'truncated' as stays, case when f.fault = 'truncated' then 3 else 0 end as t,
+           s0 as g0, s1 as g1, least(s2, {_IN["s0"]}, {_IN["s1"]}, {_IN["s3"]}) as g2,
+           least(s3, {_IN["s2"]}, {_then(f"({_IN['s0']})", 3, "I")}, {_then(f"({_IN['s1']})", 3, "I")}) as g3
+    from walk w join faults f on w.conv_id is not distinct from f.conv_id and f.i = w.i + 1))),
+best as (
+  select w.conv_id, least(s0, s3, {_IN["s2"]}, {_then(f"({_IN['s1']})", 3, "I")}) as way
+  from walk w join counts c on w.conv_id is not distinct from c.conv_id and w.i = c.n),
+letters as (
+  select conv_id, unnest(string_split(substr(way, 10), '')) as letter, generate_subscripts(string_split(substr(way, 10), ''), 1) as pos from best),
+placed as (
+  select *, count(*) filter (letter <> 'I') over (partition by conv_id order by pos) as i,
+         count(*) filter (letter <> 'D') over (partition by conv_id order by pos) as o
+  from letters where letter <> ''),
+kept as (
+  select p.conv_id, p.pos, p.letter, p.o, case when p.letter = 'I' then '' else f.text end as text, f.role,
+         max(case when p.o = 1 and p.letter = 'K' and f.r = 's' then 1 else 0 end) over (partition by p.conv_id) as has_s
+  from placed p left join faults f on p.conv_id is not distinct from f.conv_id and f.i = p.i and p.letter <> 'I'
+  where p.letter <> 'D'),
+repaired as (
+  select conv_id, string_agg(case when letter = 'K' then role when (o - has_s) % 2 = 1 then 'user' else 'assistant' end || ':' || text, chr(10) order by pos) as said
+  from kept group by conv_id)
+select o.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated,
+       coalesce(illegal, 0) as illegal, coalesce(cast(left(way, 9) as bigint), 0) as cost, coalesce(substr(way, 10), '') as audit,
+       sha256(coalesce(said, '')) as repaired_sha256
+from (select distinct conv_id from conversations) o
+left join counts c on o.conv_id is not distinct from c.conv_id
+left join best b on o.conv_id is not distinct from b.conv_id
+left join repaired r on o.conv_id is not distinct from r.conv_id
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op13_repair_conversations": _REPAIR,
     "op12_fill_in_middle": r"""
 with draws as (select doc_id, coalesce(text, '') as text, sha256('1:' || coalesce(cast(doc_id as varchar), '')) as h from documents),
 units as (

@@ -1,5 +1,6 @@
 """Token files, fill-in-the-middle and the repair of conversations."""
 
+import functools
 import hashlib
 import io
 import os
@@ -14,7 +15,7 @@ import pytest
 import zstandard
 from tokenizers import Tokenizer
 
-from homegrid.llm import bpe, fim, queries, tokenfile
+from homegrid.llm import bpe, fim, queries, repair, tokenfile
 from homegrid.session import shared_dir
 from tests.conftest import SMALL
 
@@ -216,3 +217,115 @@ def test_fim_query_equals_its_sql(spark):
     con.execute(f"create view documents as select * from '{SMALL}/documents.parquet'")
     want = sorted(con.execute(queries.ORACLE_SQL["op12_fill_in_middle"]).fetchall())
     assert sorted(map(tuple, queries.op12_fill_in_middle(spark, SMALL).collect())) == want
+
+
+# -- repair of conversations ------------------------------------------------------------
+
+
+def cheapest(codes):
+    """Every sequence of edits tried: cost and letters of the cheapest, then least."""
+
+    @functools.cache
+    def go(i, state, put_in):
+        ways = []
+        target = {0: 2, 1: 2, 2: 3, 3: 2}[state]
+        if i == len(codes):
+            ways += [(0, "")] if state in (0, 3) else []
+        else:
+            moves = [(4, "D", state)]
+            if codes[i] // 4 != 1:
+                more = 3 if codes[i] // 4 == 2 else 0
+                moves.append((3 + more, "R", target))
+                if codes[i] % 4 == target or (codes[i] % 4, state) == (1, 0):
+                    moves.append((more, "K", codes[i] % 4))
+            ways += [(c + go(i + 1, s, 0)[0], x + go(i + 1, s, 0)[1]) for c, x, s in moves if go(i + 1, s, 0)]
+        if put_in < 3 and (rest := go(i, target, put_in + 1)):
+            ways.append((3 + rest[0], "I" + rest[1]))
+        return min(ways, default=None)
+
+    return go(0, 0, 0)
+
+
+def test_meeting_in_the_middle_finds_the_least_letters():
+    rng = random.Random(1)
+    for _ in range(1500):
+        codes = tuple(rng.randrange(12) for _ in range(rng.randrange(9)))
+        cost, letters = cheapest(codes)
+        whole = bytes([*codes, repair.END])
+        assert repair.solve_rows(whole, 0, 0) == letters
+        assert repair.rows_forward(whole, repair.unit(0))[0][0] == cost
+
+
+def test_blocks_meet_like_rows():
+    rng = random.Random(2)
+    for _ in range(300):
+        codes = bytes(rng.randrange(12) for _ in range(rng.randrange(1, 60)))
+        cuts = sorted({0, len(codes), *(rng.randrange(len(codes)) for _ in range(rng.randrange(6)))})
+        parts = [codes[a:b] for a, b in zip(cuts, cuts[1:])]
+        ends = repair.solve_blocks([*map(repair.block_table, parts), repair.row_table(repair.END)], 0, 0)
+        letters = "".join(repair.block_letters(p, a, b) for p, (a, b) in zip(parts, ends))
+        letters += repair.solve_rows(bytes([repair.END]), *ends[-1])
+        assert letters == repair.solve_rows(codes + bytes([repair.END]), 0, 0) == cheapest(codes)[1]
+
+
+def by_hand(rows):
+    """The contract for the rows of one conversation, as (conv_id, turn, role, text)."""
+    left = []
+    for conv, turn, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        place = (turn is not None, turn or 0, role, hashlib.sha256(text.encode()).hexdigest())
+        kind = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        if kind == 1:
+            text = ""
+        elif kind == 2:
+            text = re.sub("[.!?]", "", text)
+        elif kind == 4:
+            role = "user"
+        left += [(place, turn, role, text)] * {0: 0, 3: 2}.get(kind, 1)
+    left.sort(key=lambda r: r[0])
+    seen, codes, faults = set(), [], []
+    for _, _, role, text in left:
+        signs = re.sub("[\\x20\\x09-\\x0D]", "", text)
+        fault = "blank" if not signs else "duplicate" if (role, text) in seen else "truncated" if signs[-1] not in ".!?" else ""
+        seen.add((role, text))
+        faults.append(fault)
+        codes.append({"s": 1, "u": 2, "a": 3}.get(role[:1], 0) + {"": 0, "truncated": 8}.get(fault, 4))
+    cost, audit = cheapest(tuple(codes))
+    said, at, first = [], 0, None
+    for letter in audit:
+        role, text = ("", "") if letter == "I" else left[at][2:]
+        at += letter != "I"
+        if letter != "D":
+            first = first or (letter, role[:1])
+            turn_of = "user" if (len(said) - (first == ("K", "s"))) % 2 == 0 else "assistant"
+            said.append(f"{role if letter == 'K' else turn_of}:{text}")
+    turns = {t for _, t, _, _ in left if t is not None}
+    roles = [r[2][:1] for r in left]
+    return (
+        max(turns) - min(turns) + 1 - len(turns) if turns else 0, *(faults.count(f) for f in ("blank", "duplicate", "truncated")),
+        sum(a + b not in ("su", "ua", "au") for a, b in zip(roles, roles[1:])), cost, audit, hashlib.sha256("\n".join(said).encode()).hexdigest(),
+    )
+
+
+@pytest.mark.parametrize("block", [3, 1 << 20])
+def test_repair_of_odd_conversations(spark, block):
+    rng = random.Random(7)
+    texts = ["One.", "Two?", "no end", "end. \n", "", " \t", None, "One.", "a" * 50_000 + "!"]
+    rows = []
+    for conv in [*range(30), None]:
+        for _ in range(rng.randrange(1, 9)):
+            rows.append((conv, rng.choice([None, 0, 1, 2, 3, 4, 5, 9]), rng.choice(["system", "user", "assistant", "user", "assistant", "tool", "", None, "sys"]), rng.choice(texts)))
+    rows += [(99, t, ("user", "assistant")[t % 2], f"text {t % 40}.") for t in range(120)]
+    rows += [(98, 5, "user", "again and again.")] * 25
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], "conv_id long, turn long, role string, text string, place string, copies int").repartition(4)
+    got = {r.conv_id: tuple(r)[1:] for r in repair.repair_digests(df, block).collect()}
+    assert got == {conv: by_hand([r for r in rows if r[0] == conv]) for conv in {r[0] for r in rows}}
+    assert repair.repair_digests(df.limit(0)).count() == 0
+
+
+def test_repair_query_equals_its_sql(spark):
+    con = duckdb.connect()
+    con.execute(f"create view conversations as select * from '{SMALL}/conversations.parquet'")
+    names = "conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256"
+    want = sorted(con.execute(f"select {names} from ({queries.ORACLE_SQL['op13_repair_conversations']})").fetchall())
+    assert sorted(map(tuple, queries.op13_repair_conversations(spark, SMALL).select(*names.split(", ")).collect())) == want
