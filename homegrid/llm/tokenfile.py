@@ -156,8 +156,8 @@ class FrameReader:
 
 #: The words of byte-level pre-tokenizers (fixed by the format).
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Entries of each cache of a worker, and the longest string that is kept in one.
-CACHE, LONGEST = 600_000, 100
+#: Entries of the cache of a worker, and the longest string that is kept in it.
+CACHE, LONGEST = 800_000, 100
 #: Bytes of text whose distinct parts are looked up together.
 BLOCK = 4 << 20
 BLANK = byte_set(SPACES)
@@ -172,7 +172,7 @@ class Encoder:
 
     Texts are cut before white space that follows another sign, which no word of a byte-level
     pre-tokenizer crosses. Of each block of text the distinct parts are encoded once, and what the
-    library's model says of a part or a word is kept in caches of bounded size. Texts with added
+    library's model says of a part or a word is kept in a cache of bounded size. Texts with added
     tokens or odd white space, and parts with letters on which versions of Unicode may differ,
     go through the whole library, as do all texts of vocabularies of another kind.
     """
@@ -193,38 +193,41 @@ class Encoder:
         self.model = self.library.model
         self.letters = dict(enumerate(byte_letters()))
         self.cut_words = regex.compile(WORDS)
-        self.parts: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, WORD).tobytes()
 
     def word(self, word: str) -> bytes:
         found = self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))
-        got = pack(f"<{len(found)}I", *[token.id for token in found])
-        if len(word) <= LONGEST:
-            self.words[word] = got
-        return got
+        return pack(f"<{len(found)}I", *[token.id for token in found])
 
     def part(self, part: str) -> bytes:
         """The ids, as bytes, of a run of white space and the other signs behind it."""
         if max(part) >= "\u0250":
             got = self.whole(part)
+        elif part[0] == " " and part[1:].isalpha():  # one word, most of the time
+            got = self.word(part)
         else:
-            known, word = self.words.get, self.word
-            got = b"".join([known(w) or word(w) for w in self.cut_words.findall(part)])
+            rows, known = [], self.known
+            for word in self.cut_words.findall(part):
+                if (ids := known.get(word)) is None:
+                    ids = self.word(word)
+                    if len(word) <= LONGEST:
+                        known[word] = ids
+                rows.append(ids)
+            got = b"".join(rows)
         if len(part) <= LONGEST:
-            self.parts[part] = got
+            self.known[part] = got
         return got
 
     def block(self, data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the parts between ``edges``, and how many each has."""
-        for cache in (self.parts, self.words):
-            if len(cache) >= CACHE:
-                cache.clear()
+        if len(self.known) >= CACHE:
+            self.known.clear()
         buffers = [None, pa.py_buffer(edges.astype(np.int64)), pa.py_buffer(data)]
         coded = pa.Array.from_buffers(pa.large_string(), len(edges) - 1, buffers).dictionary_encode()
-        known, part = self.parts.get, self.part
+        known, part = self.known.get, self.part
         rows = [known(p) or part(p) for p in coded.dictionary.to_pylist()]
         lengths = np.fromiter(map(len, rows), np.int64, len(rows)) // WORD.itemsize
         starts = np.cumsum(lengths) - lengths
