@@ -158,25 +158,27 @@ def daily_summary(
 def backfill_window(stored: DataFrame, column: str, days: int | None = None) -> DataFrame:
     """``[start, end)`` from the oldest date without ``column``; NULLs when none is left.
 
-    ``days`` None is all later dates.
+    ``days`` None is all later dates: the end is NULL.
     """
-    last = F.date_add("start", days) if days is not None else F.lit("9999-12-31").cast("date")
-    return (
-        stored.filter(F.col(column).isNull())
-        .agg(F.min("date").alias("start"))
-        .withColumn("end", F.when(F.col("start").isNotNull(), last))
-    )
+    last = F.date_add("start", days) if days is not None else F.lit(None).cast("date")
+    return stored.filter(F.col(column).isNull()).agg(F.min("date").alias("start")).withColumn("end", last)
+
+
+def _inside(df: DataFrame, column: str, window: DataFrame, edge, days: int | None) -> DataFrame:
+    """Rows in the window, whose ends are read first; without ``days`` it has no upper one."""
+    inside = F.col(column) >= window.select(edge("start")).scalar()
+    if days is not None:
+        inside = inside & (F.col(column) < window.select(edge("end")).scalar())
+    return df.filter(inside)
 
 
-def _days_in(stored: DataFrame, window: DataFrame) -> DataFrame:
-    start, end = window.select("start").scalar(), window.select("end").scalar()
-    return stored.filter((F.col("date") >= start) & (F.col("date") < end))
+def _days_in(stored: DataFrame, window: DataFrame, days: int | None) -> DataFrame:
+    return _inside(stored, "date", window, F.col, days)
 
 
-def _readings_in(telemetry: DataFrame, window: DataFrame, tz: str) -> DataFrame:
+def _readings_in(telemetry: DataFrame, window: DataFrame, tz: str, days: int | None) -> DataFrame:
     kind = telemetry.schema["timestamp"].dataType
-    start, end = (window.select(day_start(c, tz, kind)).scalar() for c in ("start", "end"))
-    return telemetry.filter((F.col("timestamp") >= start) & (F.col("timestamp") < end))
+    return _inside(telemetry, "timestamp", window, lambda c: day_start(c, tz, kind), days)
 
 
 def backfill_solar_estimate(
@@ -192,8 +194,8 @@ def backfill_solar_estimate(
     value stays.
     """
     window = backfill_window(stored, "daily_solar_est", days)
-    rows = _days_in(stored, window)
-    readings = _readings_in(telemetry, window, tz)
+    rows = _days_in(stored, window, days)
+    readings = _readings_in(telemetry, window, tz, days)
     energy = energy_daily(readings, keys=keys, tz=tz)
     known = readings.filter(F.col("timestamp").isNotNull() & F.col("p_solar").isNotNull())
     has_readings = known.limit(1).agg(F.count("*") > 0).scalar()
@@ -212,8 +214,8 @@ def backfill_night_charge(
 ) -> DataFrame:
     """Stored rows of the window with battery snapshots and the night charge flag."""
     window = backfill_window(stored, "night_grid_charge", days)
-    rows = _days_in(stored, window).drop(*SNAPSHOT_NAMES, "night_grid_charge")
-    snapshots = battery_snapshot(_readings_in(telemetry, window, tz), tz=tz, keys=keys)
+    rows = _days_in(stored, window, days).drop(*SNAPSHOT_NAMES, "night_grid_charge")
+    snapshots = battery_snapshot(_readings_in(telemetry, window, tz, days), tz=tz, keys=keys)
     return night_charge(
         rows.join(snapshots, [*keys, "date"], "left").fillna(0.0, subset=list(SNAPSHOT_NAMES))
     )

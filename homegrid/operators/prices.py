@@ -7,8 +7,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from homegrid.functions.clock import UTC, local_wall
+from homegrid.functions.clock import UTC, epoch_seconds, local_wall
 from homegrid.functions.energy import CHEAP_BELOW, finite, tariff_offset
+from homegrid.operators.series import BUCKET, in_buckets, with_row_numbers
 
 PRICE_LIMIT = 100
 
@@ -44,23 +45,24 @@ def with_tariff(
 def price_view(
     prices: DataFrame,
     base,
-    limit: int = PRICE_LIMIT,
+    limit: int | None = PRICE_LIMIT,
     as_of=None,
     tz: str | None = None,
 ) -> DataFrame:
-    """The first ``limit`` prices from ``base``, with tariff and local time.
+    """The first ``limit`` prices from ``base``, or all of them, with tariff and local time.
 
-    ``row_index`` counts the limited rows before ``as_of`` drops those over an hour old.
+    ``row_index`` counts these rows before ``as_of`` drops those over an hour old. Without a limit
+    the rows are counted by day.
     """
     kind = prices.schema["timestamp"].dataType
-    top = (
-        prices.filter(F.col("timestamp") >= F.lit(base).cast(kind))
-        .orderBy("timestamp")
-        .limit(limit)
-    )
-    view = with_tariff(top, tz).withColumn(
-        "row_index", F.row_number().over(Window.orderBy("timestamp")) - 1
-    )
+    later = prices.filter(F.col("timestamp") >= F.lit(base).cast(kind))
+    if limit is None:
+        days = in_buckets(later, epoch_seconds("timestamp"), [])
+        top = with_row_numbers(days, ["timestamp"], [], "row_index").drop(BUCKET)
+    else:
+        top = later.orderBy("timestamp").limit(limit)
+        top = top.withColumn("row_index", F.row_number().over(Window.orderBy("timestamp")) - 1)
+    view = with_tariff(top, tz)
     if as_of is not None:
         oldest = F.lit(as_of).cast(kind) - F.expr("interval 1 hour")
         view = view.filter(F.col("timestamp") > oldest)

@@ -11,11 +11,12 @@ Rows are unique by (keys, ts), as the keyed sinks store them. Keys are not NULL.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from homegrid.functions.clock import (
     DAY,
@@ -29,6 +30,7 @@ from homegrid.functions.clock import (
     span_seconds,
 )
 from homegrid.functions.energy import finite
+from homegrid.session import stored_copy
 
 WATT_SECONDS_PER_KWH = 3_600_000
 BUCKET = "_bucket"
@@ -77,32 +79,61 @@ def with_neighbours(
     )
 
 
-def with_following(
-    df: DataFrame, order: str, value: str, keys: Sequence[str], count: int, alias: str
+def with_bucket_carry(
+    df: DataFrame, order: Sequence[str], keys: Sequence[str], carries: Callable[[Column, WindowSpec], dict[str, Column]]
 ) -> DataFrame:
-    """Add an array of the first ``count`` values after the row's bucket.
+    """Add what ``carries`` says of the earlier buckets, computed over one row per key and bucket.
 
-    Each bucket gives at most ``count`` rows, and a bucket has at least one row, so the
-    next ``count`` buckets are enough.
+    ``carries`` gets the last row of a bucket, a struct, and the window of the key's buckets. The row
+    is carried whole, so that both branches of the join read the same exchange.
     """
-    inside = Window.partitionBy(*keys, BUCKET).orderBy(order)
-    later = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(1, count)
-    heads = (
-        df.withColumn("_rank", F.row_number().over(inside))
-        .filter(F.col("_rank") <= count)
-        .groupBy(*keys, BUCKET)
-        .agg(
-            F.sort_array(
-                F.collect_list(F.struct("_rank", F.col(value).alias("_value")))
-            ).alias("_heads")
-        )
+    inside = Window.partitionBy(*keys, BUCKET).orderBy(*order)
+    rows = df.withColumn("_final", F.lead(F.lit(1)).over(inside).isNull())
+    ends = (
+        rows.filter("_final").groupBy(*keys, BUCKET).agg(F.first(F.struct(*rows.columns)).alias("_end"))
     )
-    carry = heads.select(
-        *keys,
-        BUCKET,
-        F.slice(F.flatten(F.collect_list(F.col("_heads._value")).over(later)), 1, count).alias(alias),
+    columns = carries(F.col("_end"), Window.partitionBy(*keys).orderBy(BUCKET))
+    carry = ends.select(*keys, BUCKET, *[c.alias(name) for name, c in columns.items()])
+    return rows.join(carry, [*keys, BUCKET]).drop("_final")
+
+
+def with_row_numbers(df: DataFrame, order: Sequence[str], keys: Sequence[str], alias: str = "_row") -> DataFrame:
+    """Number the rows of each key from 0, over all its buckets.
+
+    ``df`` has a ``_bucket`` column. Rows are numbered within their bucket, and the buckets before
+    it add their counts.
+    """
+    inside = Window.partitionBy(*keys, BUCKET).orderBy(*order)
+    rows = df.withColumn("_inside", F.row_number().over(inside) - 1)
+    carried = with_bucket_carry(rows, order, keys, lambda end, buckets: {"_before": rows_before(end, buckets)})
+    return carried.withColumn(alias, F.col("_inside") + F.col("_before")).drop("_inside", "_before")
+
+
+def rows_before(end: Column, buckets: WindowSpec) -> Column:
+    earlier = buckets.rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(end["_inside"] + 1).over(earlier), F.lit(0))
+
+
+def later_rows(df: DataFrame, offset: int, keys: Sequence[str], **columns: str) -> DataFrame:
+    """Add ``name=column`` of the row ``offset`` rows on.
+
+    Each row is sent to its own number and, with the wanted columns only, to that of the row it
+    is looked for from; equal numbers meet. The work is the same for any offset.
+    """
+    own = F.struct(*df.columns)
+    values = F.struct(*[F.col(column).alias(name) for name, column in columns.items()])
+    none_own, none_values = F.when(F.lit(False), own), F.when(F.lit(False), values)
+    sent = F.array(
+        F.struct(F.col("_row").alias("_at"), F.lit(0).alias("_kind"), own.alias("_own"), none_values.alias("_ahead")),
+        F.struct((F.col("_row") - offset).alias("_at"), F.lit(1).alias("_kind"), none_own.alias("_own"), values.alias("_ahead")),
+    )
+    meeting = Window.partitionBy(*keys, "_at").orderBy("_kind")
+    return (
+        df.select(*keys, F.inline(sent))
+        .withColumn("_found", F.lead("_ahead").over(meeting))
+        .filter("_kind = 0")
+        .select("_own.*", *[F.col("_found")[name].alias(name) for name in columns])
     )
-    return df.join(carry, [*keys, BUCKET], "left")
 
 
 # -- energy ---------------------------------------------------------------------------
@@ -264,6 +295,55 @@ def resample_ffill(
 # -- rolling sums ---------------------------------------------------------------------
 
 
+BINS = 1 << 16
+
+
+def _narrowed(counted: DataFrame, value: str, keys: Sequence[str], targets: DataFrame) -> DataFrame:
+    """Each target's range cut down to the one of ``BINS`` equal parts that holds its rank."""
+    width = F.ceil((F.col("_high") - F.col("_low") + 1) / F.lit(BINS))
+    by = [*keys, "_side"]
+    bins = (
+        counted.join(targets.withColumn("_width", width), list(keys))
+        .filter(F.col(value).between(F.col("_low"), F.col("_high")))
+        .withColumn("_bin", F.call_function("div", F.col(value) - F.col("_low"), F.col("_width")))
+        .groupBy(*by, "_low", "_high", "_rank", "_width", "_bin")
+        .agg(F.sum("_n").alias("_n"))
+    )
+    until = Window.partitionBy(*by).orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
+    low = F.col("_low") + F.col("_bin") * F.col("_width")
+    return (
+        bins.withColumn("_until", F.sum("_n").over(until))
+        .filter(F.col("_rank").between(F.col("_until") - F.col("_n") + 1, F.col("_until")))
+        .select(
+            *by,
+            low.alias("_low"),
+            F.least(low + F.col("_width") - 1, F.col("_high")).alias("_high"),
+            (F.col("_rank") - F.col("_until") + F.col("_n")).alias("_rank"),
+        )
+    )
+
+
+def counted_median(counted: DataFrame, value: str, keys: Sequence[str]) -> DataFrame:
+    """Median per key of whole numbers that come ``_n`` times each, under the name of the value.
+
+    The two middle ranks are looked for in ranges that shrink to one part in 65,536 each time,
+    so that no task holds more than that many counts of a key. At most four rounds.
+    """
+    ends = counted.groupBy(*keys).agg(
+        F.min(value).alias("_low"), F.max(value).alias("_high"), F.sum("_n").alias("_total")
+    )
+    sides = F.array(
+        F.struct(F.lit(0).alias("_side"), F.call_function("div", F.col("_total") + 1, F.lit(2)).alias("_rank")),
+        F.struct(F.lit(1).alias("_side"), (F.call_function("div", F.col("_total"), F.lit(2)) + 1).alias("_rank")),
+    )
+    targets = ends.select(*keys, "_low", "_high", F.inline(sides))
+    while True:
+        targets = stored_copy(targets, "ranks")
+        if targets.filter("_low < _high").isEmpty():
+            return targets.groupBy(*keys).agg(F.avg("_low").alias(value))
+        targets = _narrowed(counted, value, keys, targets)
+
+
 def sampling_step(
     df: DataFrame,
     ts: str,
@@ -273,25 +353,39 @@ def sampling_step(
 ) -> DataFrame:
     """Median step between rows in microseconds, and how many such steps fill ``window``.
 
-    Equal steps are counted first, so the median is taken over the distinct ones.
+    Equal steps are counted first; the counts are a stored table that the rounds of
+    :func:`counted_median` read. Without two rows there is no step, and for no key a NULL one.
     """
-    keys = list(keys)
     micros = df.filter(F.col(ts).isNotNull()).select(*keys, epoch_micros(ts).alias("_us"))
-    rows = in_buckets(micros, floor_div(F.col("_us"), 1_000_000), keys, span_seconds(bucket))
-    steps = (
-        with_neighbours(rows, "_us", keys, prev="_prev")
-        .select(*keys, (F.col("_us") - F.col("_prev._us")).alias("_step"))
+    named = list(keys) or ["_all"]
+    micros = micros if keys else micros.withColumn("_all", F.lit(0))
+    rows = in_buckets(micros, floor_div(F.col("_us"), 1_000_000), named, span_seconds(bucket))
+    counted = stored_copy(
+        with_neighbours(rows, "_us", named, prev="_prev")
+        .select(*named, (F.col("_us") - F.col("_prev._us")).alias("_step"))
         .filter("_step is not null")
-        .groupBy(*keys, "_step")
-        .agg(F.count("*").alias("_n"))
+        .groupBy(*named, "_step")
+        .agg(F.count("*").alias("_n")),
+        "steps",
     )
-    median = F.percentile("_step", F.lit(0.5), F.col("_n"))
-    return steps.groupBy(*keys).agg(median.alias("step_us")).withColumn(
-        "rows_in_window",
-        F.floor(F.lit(span_seconds(window) * 1_000_000) / F.col("step_us")),
+    median = counted_median(counted, "_step", named)
+    if not keys:
+        median = median.agg(F.max("_step").alias("_step"))
+    return median.select(
+        *keys,
+        F.col("_step").alias("step_us"),
+        F.floor(F.lit(span_seconds(window) * 1_000_000) / F.col("_step")).alias("rows_in_window"),
     )
 
 
+def _parts(span: int, bucket: int) -> int:
+    """The least number of equal whole parts of ``span`` that are no longer than ``bucket``."""
+    parts = -(-span // bucket)
+    while span % parts:
+        parts += 1
+    return parts
+
+
 def rolling_time_sum(
     df: DataFrame,
     ts: str,
@@ -302,53 +396,63 @@ def rolling_time_sum(
     keys: Sequence[str] = (),
     alias: str = "rolling_sum",
     bucket: str | timedelta = "1 day",
+    arrival: str | None = None,
 ) -> DataFrame:
     """Sum over the trailing ``(t - window, t]`` of the row ``n - 1`` rows ahead.
 
-    The sum is NULL where the window has no value; NULL, NaN and ±inf are missing values.
-    Rows are also sent to the later buckets whose first rows look back to them. Series
-    with more than a row per second take a shorter ``bucket``.
+    The sum is NULL where the window has no value; NULL, NaN and ±inf are missing values. Rows
+    of one time count in the order of ``arrival``: none sees a later one.
+
+    Buckets are equal parts of the window, at most ``bucket`` long, so a window begins a fixed
+    number of buckets before its row. Its sum has three parts: the row's bucket up to the row, whole
+    buckets in between, and the end of the bucket where it begins. For the last part the row is sent
+    to that bucket, once, however long the window is. Nothing is subtracted.
     """
-    keys, seconds = list(keys), span_seconds(window)
-    width = span_seconds(bucket)
-    home = bucket_of(epoch_seconds(ts), width)
-    reach = floor_div(epoch_micros(ts) + F.lit(seconds * 1_000_000 - 1), width * 1_000_000)
-    copies = (
-        df.filter(F.col(ts).isNotNull())
-        .withColumns({"_us": epoch_micros(ts), "_home": home, "_value": finite(F.col(value).cast("double"))})
-        .withColumn(BUCKET, F.explode(F.sequence("_home", reach)))
+    keys, span = list(keys), span_seconds(window) * 1_000_000
+    parts = _parts(span, span_seconds(bucket) * 1_000_000)
+    order = ["_us", *([arrival] if arrival else [])]
+    timed = df.filter(F.col(ts).isNotNull()).withColumns(
+        {"_us": epoch_micros(ts), "_value": finite(F.col(value).cast("double"))}
     )
-    trailing = (
-        Window.partitionBy(*keys, BUCKET).orderBy("_us").rangeBetween(1 - seconds * 1_000_000, 0)
+    timed = timed.withColumn(BUCKET, floor_div(F.col("_us"), span // parts))
+    for name in (*keys, BUCKET):  # the carry's join drops them too, see in_buckets
+        timed = timed.filter(F.col(name).isNotNull())
+
+    until = Window.partitionBy(*keys, BUCKET).orderBy(*order)
+    rows = timed.withColumns(
+        {
+            "_inside": F.row_number().over(until) - 1,
+            "_head": F.sum("_value").over(until.rowsBetween(Window.unboundedPreceding, 0)),
+        }
     )
-    rolled = (
-        copies.withColumn("_sum", F.sum("_value").over(trailing) / divisor)
-        .filter(F.col(BUCKET) == F.col("_home"))
-        .drop("_home", "_value")
-    )
-    return lead_rows(rolled, "_us", "_sum", n - 1, keys, alias).drop("_us", "_sum", BUCKET)
-
 
-def lead_rows(
-    df: DataFrame, order: str, value: str, offset: int, keys: Sequence[str], alias: str
-) -> DataFrame:
-    """``lead(value, offset)`` over the key, across bucket borders."""
-    if offset == 0:
-        return df.withColumn(alias, F.col(value))
-    inside = Window.partitionBy(*keys, BUCKET).orderBy(order)
-    behind = Window.partitionBy(*keys, BUCKET)
-    return (
-        with_following(df, order, value, keys, offset, "_later")
-        .withColumn("_left", F.count("*").over(behind) - F.row_number().over(inside))
-        .withColumn("_lead", F.lead(value, offset).over(inside))
-        .withColumn(
-            alias,
-            F.when(F.col("_left") >= offset, F.col("_lead")).otherwise(
-                F.get("_later", (offset - 1 - F.col("_left")).cast("int"))
-            ),
-        )
-        .drop("_later", "_left", "_lead")
+    def carries(end: Column, buckets: WindowSpec) -> dict[str, Column]:
+        between = F.sum(end["_head"]).over(buckets.rangeBetween(1 - parts, -1)) if parts > 1 else F.lit(None)
+        return {"_between": between.cast("double"), "_before": rows_before(end, buckets)}
+
+    rows = with_bucket_carry(rows, order, keys, carries).withColumn("_row", F.col("_inside") + F.col("_before"))
+
+    own = F.struct(*rows.columns)
+    start = F.struct(
+        (F.col(BUCKET) - parts).alias("_home"), (F.col("_us") - span).alias("_at"), F.lit(0).alias("_kind"),
+        F.lit(None).cast("double").alias("_gain"), own.alias("_own"),
+    )
+    gain = F.struct(
+        F.col(BUCKET).alias("_home"), F.col("_us").alias("_at"), F.lit(1).alias("_kind"),
+        F.col("_value").alias("_gain"), F.when(F.lit(False), own).alias("_own"),
+    )
+    since = Window.partitionBy(*keys, "_home").orderBy(F.desc("_at"), "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    rolled = (
+        rows.select(*keys, F.inline(F.array(start, gain)))
+        .withColumn("_tail", F.sum("_gain").over(since))
+        .filter("_kind = 0")
+        .select("_own.*", "_tail")
     )
+    pieces = [F.col("_head"), F.col("_between"), F.col("_tail")]
+    total = sum((F.coalesce(p, F.lit(0.0)) for p in pieces[1:]), F.coalesce(pieces[0], F.lit(0.0)))
+    rolled = rolled.withColumn("_sum", F.when(F.coalesce(*pieces).isNotNull(), total / divisor))
+    lead = later_rows(rolled, n - 1, keys, **{alias: "_sum"}) if n > 1 else rolled.withColumn(alias, F.col("_sum"))
+    return lead.select(*df.columns, alias)
 
 
 def rolling_row_sum(
@@ -361,35 +465,37 @@ def rolling_row_sum(
     alias: str = "rolling_sum",
     bucket: str | timedelta = "1 day",
 ) -> DataFrame:
-    """Sum of the row and the ``n - 1`` after it; NULL unless all ``n`` have a value."""
+    """Sum of the row and the ``n - 1`` after it; NULL unless all ``n`` have a value.
+
+    Rows are numbered and cut into blocks of ``n``. A window is the end of one block, summed
+    backward, and the beginning of the next, summed forward; the row ``n - 1`` on brings the
+    latter by an equal join of row numbers. So the work does not grow with ``n``, and nothing
+    is subtracted.
+    """
     keys = list(keys)
     timed = df.filter(F.col(ts).isNotNull())
     rows = in_buckets(timed, epoch_seconds(ts), keys, span_seconds(bucket)).withColumns(
         {"_us": epoch_micros(ts), "_value": F.col(value).cast("double")}
     )
-    ahead = Window.partitionBy(*keys, BUCKET).orderBy("_us").rowsBetween(0, n - 1)
-    later = F.filter(
-        F.slice(F.coalesce("_later", F.array().cast("array<double>")), 1, (n - F.col("_rows")).cast("int")),
-        lambda x: x.isNotNull(),
+    numbered = with_row_numbers(rows, ["_us"], keys).withColumn("_block", floor_div(F.col("_row"), n))
+    # both are running sums; a frame that ends with its block would be summed anew for every row
+    block = Window.partitionBy(*keys, "_block").rowsBetween(Window.unboundedPreceding, 0)
+    head, tail = block.orderBy("_row"), block.orderBy(F.desc("_row"))
+    summed = numbered.withColumns(
+        {
+            "_head": F.sum("_value").over(head),
+            "_known_head": F.count("_value").over(head),
+            "_tail": F.sum("_value").over(tail),
+            "_known_tail": F.count("_value").over(tail),
+        }
     )
+    whole = F.pmod(F.col("_row"), F.lit(n)) == 0  # the window is its block
+    total = F.when(whole, F.col("_tail")).otherwise(F.col("_tail") + F.col("_head_on"))
+    known = F.when(whole, F.col("_known_tail")).otherwise(F.col("_known_tail") + F.col("_known_on"))
     return (
-        with_following(rows, "_us", "_value", keys, n - 1, "_later")
-        .withColumns(
-            {
-                "_rows": F.count("*").over(ahead),
-                "_known": F.count("_value").over(ahead),
-                "_sum": F.sum("_value").over(ahead),
-            }
-        )
-        .withColumn("_rest", later)
-        .withColumn(
-            alias,
-            F.when(
-                F.col("_known") + F.size("_rest") == n,
-                (F.col("_sum") + F.aggregate("_rest", F.lit(0.0), lambda acc, x: acc + x)) / divisor,
-            ),
-        )
-        .drop("_us", BUCKET, "_value", "_later", "_rows", "_known", "_sum", "_rest")
+        later_rows(summed, n - 1, keys, _head_on="_head", _known_on="_known_head")
+        .withColumn(alias, F.when(known == n, total / divisor))
+        .select(*df.columns, alias)
     )
 
 

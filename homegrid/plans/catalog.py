@@ -328,6 +328,15 @@ def price_job(ev):
     return jobs.day_ahead_prices(_price_fetch(today), _price_fetch(tomorrow), None)
 
 
+@query
+def price_job_two_fetches(ev):
+    """The second fetch has other prices for a day which both have: times repeat and are repaired."""
+    rows = views.prices_raw(ev)
+    today, tomorrow = rows.filter("timestamp < '2024-01-16'"), rows.filter("timestamp >= '2024-01-15'")
+    tomorrow = tomorrow.withColumn("price", F.col("price") + 8)
+    return jobs.day_ahead_prices(_price_fetch(today), _price_fetch(tomorrow))
+
+
 @query
 def price_tariff(ev):
     return prices.with_tariff(_kwh_prices(ev), LOCAL)
@@ -338,10 +347,10 @@ def price_tariff_stored_time(ev):
     return prices.with_tariff(_kwh_prices(ev))
 
 
-def _view(ev: DataFrame) -> DataFrame:
+def _view(ev: DataFrame, limit: int | None = 1000) -> DataFrame:
     rows = series.rolling_time_sum(_kwh_prices(ev), "timestamp", "price", "3 hours", 12)
     rows = rows.withColumn("currency", F.lit("DKK"))
-    return prices.price_view(rows, "2024-01-10", 1000, "2024-01-10 20:10:00", LOCAL)
+    return prices.price_view(rows, "2024-01-10", limit, "2024-01-10 20:10:00", LOCAL)
 
 
 @query
@@ -351,12 +360,12 @@ def price_view(ev):
 
 @query
 def price_span(ev):
-    return prices.price_span(_view(ev))
+    return prices.price_span(_view(ev, None))
 
 
 @query
 def price_midnight(ev):
-    return prices.first_midnight(_view(ev))
+    return prices.first_midnight(_view(ev, None))
 
 
 # -- weather and dashboard ------------------------------------------------------------

@@ -37,7 +37,9 @@ def day_ahead_prices(*fetches: DataFrame | None) -> DataFrame:
     ]
     prices = union_prices(*ordered, arrival="arrival")
     rows = sampling_step(prices, "timestamp", PRICE_WINDOW).first()["rows_in_window"]
-    rolled = rolling_time_sum(prices, "timestamp", "price", PRICE_WINDOW, int(rows or 1))
+    rolled = rolling_time_sum(
+        prices, "timestamp", "price", PRICE_WINDOW, int(rows or 1), arrival="arrival"
+    )
     return dst_repair(clean_prices(rolled), "timestamp", "arrival").drop("arrival")
 
 

@@ -5,8 +5,8 @@ They are written the direct way, with global windows, dense grids and as-of join
 
 from __future__ import annotations
 
-from homegrid.functions.energy import TARIFFS
-
+# Grid tariff per kWh; low before 6, peak from 17 to 20, high otherwise.
+RATES = {"summer": (0.1220, 0.1831, 0.4760), "winter": (0.1220, 0.3661, 1.0985)}
 SLOT = "time_bucket(interval 15 minute, ts)"
 
 VIEWS = {
@@ -202,11 +202,8 @@ LAST = f"assigned_{ROUNDS}"
 
 def tariff(ts: str) -> str:
     def band(season: str) -> str:
-        r = TARIFFS[season]
-        return (
-            f"case when hour({ts}) < 6 then {r['low']} when hour({ts}) in (17, 18, 19, 20)"
-            f" then {r['peak']} else {r['high']} end"
-        )
+        low, high, peak = RATES[season]
+        return f"case when hour({ts}) < 6 then {low} when hour({ts}) in (17, 18, 19, 20) then {peak} else {high} end"
 
     return (
         f"cast(case when month({ts}) in (4, 5, 6, 7, 8, 9) then {band('summer')}"
@@ -217,13 +214,14 @@ def tariff(ts: str) -> str:
 # Copenhagen is one hour ahead of UTC in January, where the given events are.
 LOCAL = "(timestamp + interval 1 hour)"
 
-VIEWS["view_rows"] = f"""
+for _name, _limit in (("view_rows", "limit 1000"), ("all_view_rows", "")):
+    VIEWS[_name] = f"""
     select timestamp + interval 1 hour as timestamp, price, rolling_sum, 'DKK' as currency,
            {tariff(LOCAL)} as "offset", price + {tariff(LOCAL)} as price_with_tariff,
            price + {tariff(LOCAL)} < 0.65 as is_cheap, row_index, hour({LOCAL}) as hour
     from (select *, (row_number() over (order by timestamp) - 1)::int as row_index
           from (select * from rolled where timestamp >= timestamp '2024-01-10'
-                order by timestamp limit 1000))
+                order by timestamp {_limit}))
     where timestamp > timestamp '2024-01-10 19:10:00'"""
 
 _LEVEL = "case when {0} < 1 then 0 when {0} > 99 then 100 else {0} end"
@@ -265,7 +263,7 @@ QUERIES = {
           group by 1) new_energy using (date)
         where date > (select max(date) from summary_stored) and date < date '2024-01-30'""",
     "backfill_window": """
-        select min(date) as start, date '9999-12-31' as "end" from summary_stored
+        select min(date) as start, cast(null as date) as "end" from summary_stored
         where daily_solar_est is null""",
     "solar_estimate_backfill": """
         select s.date, round(s.peak_solar, 4) as peak_solar,
@@ -379,6 +377,21 @@ QUERIES = {
           from prices_raw)
         select a.timestamp, round(a.price, 4) as price, round(b.s, 4) as rolling_sum, 'DKK' as currency
         from numbered a left join numbered b on b.i = a.i + (select n from rows_in) - 1""",
+    "price_job_two_fetches": """
+        with fetched as (
+          select timestamp, price, 0 as part from prices_raw where timestamp < date '2024-01-16'
+          union all select timestamp, price + 8, 1 from prices_raw where timestamp >= date '2024-01-15'),
+        numbered as (select *, row_number() over (order by timestamp, part) as i from fetched),
+        rows_in as (
+          select floor(10800000000 / median(step))::bigint as n
+          from (select epoch_us(timestamp) - lag(epoch_us(timestamp)) over (order by i) as step from numbered)),
+        sums as (
+          select a.i, sum(b.price) / 4 as s from numbered a
+          join numbered b on b.i <= a.i and b.timestamp > a.timestamp - interval 3 hour group by 1)
+        select case when a.part = 0 and a.timestamp >= date '2024-01-15' and a.timestamp in (select timestamp from fetched where part = 1)
+                    then a.timestamp - interval 1 hour else a.timestamp end as timestamp,
+               round(a.price, 4) as price, round(s.s, 4) as rolling_sum, 'DKK' as currency
+        from numbered a left join sums s on s.i = a.i + (select n from rows_in) - 1""",
     "price_tariff": f"""
         select timestamp, round(price, 4) as price, {tariff(LOCAL)} as "offset",
                round(price + {tariff(LOCAL)}, 4) as price_with_tariff,
@@ -399,9 +412,9 @@ QUERIES = {
                     else cast(min(timestamp) as date)::varchar || ' to '
                       || cast(max(timestamp) as date)::varchar end as label,
                min_by(currency, timestamp) as currency
-        from view_rows""",
+        from all_view_rows""",
     "price_midnight": """
-        select min(timestamp) as midnight from view_rows where hour = 0 and row_index <> 0""",
+        select min(timestamp) as midnight from all_view_rows where hour = 0 and row_index <> 0""",
     "daylight_flag": """
         select h.date, h.temp,
                coalesce(h.date::time >= s.sunrise::time and h.date::time <= s.sunset::time, false)

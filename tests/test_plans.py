@@ -4,13 +4,13 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
 from homegrid.plans import catalog, views
 from tests.conftest import SMALL
 
 FITS = {"cluster_cycles", "cluster_elbow", "cluster_silhouette"}
 STREAMS = {"stream_ingest", "stream_dedupe", "stream_day_summary"}
-BATCH = sorted(set(entry.queries()) - FITS - STREAMS)
+BATCH = sorted(set(catalog.QUERIES) - FITS - STREAMS)
+PYTHON = re.compile(r"Python|MapInArrow|MapInPandas|InPandas|InArrow")
 
 
 def executed(df) -> str:
@@ -26,14 +26,14 @@ def plans(spark):
 
 def plan_of(spark, plans, name):
     if name not in plans:
-        plans[name] = executed(entry.queries()[name](spark, SMALL))
+        plans[name] = executed(catalog.QUERIES[name](spark, SMALL))
     return plans[name]
 
 
 @pytest.mark.parametrize("name", BATCH)
 def test_no_python_and_no_cross_join(spark, plans, name):
     plan = plan_of(spark, plans, name)
-    assert "Python" not in plan and "CartesianProduct" not in plan
+    assert not PYTHON.search(plan) and "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
 
 
@@ -70,4 +70,9 @@ def test_diary_is_one_grouping(spark, plans):
 
 def test_views_match_their_names(events):
     assert views.prices_raw(events).count() == events.select("ts").selectExpr("window(ts, '15 minutes')").distinct().count()
-    assert set(catalog.QUERIES) == set(entry.queries())
+
+
+def test_entry_has_every_query_of_the_catalog():
+    import __spark_entry__ as entry
+
+    assert set(catalog.QUERIES) <= set(entry.queries())

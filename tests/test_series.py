@@ -117,33 +117,82 @@ def test_resample_ffill_on_grid_edges(spark):
     pd.testing.assert_series_equal(got, want, check_freq=False, check_index_type=False)
 
 
+def trailing_sums(rows, window):
+    """Per row the sum over the window that it ends, None without a value; rows in order of arrival."""
+    out = []
+    for i, (t, _) in enumerate(rows):
+        seen = [v for u, v in rows[: i + 1] if t - u < window and v is not None and np.isfinite(v)]
+        out.append(sum(seen) / 4 if seen else None)
+    return out
+
+
+def of_key(out, k, order):
+    part = out[out.k == k].sort_values(order)
+    return [None if pd.isna(v) else v for v in part["rolling_sum"]]
+
+
+def rows_of(frame):
+    return [(t, None if pd.isna(v) else v) for t, v in zip(frame["timestamp"], frame["value"])]
+
+
 @pytest.mark.parametrize("case", CASES)
-@pytest.mark.parametrize("n, bucket", [(1, "1 day"), (4, "20 minutes"), (12, "1 day")])
-def test_rolling_time_sum(spark, case, n, bucket):
+@pytest.mark.parametrize(
+    "n, window, bucket",
+    [(1, "3 hours", "1 day"), (4, "3 hours", "20 minutes"), (12, "3 hours", "1 day"), (2, "5 days", "1 day"), (1, "50000 seconds", "7 hours")],
+)
+def test_rolling_time_sum(spark, case, n, window, bucket):
     frames = [random_series(**case), random_series(78, rows=60, max_gap=60_000)]
     frames[0].loc[1, "value"] = np.inf
     out = series.rolling_time_sum(
-        to_spark(spark, *frames), "timestamp", "value", "3 hours", n, keys=["k"], bucket=bucket
+        to_spark(spark, *frames), "timestamp", "value", window, n, keys=["k"], bucket=bucket
     ).toPandas()
     for k, frame in enumerate(frames):
-        s = frame.set_index("timestamp")["value"].replace([np.inf, -np.inf], np.nan)
-        want = (s.rolling("3h").sum() / 4).shift(-(n - 1))
-        got = out[out.k == k].set_index("timestamp")["rolling_sum"].sort_index().astype(float)
-        pd.testing.assert_series_equal(
-            got, want, check_names=False, check_freq=False, check_index_type=False
-        )
+        sums = trailing_sums(rows_of(frame), pd.Timedelta(window))
+        want = [*sums[n - 1 :], *[None] * min(n - 1, len(sums))]
+        assert of_key(out, k, "timestamp") == [None if v is None else pytest.approx(v, abs=1e-6) for v in want]
+
 
+@pytest.mark.parametrize("n", [1, 2])
+@pytest.mark.parametrize("bucket", ["30 minutes", "1 day"])
+def test_rolling_time_sum_of_equal_times(spark, n, bucket):
+    hours = [0, 1, 1, 2, 2, 2, 4, 4, 9]
+    rows = [(0, (NIGHT + pd.Timedelta(hours=h)).to_pydatetime(), float(2**i), i) for i, h in enumerate(hours)]
+    df = spark.createDataFrame(rows, "k int, timestamp timestamp_ntz, value double, arrival int").repartition(4)
+    out = series.rolling_time_sum(df, "timestamp", "value", "3 hours", n, 1, ["k"], bucket=bucket, arrival="arrival")
+    sums = [4 * v for v in trailing_sums([(r[1], r[2]) for r in rows], pd.Timedelta("3h"))]
+    assert sums[:4] == [1, 3, 7, 15]
+    assert of_key(out.toPandas(), 0, "arrival") == [*sums[n - 1 :], *[None] * (n - 1)]
 
-@pytest.mark.parametrize("n, bucket", [(1, "1 day"), (5, "10 minutes"), (12, "1 day")])
+
+@pytest.mark.parametrize("n, bucket", [(1, "1 day"), (5, "10 minutes"), (12, "1 day"), (350, "1 day"), (900, "1 day")])
 def test_rolling_row_sum(spark, n, bucket):
-    frames = [random_series(9, nulls=0.05, long_gap=True), random_series(79, rows=30, max_gap=90_000)]
+    frames = [random_series(9, rows=800, max_gap=900, nulls=0.003, long_gap=True), random_series(79, rows=30, max_gap=90_000)]
     out = series.rolling_row_sum(to_spark(spark, *frames), "timestamp", "value", n, keys=["k"], bucket=bucket).toPandas()
     for k, frame in enumerate(frames):
-        want = (frame.set_index("timestamp")["value"].rolling(n).sum() / 4).shift(-(n - 1))
-        got = out[out.k == k].set_index("timestamp")["rolling_sum"].sort_index().astype(float)
-        pd.testing.assert_series_equal(
-            got, want, check_names=False, check_freq=False, check_index_type=False
-        )
+        values = [v for _, v in rows_of(frame)]
+        want = []
+        for i in range(len(values)):
+            part = values[i : i + n]
+            want.append(sum(part) / 4 if len(part) == n and None not in part else None)
+        assert of_key(out, k, "timestamp") == [None if v is None else pytest.approx(v, abs=1e-6) for v in want]
+
+
+@pytest.mark.parametrize("operator", ["time", "rows"])
+def test_rolling_work_does_not_grow_with_the_window(spark, operator):
+    """Rows shuffled: the same for twelve rows or hours as for thousands."""
+    df = to_spark(spark, random_series(31, rows=3000, max_gap=200))
+
+    def shuffled(size):
+        if operator == "rows":
+            out = series.rolling_row_sum(df, "timestamp", "value", size)
+        else:
+            out = series.rolling_time_sum(df, "timestamp", "value", f"{size} hours", 2)
+        out.collect()
+        text = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert "Expand" not in text and "collect_list" not in text
+        return text.count("Exchange"), text.count("Generate")
+
+    assert shuffled(12) == shuffled(720)
 
 
 @pytest.mark.parametrize("case", CASES)
@@ -155,6 +204,17 @@ def test_sampling_step(spark, case):
     assert row.rows_in_window == int(pd.Timedelta("3h") / step)
 
 
+def test_median_of_few_bins(spark, monkeypatch):
+    """Ranges shrink over several rounds to the same two middle steps."""
+    monkeypatch.setattr(series, "BINS", 3)
+    frames = [random_series(s, rows=rows) for s, rows in ((41, 50), (42, 51), (43, 2), (44, 1))]
+    got = {r.k: r.step_us for r in series.sampling_step(to_spark(spark, *frames), "timestamp", keys=["k"]).collect()}
+    want = {k: f["timestamp"].diff().dropna().dt.total_seconds().median() * 1e6 for k, f in enumerate(frames[:3])}
+    assert got == pytest.approx(want)
+    none = series.sampling_step(to_spark(spark, frames[3]), "timestamp").collect()
+    assert [tuple(r) for r in none] == [(None, None)]
+
+
 def test_dedupe_keeps_last_and_first(spark):
     rows = [("a", 1, 10.0), ("a", 3, None), ("a", 2, 20.0), ("b", 4, 5.0)]
     df = spark.createDataFrame(rows, "k string, arrival int, v double")
