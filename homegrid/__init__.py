@@ -14,6 +14,8 @@ from homegrid.operators.cycles import (
     cycle_pairs,
     cycle_profiles,
     cycle_span,
+    cycle_steps,
+    profile_grid,
     with_cycle_label,
     with_minutes,
 )
@@ -64,6 +66,7 @@ from homegrid.operators.series import (
 from homegrid.operators.weather import sun_clock, sun_lookup, with_daylight
 from homegrid.plans.jobs import (
     appliance_profiles,
+    appliance_steps,
     appliance_summary,
     day_ahead_prices,
     price_history,

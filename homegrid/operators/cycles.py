@@ -168,12 +168,12 @@ def with_minutes(profiles: DataFrame) -> DataFrame:
     return profiles.withColumn("minutes", F.col("t") / 60)
 
 
-def cycle_profiles(
-    means: DataFrame, pairs: DataFrame, step_s: int = 1, keys: Sequence[str] = DEVICE
-) -> DataFrame:
-    """Watts by elapsed seconds ``t`` of each cycle, every ``step_s`` seconds.
+def cycle_steps(means: DataFrame, pairs: DataFrame, keys: Sequence[str] = DEVICE) -> DataFrame:
+    """Watts of each cycle as a step function: seconds ``lo``..``hi`` (inclusive) since its start.
 
-    Readings meet cycles by (key, day) and time range; cycles of a device do not overlap.
+    A reading holds for the seconds since the one before it, so the steps of a cycle say what a grid
+    of seconds would, in one row per reading. Readings meet cycles by (key, day) and time range;
+    cycles of a device do not overlap.
     """
     keys = list(keys)
     readings = with_neighbours(_per_second(means, keys), "_sec", keys, prev="_prev")
@@ -191,13 +191,27 @@ def cycle_profiles(
     since = F.when(F.col("_sec") == F.col("_start"), F.lit(0)).otherwise(
         F.col("_prev._sec") + 1 - F.col("_start")
     )
-    steps = inside.select(
-        *keys,
-        "cycle_start",
+    return inside.select(
+        *keys, "cycle_start", since.alias("lo"), (F.col("_sec") - F.col("_start")).alias("hi"), "watts"
+    )
+
+
+def profile_grid(steps: DataFrame, step_s: int = 1) -> DataFrame:
+    """Step functions on a regular grid: one row every ``step_s`` seconds, in column ``t``."""
+    others = [c for c in steps.columns if c not in ("lo", "hi", "watts")]
+    cells = steps.select(
+        *others,
         "watts",
-        floor_div(since + F.lit(step_s - 1), step_s).alias("_lo"),
-        floor_div(F.col("_sec") - F.col("_start"), step_s).alias("_hi"),
+        floor_div(F.col("lo") + F.lit(step_s - 1), step_s).alias("_lo"),
+        floor_div(F.col("hi"), step_s).alias("_hi"),
     ).filter("_lo <= _hi")
-    return explode_range(steps, "_lo", "_hi", "_step").select(
-        *keys, "cycle_start", (F.col("_step") * step_s).alias("t"), "watts"
+    return explode_range(cells, "_lo", "_hi", "_step").select(
+        *others, (F.col("_step") * step_s).alias("t"), "watts"
     )
+
+
+def cycle_profiles(
+    means: DataFrame, pairs: DataFrame, step_s: int = 1, keys: Sequence[str] = DEVICE
+) -> DataFrame:
+    """Watts by elapsed seconds ``t`` of each cycle, every ``step_s`` seconds."""
+    return profile_grid(cycle_steps(means, pairs, keys), step_s)

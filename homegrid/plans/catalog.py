@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from homegrid.functions import epoch_seconds, normalize_soc
+from homegrid.functions.clock import from_seconds
 from homegrid.operators import cluster, cycles, daily, dashboard, devices, prices, series, weather
 from homegrid.plans import jobs, views
 from homegrid.session import shared_dir, stored_copy
@@ -25,7 +26,7 @@ QUERIES: dict[str, Query] = {}
 
 DIGITS = 4
 FINE_DIGITS = 6  # for prices per kWh, whose sums have up to six decimals
-STEP_S = 60
+GRID = "1 minute"
 SLOT = "15 minutes"
 LOCAL = "Europe/Copenhagen"
 STAMP = "yyyy-MM-dd'T'HH:mm:ss'+00:00'"
@@ -466,8 +467,8 @@ def _means(ev: DataFrame) -> DataFrame:
     return devices.second_means(views.consumption(ev), columns=["watts"])
 
 
-def _profiles(ev: DataFrame) -> DataFrame:
-    return jobs.appliance_profiles(views.consumption(ev), step_s=STEP_S)
+def _steps(ev: DataFrame) -> DataFrame:
+    return jobs.appliance_steps(views.consumption(ev))
 
 
 def _labels(ev: DataFrame) -> DataFrame:
@@ -504,7 +505,15 @@ def plug_second_means(ev):
 
 @query
 def resample_bfill(ev):
-    return series.resample_bfill(_means(ev), "timestamp", "watts", ["dev_id"], STEP_S)
+    """On a grid of minutes, where a label has the next reading at or after it."""
+    return series.resample_bfill(_means(ev), "timestamp", "watts", ["dev_id"], GRID)
+
+
+@query
+def bfill_seconds(ev):
+    """On a grid of seconds, as the runs of seconds that one reading fills."""
+    runs = series.bfill_intervals(_means(ev), "timestamp", "watts", ["dev_id"], 1)
+    return runs.select("dev_id", from_seconds("lo").alias("first"), from_seconds("hi").alias("last"), "watts")
 
 
 @query
@@ -524,42 +533,49 @@ def cycle_span(ev):
 
 @query
 def cycle_profiles(ev):
-    return _profiles(ev)
+    """All seconds of every cycle, as runs of seconds with the same reading."""
+    return _steps(ev)
+
+
+@query
+def cycle_profile_grid(ev):
+    """Profiles drawn on a grid of five minutes."""
+    return cycles.profile_grid(_steps(ev), 300)
 
 
 @query
 def cluster_profiles(ev):
-    return cycles.with_minutes(cluster.cluster_profiles(_profiles(ev), _labels(ev)))
+    return cycles.with_minutes(cluster.cluster_profiles(_steps(ev), _labels(ev)))
 
 
 @query
 def cluster_usage(ev):
-    return cluster.cluster_usage(cluster.cluster_profiles(_profiles(ev), _labels(ev)), STEP_S)
+    return cluster.cluster_usage(_steps(ev), _labels(ev))
 
 
 @query
 def cluster_cycles(ev):
-    return cluster.cluster_cycles(_profiles(ev))
+    return cluster.cluster_cycles(stored_copy(_steps(ev), "steps"))
 
 
 @query
 def cluster_devices(ev):
-    return cluster.cluster_devices(stored_copy(_profiles(ev), "profiles"))
+    return cluster.cluster_devices(stored_copy(_steps(ev), "steps"))
 
 
 @query
 def appliance_summary(ev):
-    return jobs.appliance_summary(views.consumption(ev), step_s=STEP_S)
+    return jobs.appliance_summary(views.consumption(ev))
 
 
 @query
 def cluster_elbow(ev):
-    return cluster.k_sweep(_profiles(ev))
+    return cluster.k_sweep(stored_copy(_steps(ev), "steps"))
 
 
 @query
 def cluster_silhouette(ev):
-    return cluster.silhouettes(_profiles(ev))
+    return cluster.silhouettes(stored_copy(_steps(ev), "steps"))
 
 
 # -- payloads -------------------------------------------------------------------------

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from homegrid.operators.cluster import ROUNDS, cluster_devices, cluster_profiles, cluster_usage
-from homegrid.operators.cycles import cycle_marks, cycle_pairs, cycle_profiles
+from homegrid.operators.cluster import ROUNDS, cluster_devices, cluster_usage
+from homegrid.operators.cycles import cycle_marks, cycle_pairs, cycle_steps, profile_grid
 from homegrid.operators.devices import device_readings, second_means
 from homegrid.operators.prices import clean_prices, union_prices
 from homegrid.operators.series import (
@@ -50,19 +50,18 @@ def price_history(fetches: DataFrame, arrival: str) -> DataFrame:
     return rolling_row_sum(grid, "timestamp", "price", PRICE_ROWS)
 
 
-def appliance_profiles(
-    consumption: DataFrame, dev_id: int | None = None, step_s: int = 1
-) -> DataFrame:
-    """Cycle profiles of all located devices, or of one."""
+def appliance_steps(consumption: DataFrame, dev_id: int | None = None) -> DataFrame:
+    """Cycle profiles of all located devices, or of one, as step functions."""
     means = second_means(device_readings(consumption, dev_id), columns=["watts"])
-    pairs = cycle_pairs(cycle_marks(means))
-    return cycle_profiles(means, pairs, step_s)
+    return cycle_steps(means, cycle_pairs(cycle_marks(means)))
 
 
-def appliance_summary(
-    consumption: DataFrame, k: int = 3, rounds: int = ROUNDS, step_s: int = 1
-) -> DataFrame:
+def appliance_profiles(consumption: DataFrame, dev_id: int | None = None, step_s: int = 1) -> DataFrame:
+    """The same on a grid of seconds."""
+    return profile_grid(appliance_steps(consumption, dev_id), step_s)
+
+
+def appliance_summary(consumption: DataFrame, k: int = 3, rounds: int = ROUNDS) -> DataFrame:
     """Use of an average cycle in each cluster of each located device."""
-    profiles = stored_copy(appliance_profiles(consumption, step_s=step_s), "profiles")
-    labels = cluster_devices(profiles, k, rounds)
-    return cluster_usage(cluster_profiles(profiles, labels), step_s)
+    steps = stored_copy(appliance_steps(consumption), "steps")
+    return cluster_usage(steps, cluster_devices(steps, k, rounds))

@@ -129,46 +129,32 @@ VIEWS = {
         from next_ends
         where mark = 'start' and cycle_end - timestamp > interval 5400 second
         group by dev_id, cycle_end""",
-    "grid": """
-        select dev_id, cycle_start,
-               unnest(generate_series(cycle_start, cycle_end, interval 60 second)) as g
-        from pairs where dev_id <> 2""",
+    # every second with the next reading, cut into cycles
+    "seconds": """
+        select dev_id, s as reading, watts, unnest(generate_series(coalesce(prev_s + 1, s), s)) as g
+        from neighbours where dev_id <> 2""",
     "profiles": """
-        select g.dev_id, g.cycle_start, epoch(g.g - g.cycle_start)::bigint as t, m.watts
-        from grid g asof join means m on g.dev_id = m.dev_id and g.g <= m.timestamp""",
+        select dev_id, cycle_start, g - epoch(cycle_start)::bigint as t, watts, reading
+        from seconds join pairs using (dev_id)
+        where g between epoch(cycle_start)::bigint and epoch(cycle_end)::bigint""",
+    "steps": """
+        select dev_id, cycle_start, min(t) as lo, max(t) as hi, any_value(watts) as watts
+        from profiles group by dev_id, cycle_start, reading""",
     "labels": """
         select dev_id, cycle_start,
                case when seconds < 7200 then 0 when seconds < 10800 then 1 else 2 end as cluster
         from pairs where dev_id <> 2""",
     "sizes": "select dev_id, cluster, count(*) as cycles from labels group by 1, 2",
-    "cluster_means": """
-        select dev_id, cluster, t, sum(watts) / max(cycles) as watts
-        from profiles join labels using (dev_id, cycle_start) join sizes using (dev_id, cluster)
-        group by 1, 2, 3""",
-    # k-means of each device, on the padded matrix; the rounds follow below
-    "device_steps": "select distinct dev_id, t from profiles",
-    "totals": """
-        select dev_id, cycle_start, sum(watts) as total,
-               row_number() over (partition by dev_id order by sum(watts), cycle_start) - 1 as rank,
-               count(*) over (partition by dev_id) as cycles
-        from profiles group by 1, 2""",
-    "padded": """
-        select c.dev_id, c.cycle_start, s.t, coalesce(p.watts, 0) as watts
-        from totals c join device_steps s using (dev_id)
-        left join profiles p using (dev_id, cycle_start, t)""",
-    "matrix": """
-        select dev_id, cycle_start, t,
-               case when max(watts) over w > min(watts) over w
-                    then (watts - min(watts) over w) / (max(watts) over w - min(watts) over w)
-                    else 0 end as x
-        from padded window w as (partition by dev_id, t)""",
-    "centers_0": """
-        select dev_id, part as cluster, t, x
-        from matrix join (
-          select dev_id, cycle_start, min(part) as part
-          from totals, (select unnest([0, 1, 2]) as part)
-          where rank = floor((part * 2 + 1) * cycles / 6) group by 1, 2)
-        using (dev_id, cycle_start)""",
+    # mean watts of every second, and whether a cycle of the cluster changes or has ended there
+    "cluster_seconds": """
+        select dev_id, cluster, t, sum(watts) as watts, bool_or(is_new) as is_new, count(*) as alive
+        from (select dev_id, cycle_start, t, cast(watts as decimal(28, 9)) as watts,
+                     reading is distinct from lag(reading) over (partition by dev_id, cycle_start order by t) as is_new
+              from profiles)
+        join labels using (dev_id, cycle_start) group by 1, 2, 3""",
+    "cluster_runs": """
+        select *, sum(case when is_new or alive <> before then 1 else 0 end) over (partition by dev_id, cluster order by t) as run
+        from (select *, lag(alive, 1, 0) over (partition by dev_id, cluster order by t) as before from cluster_seconds)""",
     # price view
     "rolled": """
         select timestamp, price, lead(s, 11) over (order by timestamp) as rolling_sum
@@ -181,23 +167,90 @@ VIEWS = {
           from prices_raw) asof left join prices_raw p on g >= p.timestamp""",
 }
 
-# k-means is at rest after eight rounds on the given tables; the rounds after that change nothing.
-ROUNDS = 25
-for _i in range(ROUNDS + 1):
-    VIEWS[f"distances_{_i}"] = f"""
-        select m.dev_id, m.cycle_start, c.cluster, sum((m.x - c.x) * (m.x - c.x)) as d
-        from matrix m join centers_{_i} c on m.dev_id = c.dev_id and m.t = c.t group by 1, 2, 3"""
-    VIEWS[f"assigned_{_i}"] = f"""
-        select dev_id, cycle_start, arg_min(cluster, (d, cluster)) as cluster
-        from distances_{_i} group by 1, 2"""
-    if _i < ROUNDS:
-        VIEWS[f"centers_{_i + 1}"] = f"""
-            select c.dev_id, c.cluster, c.t, coalesce(n.x, c.x) as x
-            from centers_{_i} c left join (
-              select dev_id, cluster, t, avg(x) as x
-              from matrix join assigned_{_i} using (dev_id, cycle_start) group by 1, 2, 3) n
-            using (dev_id, cluster, t)"""
-LAST = f"assigned_{ROUNDS}"
+#: Marks a view whose rows are to be computed once, however often it is used.
+KEPT = "materialized:"
+#: k-means is at rest after fewer rounds on the given tables; the rounds after that change nothing.
+ROUNDS = 30
+
+
+def _share(number: int) -> str:
+    return f"-ln((cast('0x' || substr(md5(name || '|{number}'), 1, 8) as bigint) + 0.5) / 4294967296)"
+
+
+def _fit(tag: str, population: str, ks: range) -> dict[str, str]:
+    """k-means by way of inner products: a center is the set of its cycles, and its distance to a
+    cycle a sum over their products. Nothing is computed with centers as rows of numbers."""
+    out = {
+        f"{tag}_cycles": f"""
+            select {population} as g, dev_id, cycle_start, dev_id || '|' || strftime(cycle_start, '%Y-%m-%d %H:%M:%S') as name,
+                   row_number() over (partition by {population} order by dev_id, cycle_start) as i
+            from (select distinct dev_id, cycle_start from steps)""",
+        f"{tag}_steps": f"select g, i, lo, hi, watts from steps join {tag}_cycles using (dev_id, cycle_start)",
+        f"{tag}_segments": f"""
+            select g, e, len from (
+              select g, e, lead(e) over (partition by g order by e) - e as len
+              from (select g, lo as e from {tag}_steps union select g, hi + 1 from {tag}_steps))
+            where len is not null""",
+        f"{tag}_cells": f"""
+            select c.g, c.i, c.e, c.len, case when c.e <= p.hi then p.watts else 0 end as w
+            from (select g, i, e, len from {tag}_cycles join {tag}_segments using (g)) c
+            asof left join {tag}_steps p on c.g = p.g and c.i = p.i and c.e >= p.lo""",
+        f"{tag}_x": f"""
+            select g, i, e, x from (
+              select g, i, e, sqrt(len) * (w - min(w) over span) / nullif(max(w) over span - min(w) over span, 0) as x
+              from {tag}_cells window span as (partition by g, e))
+            where x <> 0""",
+        f"{tag}_products": f"""
+            select a.g, a.i, b.i as j, sum(a.x * b.x) as v from {tag}_x a join {tag}_x b on a.g = b.g and a.e = b.e group by 1, 2, 3""",
+        f"{tag}_gram": f"""
+            select a.g, a.i, b.i as j, coalesce(v, 0) as v from {tag}_cycles a join {tag}_cycles b on a.g = b.g
+            left join {tag}_products p on p.g = a.g and p.i = a.i and p.j = b.i""",
+        f"{tag}_norms": f"select g, i, v as own from {tag}_gram where i = j",
+        f"{tag}_seed_0": f"select g, 0 as cluster, arg_min(i, ({_share(0)}, name)) as i from {tag}_cycles group by 1",
+        f"{tag}_gap_0": f"select g, i, 1e300::double as gap from {tag}_cycles",
+    }
+    for r in range(1, max(ks)):
+        out[f"{tag}_gap_{r}"] = f"""
+            select a.g, a.i, least(gap, a.own - 2 * p.v + b.own) as gap
+            from {tag}_gap_{r - 1} q join {tag}_norms a on q.g = a.g and q.i = a.i
+            join {tag}_seed_{r - 1} s on s.g = a.g join {tag}_norms b on b.g = s.g and b.i = s.i
+            join {tag}_gram p on p.g = a.g and p.i = a.i and p.j = s.i"""
+        out[f"{tag}_seed_{r}"] = f"""
+            select g, {r} as cluster, arg_min(i, ({_share(r)} / gap, name)) as i
+            from {tag}_gap_{r} join {tag}_cycles using (g, i) where gap > 1e-9 group by 1"""
+    seeds = " union all ".join(f"select * from {tag}_seed_{r}" for r in range(max(ks)))
+    out[f"{tag}_members_0"] = f"select g, k, cluster, i from ({seeds}) join (select unnest({list(ks)}) as k) on cluster < k"
+    for r in range(ROUNDS + 1):
+        out[f"{tag}_cross_{r}"] = f"""
+            select g, k, cluster, p.i, avg(p.v) as v from {tag}_members_{r} m join {tag}_gram p using (g)
+            where p.j = m.i group by 1, 2, 3, 4"""
+        out[f"{tag}_inner_{r}"] = f"""
+            select g, k, cluster, avg(v) as v from {tag}_members_{r} join {tag}_cross_{r} using (g, k, cluster, i) group by 1, 2, 3"""
+        out[f"{tag}_label_{r}"] = f"""
+            select c.g, c.k, c.i, arg_min(c.cluster, (own - 2 * c.v + s.v, c.cluster)) as cluster, min(own - 2 * c.v + s.v) as d
+            from {tag}_cross_{r} c join {tag}_inner_{r} s using (g, k, cluster) join {tag}_norms n on n.g = c.g and n.i = c.i
+            group by 1, 2, 3"""
+        out[f"{tag}_members_{r + 1}"] = f"""
+            select g, k, cluster, i from {tag}_label_{r} union all
+            select g, k, cluster, i from {tag}_members_{r} anti join {tag}_label_{r} using (g, k, cluster)"""
+    # mean squared distance of every cycle to every cluster
+    out[f"{tag}_spread"] = f"""
+        select c.g, c.k, c.i, c.cluster, n.own - 2 * c.v + z.mean_own as d, z.size from {tag}_cross_{ROUNDS} c
+        join (select g, k, cluster, count(*) as size, avg(own) as mean_own
+              from {tag}_label_{ROUNDS} join {tag}_norms using (g, i) group by 1, 2, 3) z using (g, k, cluster)
+        join {tag}_norms n on n.g = c.g and n.i = c.i"""
+    out[f"{tag}_scores"] = f"""
+        select l.g, l.k, l.i,
+               max(case when s.cluster = l.cluster then s.d * s.size / greatest(s.size - 1, 1) end) as near,
+               max(case when s.cluster = l.cluster then s.size end) as size,
+               min(case when s.cluster <> l.cluster then s.d end) as far
+        from {tag}_label_{ROUNDS} l join {tag}_spread s on s.g = l.g and s.k = l.k and s.i = l.i group by 1, 2, 3"""
+    return {name: KEPT + sql for name, sql in out.items()}
+
+
+for _tag, _population, _ks in (("each", "dev_id", range(3, 4)), ("pool", "0", range(3, 4)), ("sweep", "dev_id", range(2, 10)), ("score", "dev_id", range(2, 6))):
+    VIEWS.update(_fit(_tag, _population, _ks))
+LAST = f"each_label_{ROUNDS} join each_cycles using (g, i)"
 
 
 def tariff(ts: str) -> str:
@@ -496,6 +549,10 @@ QUERIES = {
         from consumption group by 1""",
     "plug_second_means": """
         select dev_id, timestamp, round(watts, 4) as watts, volts from means_all""",
+    "bfill_seconds": """
+        select dev_id, coalesce(make_timestamp(1000000 * (lag(s) over (partition by dev_id order by s) + 1)), timestamp) as first,
+               timestamp as last, round(watts, 4) as watts
+        from means""",
     "resample_bfill": """
         select g.dev_id, g as timestamp, round(watts, 4) as watts
         from (select dev_id, unnest(generate_series(date_trunc('minute', min(timestamp)),
@@ -505,25 +562,31 @@ QUERIES = {
     "cycle_marks": "select dev_id, timestamp, mark from marks where mark is not null",
     "cycle_pairs": """
         select *, strftime(cycle_start, '%Y-%m-%d %H:%M') as label from pairs""",
-    "cycle_profiles": "select dev_id, cycle_start, t, round(watts, 4) as watts from profiles",
+    "cycle_profiles": "select dev_id, cycle_start, lo, hi, round(watts, 4) as watts from steps",
+    "cycle_profile_grid": "select dev_id, cycle_start, t, round(watts, 4) as watts from profiles where t % 300 = 0",
     "cluster_profiles": """
-        select dev_id, cluster, t, round(watts, 4) as watts, round(t / 60, 4) as minutes
-        from cluster_means""",
+        select dev_id, cluster, min(t) as t, max(t) as t_end, round(any_value(r.watts)::double / any_value(cycles), 4) as watts,
+               round(min(t) / 60, 4) as minutes
+        from cluster_runs r join sizes using (dev_id, cluster) group by dev_id, cluster, run""",
     "cycle_span": """
         select dev_id, strftime(min(cycle_start), '%y-%m-%d') as first_day,
                strftime(max(cycle_start), '%y-%m-%d') as last_day, count(*) as cycles
         from pairs group by 1""",
     "cluster_usage": """
-        select dev_id, cluster, round_even(sum(watts) * 60 / 1000, 0) as kws,
-               round(sum(watts) * 60 / 3600000, 4) as kwh
-        from cluster_means group by 1, 2""",
+        select dev_id, cluster, round_even(ws / 1000, 0) as kws, round(ws / 3600000, 4) as kwh
+        from (select dev_id, cluster, sum(watts)::double / any_value(cycles) as ws
+              from cluster_seconds join sizes using (dev_id, cluster) group by 1, 2)""",
     "cluster_devices": f"select dev_id, cycle_start, cluster from {LAST}",
+    "cluster_cycles": f"select dev_id, cycle_start, cluster from pool_label_{ROUNDS} join pool_cycles using (g, i)",
+    "cluster_elbow": f"select g as dev_id, k, round(sum(d), 4) as cost from sweep_label_{ROUNDS} group by 1, 2",
+    "cluster_silhouette": """
+        select g as dev_id, k,
+               round(avg(case when size < 2 or far is null or greatest(near, far) <= 0 then 0 else (far - near) / greatest(near, far) end), 4) as silhouette
+        from score_scores group by 1, 2""",
     "appliance_summary": f"""
-        select dev_id, cluster, round_even(sum(watts) * 60 / 1000, 0) as kws,
-               round(sum(watts) * 60 / 3600000, 4) as kwh
-        from (select dev_id, cluster, t, avg(watts) as watts
-              from padded join {LAST} using (dev_id, cycle_start) group by 1, 2, 3)
-        group by 1, 2""",
+        select dev_id, cluster, round_even(ws / 1000, 0) as kws, round(ws / 3600000, 4) as kwh
+        from (select dev_id, cluster, sum(cast(watts as decimal(28, 9)))::double / count(distinct cycle_start) as ws
+              from profiles join ({LAST}) using (dev_id, cycle_start) group by 1, 2)""",
     # payloads
     "parse_power_flow": f"""
         select date_trunc('second', ts) as timestamp, round(value, 2) as p_battery,
@@ -599,7 +662,7 @@ def _needed(sql: str) -> list[str]:
         name = todo.pop()
         if name not in found:
             found.add(name)
-            inner = set(VIEWS[name].replace("(", " ").replace(")", " ").replace(",", " ").split())
+            inner = set(VIEWS[name].removeprefix(KEPT).replace("(", " ").replace(")", " ").replace(",", " ").split())
             todo += [v for v in VIEWS if v in inner and v != name]
     return [v for v in VIEWS if v in found]
 
@@ -607,7 +670,9 @@ def _needed(sql: str) -> list[str]:
 def statement(name: str) -> str:
     """The query with the views it needs as common table expressions."""
     sql = QUERIES[name].strip()
-    ctes = [f"{v} as ({VIEWS[v].strip()})" for v in _needed(sql)]
+    ctes = [
+        f"{v} as {'materialized ' if VIEWS[v].startswith(KEPT) else ''}({VIEWS[v].removeprefix(KEPT).strip()})" for v in _needed(sql)
+    ]
     if not ctes:
         return sql
     head = "with " + ",\n".join(ctes)

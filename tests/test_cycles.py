@@ -1,5 +1,7 @@
 """Cycles against the dense one-second algorithm on random plug series."""
 
+import hashlib
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -29,11 +31,26 @@ def plug_series(seed, hours=60, whole=True):
 
 
 def dense_marks(frame):
-    w = frame.set_index("timestamp")["watts"].resample("s").mean().bfill()
-    quiet = w.rolling(300).sum().shift(-300).fillna(0) == 0
-    start = (w == 0) & (w.shift(-1) > 0)
-    end = (w > 0) & (w.shift(-1) == 0) & quiet
-    return w, list(w.index[start]), list(w.index[end])
+    """Watts of every second, and the seconds at which cycles start and end, found by walking along them."""
+    means = {}
+    for t, w in zip(frame["timestamp"], frame["watts"]):
+        means.setdefault(t.floor("s"), []).append(w)
+    seconds = pd.date_range(min(means), max(means), freq="s")
+    level, watts = 0.0, []
+    for t in reversed(seconds):  # the next reading holds
+        if t in means:
+            level = sum(means[t]) / len(means[t])
+        watts.append(level)
+    watts.reverse()
+    starts, ends = [], []
+    for i in range(len(watts) - 1):
+        if watts[i] == 0 and watts[i + 1] > 0:
+            starts.append(seconds[i])
+        elif watts[i] > 0 and watts[i + 1] == 0:
+            after = watts[i + 1 : i + 301]
+            if len(after) < 300 or not any(after):
+                ends.append(seconds[i])
+    return pd.Series(watts, seconds), starts, ends
 
 
 def dense_pairs(starts, ends):
@@ -130,69 +147,133 @@ def test_device_reads(spark):
 
 # -- clusters -------------------------------------------------------------------------
 
+STEPS = "dev_id int, cycle_start timestamp_ntz, lo long, hi long, watts double"
 
-@pytest.fixture(scope="module")
-def shapes(spark):
-    """Three clearly different kinds of cycles on one device."""
-    rng = np.random.default_rng(3)
-    rows = []
-    for c in range(30):
-        kind = c % 3
-        start = START + pd.Timedelta(days=c)
-        for t in range(0, (20, 40, 60)[kind] * 60, 60):
-            rows.append((0, start.to_pydatetime(), t, float((100, 900, 2000)[kind] + rng.integers(0, 30))))
-    return spark.createDataFrame(rows, "dev_id int, cycle_start timestamp_ntz, t long, watts double").persist()
-
-
-def test_kmeans_finds_the_kinds(shapes):
-    labels = cluster.cluster_cycles(shapes, 3).orderBy("cycle_start").toPandas()
-    kinds = [set(labels.cluster[i::3]) for i in range(3)]
-    assert all(len(k) == 1 for k in kinds) and len(set.union(*kinds)) == 3
-
-
-def test_cluster_means_count_ended_cycles_as_zero(spark):
-    rows = [(0, "a", 0, 10.0), (0, "a", 60, 20.0), (0, "b", 0, 30.0)]
-    profiles = spark.createDataFrame(rows, "dev_id int, cycle_start string, t long, watts double")
-    labels = spark.createDataFrame(
-        [(0, "a", 1), (0, "b", 1)], "dev_id int, cycle_start string, cluster int"
-    )
-    means = cluster.cluster_profiles(profiles, labels)
-    assert {r.t: r.watts for r in means.collect()} == {0: 20.0, 60: 10.0}
-    usage = cluster.cluster_usage(means, 60).first()
-    assert (usage.kws, usage.kwh) == (2.0, pytest.approx(30 * 60 / 3_600_000))
 
+def random_cycles(spark, seed, counts):
+    """Steps of random lengths and powers, and every cycle second by second."""
+    rng = np.random.default_rng(seed)
+    rows, dense = [], {}
+    for dev, count in enumerate(counts):
+        for c in range(count):
+            start, at, seconds = START + pd.Timedelta(days=c, seconds=int(rng.integers(80_000))), 0, []
+            for _ in range(rng.integers(1, 9)):
+                length, watts = int(rng.integers(1, 30)), float(rng.integers(0, 4) * 500 * (1 + c % 3))
+                rows.append((dev, start.to_pydatetime(), at, at + length - 1, watts))
+                seconds += [watts] * length
+                at += length
+            dense[dev, start] = np.array(seconds)
+    return spark.createDataFrame(rows, STEPS).repartition(5), dense
+
+
+def scaled_seconds(dense):
+    """Names and min-max scaled matrix of one population on a grid of seconds."""
+    cycles = sorted(dense)
+    matrix = np.zeros((len(cycles), max(map(len, dense.values()))))
+    for row, key in zip(matrix, cycles):
+        row[: len(dense[key])] = dense[key]
+    low, high = matrix.min(0), matrix.max(0)
+    return cycles, np.where(high > low, (matrix - low) / np.where(high > low, high - low, 1), 0)
 
-def test_sweep_and_silhouette(shapes):
-    costs = {r.k: r.cost for r in cluster.k_sweep(shapes, (2, 3, 4)).collect()}
-    assert costs[2] > costs[3] >= costs[4] * 0.99
-    scores = {r.k: r.silhouette for r in cluster.silhouettes(shapes, (2, 3)).collect()}
-    assert scores[3] > 0.9 and scores[3] > scores[2]
 
+def dense_fit(dense, k):
+    """Plain k-means on seconds from the same draws: labels, squared distances, silhouettes."""
+    cycles, x = scaled_seconds(dense)
+    names = [f"{dev}|{start:%Y-%m-%d %H:%M:%S}" for dev, start in cycles]
 
-def dense_kmeans(matrix, k, rounds):
-    """Plain rounds from the middle cycles of k equal parts by use."""
-    low, high = matrix.min(0), matrix.max(0)
-    x = np.where(high > low, (matrix - low) / np.where(high > low, high - low, 1), 0)
-    order = np.argsort(matrix.sum(1), kind="stable")
-    centers = np.array([x[order[(2 * i + 1) * len(x) // (2 * k)]] for i in range(k)])
-    for _ in range(rounds):
+    def chance(name, r):
+        return -np.log((int(hashlib.md5(f"{name}|{r}".encode()).hexdigest()[:8], 16) + 0.5) / 2**32)
+
+    centers = [x[min(range(len(x)), key=lambda i: (chance(names[i], 0), names[i]))]]
+    for r in range(1, k):
+        gap = [min(((row - c) ** 2).sum() for c in centers) for row in x]
+        left = [i for i in range(len(x)) if gap[i] > 1e-9]
+        if left:
+            centers.append(x[min(left, key=lambda i: (chance(names[i], r) / gap[i], names[i]))])
+    centers = np.array(centers)
+    while True:
         labels = ((x[:, None] - centers[None]) ** 2).sum(2).argmin(1)
-        centers = np.array([x[labels == c].mean(0) if (labels == c).any() else centers[c] for c in range(k)])
-    return ((x[:, None] - centers[None]) ** 2).sum(2).argmin(1)
-
-
-def test_devices_are_clustered_on_their_own(spark):
-    rng = np.random.default_rng(8)
-    rows, want = [], {}
-    for dev, count in enumerate((25, 7, 3)):
-        lengths = rng.integers(5, 40, count)
-        matrix = np.zeros((count, lengths.max()))
-        for c, length in enumerate(lengths):
-            matrix[c, :length] = np.round(rng.random(length) * 1000 * (1 + c % 3), 1)
-            start = (START + pd.Timedelta(days=c)).to_pydatetime()
-            rows += [(dev, start, t * 60, float(matrix[c, t])) for t in range(length)]
-        for c, label in enumerate(dense_kmeans(matrix, 3, 6)):
-            want[dev, (START + pd.Timedelta(days=c)).to_pydatetime()] = label
-    df = spark.createDataFrame(rows, "dev_id int, cycle_start timestamp_ntz, t long, watts double")
-    got = cluster.cluster_devices(df, 3, rounds=6).collect()
-    assert {(r.dev_id, r.cycle_start): r.cluster for r in got} == want
+        moved = np.array([x[labels == c].mean(0) if (labels == c).any() else centers[c] for c in range(len(centers))])
+        if np.allclose(moved, centers, atol=1e-12):
+            break
+        centers = moved
+    pairs = ((x[:, None] - x[None]) ** 2).sum(2)
+    scores = []
+    for i, label in enumerate(labels):
+        own = labels == label
+        others = [pairs[i][labels == c].mean() for c in set(labels) - {label}]
+        if own.sum() < 2 or not others:
+            scores.append(0.0)
+        else:
+            a, b = pairs[i][own].sum() / (own.sum() - 1), min(others)
+            scores.append((b - a) / max(a, b) if max(a, b) > 0 else 0.0)
+    return {c: int(label) for c, label in zip(cycles, labels)}, ((x - centers[labels]) ** 2).sum(1), scores
+
+
+def of_device(dense, dev):
+    return {key: row for key, row in dense.items() if key[0] == dev}
+
+
+@pytest.fixture(scope="module")
+def some_cycles(spark):
+    return random_cycles(spark, 8, (25, 7, 3, 1))
+
+
+def test_devices_are_clustered_on_their_own(some_cycles, monkeypatch):
+    """Labels are those of a fit on seconds, also where a device's rows lie in several blocks."""
+    steps, dense = some_cycles
+    monkeypatch.setattr(cluster, "BLOCK_BYTES", 4000)
+    got = {(r.dev_id, pd.Timestamp(r.cycle_start)): r.cluster for r in cluster.cluster_devices(steps, 3).collect()}
+    want = {}
+    for dev in range(4):
+        want |= dense_fit(of_device(dense, dev), 3)[0]
+    assert got == want
+
+
+def test_one_population(some_cycles):
+    steps, dense = some_cycles
+    got = {(r.dev_id, pd.Timestamp(r.cycle_start)): r.cluster for r in cluster.cluster_cycles(steps, 3).collect()}
+    assert got == dense_fit(dense, 3)[0]
+
+
+def test_sweep_and_silhouette(some_cycles):
+    steps, dense = some_cycles
+    costs = {(r.dev_id, r.k): r.cost for r in cluster.k_sweep(steps, (2, 3, 5)).collect()}
+    scores = {(r.dev_id, r.k): r.silhouette for r in cluster.silhouettes(steps, (2, 3)).collect()}
+    for dev in range(4):
+        for k in (2, 3, 5):
+            _, distances, own = dense_fit(of_device(dense, dev), k)
+            assert costs[dev, k] == pytest.approx(distances.sum(), abs=1e-6)
+            if k < 5:
+                assert scores[dev, k] == pytest.approx(np.mean(own), abs=1e-6)
+
+
+def test_equal_cycles_share_a_cluster(spark):
+    rows = [(0, (START + pd.Timedelta(days=c)).to_pydatetime(), 0, 9, 100.0 * (c % 2)) for c in range(6)]
+    labels = cluster.cluster_devices(spark.createDataFrame(rows, STEPS), 4).orderBy("cycle_start").collect()
+    assert len({r.cluster for r in labels[::2]}) == len({r.cluster for r in labels[1::2]}) == 1
+    assert cluster.silhouettes(spark.createDataFrame(rows, STEPS), (2,)).first().silhouette == 1.0
+
+
+def test_no_cycles(spark):
+    none = spark.createDataFrame([], STEPS)
+    assert cluster.cluster_devices(none).count() == 0 and cluster.k_sweep(none, (2,)).count() == 0
+
+
+def test_cluster_means_are_those_of_every_second(some_cycles, monkeypatch):
+    steps, dense = some_cycles
+    monkeypatch.setattr(cluster, "SWEEP_BUCKET", 16)
+    labels = {key: hash(key[1].day) % 2 for key in dense}
+    table = steps.sparkSession.createDataFrame([(d, s.to_pydatetime(), c) for (d, s), c in labels.items()], "dev_id int, cycle_start timestamp_ntz, cluster int")
+    got = cluster.cluster_profiles(steps, table).toPandas()
+    usage = {(r.dev_id, r.cluster): r for r in cluster.cluster_usage(steps, table).collect()}
+    for dev, label in {(key[0], c) for key, c in labels.items()}:
+        rows = [row for key, row in dense.items() if key[0] == dev and labels[key] == label]
+        mean = np.zeros(max(map(len, rows)))
+        for row in rows:
+            mean[: len(row)] += row / len(rows)
+        mine = got[(got.dev_id == dev) & (got.cluster == label)].sort_values("t")
+        assert list(mine.t) == [0, *(mine.t_end + 1)[:-1]] and mine.t_end.iloc[-1] == len(mean) - 1
+        np.testing.assert_allclose(np.repeat(mine.watts.to_numpy(), mine.t_end - mine.t + 1), mean, atol=1e-9)
+        assert usage[dev, label].kwh == pytest.approx(mean.sum() / 3_600_000)
+        assert usage[dev, label].kws == round(mean.sum() / 1000)

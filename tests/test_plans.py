@@ -7,7 +7,8 @@ import pytest
 from homegrid.plans import catalog, views
 from tests.conftest import SMALL
 
-FITS = {"cluster_cycles", "cluster_elbow", "cluster_silhouette"}
+# fits, whose rounds multiply blocks of rows with centers in Arrow batches
+FITS = {"cluster_cycles", "cluster_devices", "cluster_elbow", "cluster_silhouette"}
 STREAMS = {"stream_ingest", "stream_dedupe", "stream_day_summary"}
 BATCH = sorted(set(catalog.QUERIES) - FITS - STREAMS)
 PYTHON = re.compile(r"Python|MapInArrow|MapInPandas|InPandas|InArrow")
