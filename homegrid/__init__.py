@@ -90,6 +90,8 @@ from homegrid.sources.payloads import (
     parse_weather_current,
     parse_weather_daily,
     parse_weather_hourly,
+    payload_files,
+    rejects,
 )
 from homegrid.sources.tables import (
     date_spine,

@@ -629,6 +629,18 @@ def parse_power_flow_rejects(ev):
     return payloads.bad_rows(_power_flow_bodies(ev)).select("event_id")
 
 
+@query
+def parse_reject_reasons(ev):
+    """Why payloads of the inverter, and forecasts cut short in every third hour, give no rows."""
+    flow = payloads.rejects(_power_flow_bodies(ev), "power_flow").select("event_id", "reason")
+    text = F.to_json(F.struct(F.array(F.struct(F.col("value").alias("pv_estimate"))).alias("forecasts")))
+    bodies = ev.select(
+        (-F.col("event_id") - 1).alias("event_id"),
+        F.when(F.hour("ts") % 3 == 0, F.substring(text, 1, 9)).when(F.hour("ts") % 3 == 1, '{"forecasts": []}').otherwise(text).alias("body"),
+    )
+    return flow.unionByName(payloads.rejects(bodies, "solar_forecast").select("event_id", "reason"))
+
+
 def _plug_bodies(ev: DataFrame) -> DataFrame:
     """Plug payloads. No update in a "view", no power in a "click", no time in an "error"."""
     kind = F.col("event_type")
@@ -752,6 +764,23 @@ def parse_weather_daily(ev):
     )
 
 
+@query
+def parse_weather_current(ev):
+    """One payload per event; a "view" reports two conditions, an "error" none."""
+    kind = F.col("event_type")
+    one = F.struct(F.lit(800).alias("id"), kind.alias("main"), F.lit("sky").alias("description"), F.lit("01d").alias("icon"))
+    two = F.struct(F.lit(701).alias("id"), F.lit("Mist").alias("main"), F.lit("mist").alias("description"), F.lit("50d").alias("icon"))
+    weather = F.when(kind == "view", F.array(one, two)).when(kind != "error", F.array(one))
+    seconds = epoch_seconds("ts")
+    now = F.struct(
+        seconds.alias("dt"), (seconds - 3600).alias("sunrise"), (seconds + 3600).alias("sunset"),
+        F.col("value").alias("temp"), weather.alias("weather"),
+    )
+    body = F.to_json(F.struct(F.lit(LOCAL).alias("timezone"), now.alias("current")))
+    rows = payloads.parse_weather_current(ev.select(body.alias("body")))
+    return rows.select("dt", "sunrise", "sunset", "temp", "id", "main", "description", "icon")
+
+
 @query
 def parse_sun_times(ev):
     times = F.struct(_stamp("sunrise").alias("sunrise"), _stamp("sunset").alias("sunset"))

@@ -601,6 +601,20 @@ QUERIES = {
         from events join norm n using (event_id) where event_type <> 'error' and event_id % 11 <> 0""",
     "parse_power_flow_rejects": """
         select event_id from events where event_type = 'error' or event_id % 11 = 0""",
+    "parse_reject_reasons": """
+        select event_id, case when event_type = 'error' then 'unreadable' else 'no P_Grid' end as reason
+        from events where event_type = 'error' or event_id % 11 = 0
+        union all
+        select -event_id - 1, case when hour(ts) % 3 = 0 then 'unreadable' else 'no rows' end
+        from events where hour(ts) % 3 <> 2""",
+    "parse_weather_current": """
+        select date_trunc('second', ts) + interval 1 hour as dt, date_trunc('second', ts) as sunrise,
+               date_trunc('second', ts) + interval 2 hour as sunset, round(value, 4) as temp,
+               w.id, w.main, w.description, w.icon
+        from (select *, unnest(case when event_type = 'error' then [] else
+                [{'id': 800, 'main': event_type, 'description': 'sky', 'icon': '01d'}]
+                || case when event_type = 'view' then [{'id': 701, 'main': 'Mist', 'description': 'mist', 'icon': '50d'}] else [] end end) as w
+              from events)""",
     "parse_plug_status": """
         select date_trunc('second', ts) as timestamp, (user_id % 3)::int as dev_id,
                'plug' || (user_id % 3) as device_id, round(amps, 4) as amps,

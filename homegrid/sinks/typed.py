@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,12 +23,27 @@ def _stored(field: T.StructField, strict: bool) -> Column:
     return col.cast(field.dataType) if strict else col.try_cast(field.dataType)
 
 
-def conform(df: DataFrame, table: str, on_overflow: str = "error") -> DataFrame:
+def _lost(df: DataFrame, table: str) -> dict[str, Column]:
+    """Per column whether a value is there that does not fit the table."""
+    return {
+        f.name: F.col(f.name).isNotNull() & _stored(f, False).isNull()
+        for f in table_schema(table).fields
+        if f.name in df.columns
+    }
+
+
+def conform(
+    df: DataFrame, table: str, on_overflow: str = "error", observed: Observation | str | None = None
+) -> DataFrame:
     """The columns of ``table``, in its order and types; decimals round half up.
 
     A value that does not fit raises (``"error"``) or becomes NULL (``"null"``). A column
-    which ``df`` lacks is NULL.
+    which ``df`` lacks is NULL. ``observed`` counts rows and lost values of each column in the
+    same pass.
     """
+    if observed is not None:
+        counts = [F.count_if(lost).alias(f"lost: {name}") for name, lost in _lost(df, table).items()]
+        df = df.observe(observed, F.count(F.lit(1)).alias("rows"), *counts)
     fields = table_schema(table).fields
     for field in fields:
         if field.name not in df.columns:
@@ -37,8 +54,4 @@ def conform(df: DataFrame, table: str, on_overflow: str = "error") -> DataFrame:
 
 def conform_rejects(df: DataFrame, table: str) -> DataFrame:
     """Rows with a value that does not fit the table."""
-    lost = F.lit(False)
-    for field in table_schema(table).fields:
-        if field.name in df.columns:
-            lost = lost | (F.col(field.name).isNotNull() & _stored(field, False).isNull())
-    return df.filter(lost)
+    return df.filter(reduce(lambda a, b: a | b, _lost(df, table).values(), F.lit(False)))

@@ -211,3 +211,107 @@ def test_a_corrupt_plug_text_is_a_reject_and_no_row(spark):
     df = spark.createDataFrame([("{oops",), ("{}",)], "body string")
     assert payloads.parse_plug_status(df).count() == 0
     assert payloads.plug_rejects(df).count() == 2
+
+
+# -- reasons, counts and files --------------------------------------------------------
+
+
+def some_flows(spark):
+    no_power, no_grid = power_flow(), power_flow()
+    del no_power["Body"]["Data"]["Inverters"]["1"]["P"], no_grid["Body"]["Data"]["Site"]["P_Grid"]
+    return bodies(spark, power_flow(), power_flow("2022-02-03T10:11:17+01:00"), "{oops", no_power, no_grid, power_flow(stamp="later"))
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rejects_have_a_reason(spark):
+    reasons = sorted(r.reason for r in payloads.rejects(some_flows(spark), "power_flow").collect())
+    assert reasons == ["no P", "no P_Grid", "no time", "unreadable"]
+    plugs = bodies(spark, PLUG, "{", {**PLUG, "dev_id": None}, {**PLUG, "received_at": None})
+    assert sorted(r.reason for r in payloads.rejects(plugs, "plug_status").collect()) == ["no device", "no time", "unreadable"]
+    prices = bodies(spark, price_body(1, [5.0]), price_body(1, [5.0], area="SE4"), price_body(1, []), "[")
+    assert sorted(r.reason for r in payloads.rejects(prices, "prices", area="DK2").collect()) == ["no rows", "no rows", "unreadable"]
+    for kind, good in (
+        ("solar_forecast", {"forecasts": [{"pv_estimate": 1.0}]}),
+        ("weather_hourly", {"hourly": [{"dt": 1}]}),
+        ("weather_daily", {"daily": [{"dt": 1}]}),
+        ("weather_current", {"current": {"dt": 1, "weather": [{"id": 1}]}}),
+        ("sun_times", {"results": {"sunrise": "2024-01-01T07:00:00+00:00"}}),
+    ):
+        df = bodies(spark, good, {}, "{cut")
+        assert sorted((r.body, r.reason) for r in payloads.rejects(df, kind).collect()) == [("{cut", "unreadable"), ("{}", "no rows")]
+
+
+def test_rejects_are_counted_in_the_pass_that_parses(spark, tmp_path):
+    """Counts equal a second pass, and the files are read once."""
+    from collections import Counter
+
+    from pyspark.sql import Observation
+
+    some_flows(spark).write.parquet(str(tmp_path / "flows"))
+    df = spark.read.parquet(str(tmp_path / "flows"))
+    seen = Observation("flows")
+    rows = payloads.parse_power_flow(df, observed=seen)
+    assert plan_of(rows).count("FileScan") == 1
+    accepted = len(rows.collect())
+    counts = {k: v for k, v in seen.get.items() if v}
+    again = Counter(r.reason for r in payloads.rejects(df, "power_flow").collect())
+    assert counts == {"payloads": 6, "accepted": accepted, **{f"rejected: {r}": n for r, n in again.items()}}
+
+    forecasts = bodies(spark, {"forecasts": [{"pv_estimate": 1.0}, {"pv_estimate": 2.0}]}, {"forecasts": []}, "{")
+    seen = Observation("forecasts")
+    assert len(payloads.parse_solar_forecast(forecasts, observed=seen).collect()) == 2
+    assert seen.get == {"payloads": 3, "accepted": 1, "rejected: unreadable": 1, "rejected: no rows": 1}
+
+
+def test_lost_values_are_counted_while_they_are_conformed(spark):
+    from pyspark.sql import Observation
+
+    from homegrid.sinks import typed
+
+    df = spark.sql("select * from values (timestamp'2024-01-01', 1.5D, 1e9D), (timestamp'2024-01-02', 1e9D, 2.0D) t(timestamp, price, rolling_sum)")
+    seen = Observation("prices")
+    typed.conform(df, "price_data", "null", seen).collect()
+    assert seen.get == {"rows": 2, "lost: timestamp": 0, "lost: price": 1, "lost: rolling_sum": 1}
+    assert typed.conform_rejects(df, "price_data").count() == 2
+
+
+def written(folder, name, payload, age):
+    import os
+
+    text = "// reading\n" + json.dumps(payload, indent=4).replace('"P": 421,', '"P": 421, // watts now') + "\n"
+    assert text.count("\n") > 20
+    (folder / name).write_text(text)
+    os.utime(folder / name, (1_700_000_000 - age, 1_700_000_000 - age))
+
+
+def test_payload_files_of_many_lines(spark, tmp_path):
+    written(tmp_path, "b.json", power_flow(pv=1.0), age=100)
+    written(tmp_path, "a.json", power_flow(pv=2.0), age=50)
+    written(tmp_path, "c.json", power_flow(pv=3.0), age=50)
+    files = payloads.payload_files(spark, str(tmp_path))
+    rows = payloads.parse_power_flow(files, keep=["arrival"]).orderBy("arrival").collect()
+    assert [r.p_solar for r in rows] == [1.0, 2.0, 3.0] and {r.p_total for r in rows} == {421}
+
+
+def test_stream_of_payload_files(spark, tmp_path):
+    """The first file of a time stays, whatever its name; rejects are counted by batch."""
+    from homegrid.streaming import ingest
+
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    written(landing, "z.json", power_flow(pv=1.0), age=100)
+    written(landing, "a.json", power_flow(pv=2.0), age=50)
+    (landing / "bad.json").write_text("{oops")
+    files = payloads.payload_files(spark, str(landing), stream=True)
+    query = ingest.stream_ingest(
+        files, lambda df: payloads.parse_power_flow(df, keep=["arrival"], observed="flows"),
+        str(tmp_path / "table"), str(tmp_path / "checkpoint"), arrival="arrival",
+    )
+    query.awaitTermination()
+    assert query.exception() is None
+    assert [r.p_solar for r in spark.read.parquet(str(tmp_path / "table")).collect()] == [1.0]
+    counts = [p.observedMetrics["flows"] for p in query.recentProgress if "flows" in p.observedMetrics]
+    assert sum(c.accepted for c in counts) == 2 and sum(c["rejected: unreadable"] for c in counts) == 1
