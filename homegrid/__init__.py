@@ -94,8 +94,10 @@ from homegrid.sources.payloads import (
     rejects,
 )
 from homegrid.sources.tables import (
+    date_bounds,
     date_spine,
     missing_dates,
+    newest_rows,
     read_production_log,
     read_table,
     recent_dates,

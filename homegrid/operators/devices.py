@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from homegrid.functions.clock import epoch_seconds, from_seconds
+from homegrid.operators.joins import spread_join
 
 MEAN_COLUMNS = ("amps", "watts", "volts")
 
@@ -39,7 +40,8 @@ def device_location(df: DataFrame) -> DataFrame:
 def label_devices(df: DataFrame, mapping: DataFrame | dict[int, str]) -> DataFrame:
     """Set the location of the devices in ``mapping``; others keep theirs.
 
-    A dict becomes a literal lookup. A table is joined; its size decides how.
+    A dict becomes a literal lookup. A table of one row per device is joined; its counted size
+    decides how, and a device with most of the readings is spread over many tasks either way.
     """
     if isinstance(mapping, dict):
         pairs = [F.lit(x) for x in chain.from_iterable(mapping.items())]
@@ -47,7 +49,7 @@ def label_devices(df: DataFrame, mapping: DataFrame | dict[int, str]) -> DataFra
         return df.withColumn("device_location", F.coalesce(label, "device_location"))
     labels = mapping.select("dev_id", F.col("device_location").alias("_label"))
     return (
-        df.join(labels, "dev_id", "left")
+        spread_join(df, labels, ["dev_id"])
         .withColumn("device_location", F.coalesce("_label", "device_location"))
         .select(*df.columns)
     )

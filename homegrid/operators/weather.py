@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from homegrid.functions.clock import UTC, local_date, local_wall, micros_of_day
+from homegrid.operators.joins import spread_join
 
 NO_WEATHER = "No weather data available for today."
 
@@ -13,16 +14,16 @@ NO_WEATHER = "No weather data available for today."
 def with_daylight(hourly: DataFrame, sun: DataFrame, tz: str = UTC) -> DataFrame:
     """Add ``during_day``: the clock time is within sunrise..sunset of the same local date.
 
-    A date without sun times counts as night.
+    A date without sun times counts as night. ``sun`` has one row per date.
     """
     times = sun.select(
         F.col("date").alias("_day"),
         micros_of_day("sunrise", tz).alias("_rise"),
         micros_of_day("sunset", tz).alias("_set"),
     )
+    clocked = hourly.withColumns({"_day": local_date("date", tz), "_clock": micros_of_day("date", tz)})
     return (
-        hourly.withColumns({"_day": local_date("date", tz), "_clock": micros_of_day("date", tz)})
-        .join(times, "_day", "left")
+        spread_join(clocked, times, ["_day"])
         .withColumn(
             "during_day",
             F.coalesce(F.col("_clock").between(F.col("_rise"), F.col("_set")), F.lit(False)),

@@ -807,6 +807,15 @@ def write_keyed_table(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@source_query
+def battery_newest_days(spark, sf_dir):
+    """The newest readings of a stored table, of which only the newest days are opened."""
+    rows = views.telemetry(views.events(spark, sf_dir)).withColumn("date", F.to_date("timestamp"))
+    path = f"{shared_dir(spark, 'telemetry')}/table"
+    keyed.write_new(rows, path, ["event_id"])
+    return tables.newest_rows(spark, path, 1000, columns=["event_id", "timestamp", "battery_state"])
+
+
 @source_query
 def write_new_table(spark, sf_dir):
     """The first event of each slot stays, whatever comes later."""

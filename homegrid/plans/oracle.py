@@ -529,6 +529,7 @@ QUERIES = {
         select event_id, user_id % 3 as dev_id, ts as timestamp,
                case when event_type = 'purchase' then -2 else round(value, 4) end as value, cast(ts as date) as date
         from events""",
+    "battery_newest_days": "select event_id, timestamp, battery_state from telemetry order by timestamp desc limit 1000",
     "write_new_table": f"""
         with slots_of as (select {SLOT} as timestamp, event_id, cast(ts as date) as date from events)
         select timestamp, coalesce(min(event_id) filter (where event_id % 2 = 0), min(event_id)) as event_id,

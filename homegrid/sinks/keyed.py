@@ -74,11 +74,18 @@ def _touched(table: DataFrame, batch: DataFrame, partition_col: str) -> DataFram
     return table.filter(hit)
 
 
-def _write(df: DataFrame, path: str, mode: str, partition_col: str, sort_by: Sequence[str]) -> None:
-    # rebalance splits a partition value with many rows over several tasks
+def _write(
+    df: DataFrame, path: str, mode: str, partition_col: str, sort_by: Sequence[str], layout: Sequence[str] | None = None
+) -> None:
+    """Either split of the rows gives a partition value with many rows to several tasks.
+
+    Ranges of ``layout`` give files whose ranges do not overlap, so that the statistics in
+    them rule out all but a few for one device and time; they read the rows twice.
+    """
+    order = [partition_col, *(layout or sort_by)]
+    dealt = df.repartitionByRange(*order) if layout else df.hint("rebalance", partition_col)
     (
-        df.hint("rebalance", partition_col)
-        .sortWithinPartitions(partition_col, *sort_by)
+        dealt.sortWithinPartitions(*order)
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_col)
@@ -101,7 +108,13 @@ def _drop(spark: SparkSession, path: str) -> None:
     fs.delete(folder, True)
 
 
-def finish_replace(spark: SparkSession, path: str, keys: Sequence[str], partition_col: str = "date") -> bool:
+def finish_replace(
+    spark: SparkSession,
+    path: str,
+    keys: Sequence[str],
+    partition_col: str = "date",
+    layout: Sequence[str] | None = None,
+) -> bool:
     """Put a complete staged version in place; True when there was one.
 
     A staged version that is not complete is of no use and is dropped: the table is as it
@@ -110,7 +123,7 @@ def finish_replace(spark: SparkSession, path: str, keys: Sequence[str], partitio
     staging = f"{path}/{STAGING}"
     complete = _exists(spark, f"{staging}/_SUCCESS")
     if complete:
-        _write(spark.read.parquet(staging), path, "overwrite", partition_col, keys)
+        _write(spark.read.parquet(staging), path, "overwrite", partition_col, keys, layout)
     _drop(spark, staging)
     return complete
 
@@ -121,6 +134,7 @@ def write_keyed(
     keys: Sequence[str],
     partition_col: str = "date",
     arrival: str | None = None,
+    layout: Sequence[str] | None = None,
 ) -> None:
     """Keyed replace in a table partitioned by a column that follows from the key.
 
@@ -131,9 +145,11 @@ def write_keyed(
     readers do not look, and goes from there over the old one. So no job reads the files
     that it replaces, and a driver that is lost between the two leaves the whole new
     version, which the next write puts in place. One writer per table at a time.
+
+    ``layout``, such as device and time, clusters the files of a partition value by ranges.
     """
     spark = df.sparkSession
-    finish_replace(spark, path, keys, partition_col)
+    finish_replace(spark, path, keys, partition_col, layout)
     table = stored(spark, path)
     rows = dedupe_last(df, keys, arrival).drop(arrival) if arrival else df
     rows.write.mode("overwrite").parquet(f"{path}/{BATCH}")
@@ -142,11 +158,11 @@ def write_keyed(
         _drop(spark, f"{path}/{BATCH}")
         raise ValueError("the batch has several rows of one key, and no arrival to choose by")
     if table is None:
-        _write(batch, path, "append", partition_col, keys)
+        _write(batch, path, "append", partition_col, keys, layout)
     else:
         merged = keyed_replace(_touched(table, batch, partition_col), batch.select(*table.columns), keys)
         merged.write.parquet(f"{path}/{STAGING}")
-        finish_replace(spark, path, keys, partition_col)
+        finish_replace(spark, path, keys, partition_col, layout)
     _drop(spark, f"{path}/{BATCH}")
 
 
@@ -156,12 +172,13 @@ def write_new(
     keys: Sequence[str],
     partition_col: str = "date",
     arrival: str | None = None,
+    layout: Sequence[str] | None = None,
 ) -> None:
     """Append the rows whose key is not stored yet; writing a batch again adds nothing."""
     table = stored(df.sparkSession, path)
     known = None if table is None else _touched(table, df, partition_col)
     rows = new_rows(known, df, keys, arrival)
-    _write(rows, path, "append", partition_col, keys)
+    _write(rows, path, "append", partition_col, keys, layout)
 
 
 def append_days(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from homegrid import schemas
@@ -41,6 +41,56 @@ def read_table(
     return df.orderBy(ts) if sort else df
 
 
+def partition_values(spark: SparkSession, path: str, partition_col: str = "date") -> list[str]:
+    """Values of the partitions that have files, in order, from the folder names: one per day."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    prefix = f"{partition_col}="
+    found = []
+    for status in fs.listStatus(folder):
+        name = status.getPath().getName()
+        if status.isDirectory() and name.startswith(prefix) and name != f"{prefix}__HIVE_DEFAULT_PARTITION__":
+            files = [f.getPath().getName() for f in fs.listStatus(status.getPath())]
+            if any(f.endswith(".parquet") and not f.startswith(("_", ".")) for f in files):
+                found.append(name.removeprefix(prefix))
+    return sorted(found)
+
+
+def date_bounds(spark: SparkSession, path: str, partition_col: str = "date") -> tuple[str, str] | None:
+    """Oldest and newest date of a table partitioned by date, without opening a file of it."""
+    values = partition_values(spark, path, partition_col)
+    return (values[0], values[-1]) if values else None
+
+
+def newest_rows(
+    spark: SparkSession,
+    path: str,
+    limit: int,
+    ts: str = "timestamp",
+    columns: Sequence[str] | None = None,
+    partition_col: str = "date",
+    where: Column | None = None,
+) -> DataFrame:
+    """The ``limit`` newest rows of a table partitioned by the UTC date of ``ts``, newest first.
+
+    Days are opened from the newest back, twice as many each time, until they have enough rows
+    (that hold ``where``); older days are never opened.
+    """
+    table = spark.read.parquet(path)
+    days = partition_values(spark, path, partition_col)
+    taken, rows = 0, table.limit(0)
+    while taken < len(days):
+        taken = min(max(1, 2 * taken), len(days))
+        rows = table.filter(F.col(partition_col).cast("string") >= days[-taken])
+        if where is not None:
+            rows = rows.filter(where)
+        if rows.select(ts).limit(limit).count() >= limit:
+            break
+    if columns:
+        rows = rows.select(*columns)
+    return rows.orderBy(F.desc(ts)).limit(limit)
+
+
 def new_log_days(log: DataFrame, as_of, after: DataFrame | None = None) -> DataFrame:
     """Log days before ``as_of`` and after the newest date of ``after``."""
     days = log.filter(F.col("date") <= F.date_sub(F.lit(as_of).cast("date"), 1))
