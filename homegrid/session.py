@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,11 +44,31 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/homegrid-{purpose}-{uuid.uuid4().hex}"
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the queries made and run inside go when each of them ends.
+
+    For queries that run once: a table that is stored and read back, or a result that is
+    taken to the driver. Otherwise the files stay until the driver's memory is cleaned up.
+    """
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
 def stored_copy(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written to the shared folder and read back, for plans which use it often.
 
-    It cuts the lineage, and unlike a cache it outlives the executors that wrote it.
+    It cuts the lineage, and unlike a cache it outlives the executors that wrote it. Its shuffle
+    files go as soon as it is written.
     """
     path = shared_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
+    with shuffles_dropped(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
