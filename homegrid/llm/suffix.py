@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from homegrid.llm.arrow import CHUNK, _BASE, _BYTES, _INVERSE, _power, chunks, column_of, mix, text_bytes
-from homegrid.session import stored_copy
+from homegrid.session import shuffles_dropped, stored_copy
 
 GRAM = 24
 #: Bits of the tables of repeated anchors and of the surroundings that need a closer look.
@@ -35,6 +35,8 @@ BITS = 1 << 27
 #: Texts are read in pieces of so many bytes, which overlap by one string.
 PIECE = 1 << 20
 PLACE = 26
+#: A place and a length below this are packed into one long.
+SPREAD = 1 << 20
 
 
 class Sums:
@@ -91,15 +93,20 @@ def pieces(batches: Iterator[pa.RecordBatch], length: int, *more: str) -> Iterat
 
 def bit_table(values: DataFrame) -> np.ndarray:
     """The fixed-size bit table of the longs in the column ``value``."""
-    words = (
-        values.select(F.shiftright(F.col("value").bitwiseAND(F.lit(BITS - 1)), 6).cast("int").alias("word"), F.expr("shiftleft(1L, cast(value & 63 as int))").alias("bit"))
-        .groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
-    )
+    with shuffles_dropped(values.sparkSession):
+        words = _words(values).toArrow()
     table = np.zeros(BITS // 64, np.int64)
     table[words.column("word").to_numpy()] = words.column("bits").to_numpy()
     return table.view(np.uint64)
 
 
+def _words(values: DataFrame) -> DataFrame:
+    return (
+        values.select(F.shiftright(F.col("value").bitwiseAND(F.lit(BITS - 1)), 6).cast("int").alias("word"), F.expr("shiftleft(1L, cast(value & 63 as int))").alias("bit"))
+        .groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    )
+
+
 def has(table: np.ndarray, values: np.ndarray) -> np.ndarray:
     spot = values & np.uint64(BITS - 1)
     return (table[(spot >> np.uint64(6)).astype(np.int64)] >> (spot & np.uint64(63))) & np.uint64(1) == 1
@@ -120,8 +127,8 @@ def repeated_spans(docs: DataFrame, length: int = 50) -> DataFrame:
     Spans may overlap and touch. Rows without an id or with less text than ``length`` give none.
     ``version`` is 0 for an id with one text, else it tells which of its texts has the span.
     """
-    if length < GRAM + 1:
-        raise ValueError(f"strings of {GRAM + 1} bytes or more")
+    if not GRAM < length <= SPREAD // 4:
+        raise ValueError(f"strings of {GRAM + 1} to {SPREAD // 4} bytes")
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", version_of("text").alias("version")).where("doc_id is not null and text is not null")
     differ = texts.groupBy("doc_id").agg(F.min("version").alias("a"), F.max("version").alias("b")).where("a <> b")
@@ -144,10 +151,10 @@ def repeated_spans(docs: DataFrame, length: int = 50) -> DataFrame:
             sums, found = anchors(data, at, length)
             use = has(table, found["gram"])
             row, place, lo, hi = (found[k][use] for k in ("row", "place", "lo", "hi"))
-            around = sums.rank(lo, hi + length) + mix(((hi - lo) * 64 + (place - lo)).astype(np.uint64))
+            around = sums.rank(lo, hi + length) + mix(((hi - lo) * SPREAD + (place - lo)).astype(np.uint64))
             start = lo - at[row] + offset[row]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(found["gram"][use].view(np.int64)), pa.array(around.view(np.int64)), pa.array(ids[row]), pa.array(told_apart(ids[row], version[row])), pa.array(start * 64 + (hi - lo))],
+                [pa.array(found["gram"][use].view(np.int64)), pa.array(around.view(np.int64)), pa.array(ids[row]), pa.array(told_apart(ids[row], version[row])), pa.array(start * SPREAD + (hi - lo))],
                 ["gram", "around", "doc_id", "version", "spot"],
             )
 
@@ -160,8 +167,8 @@ def repeated_spans(docs: DataFrame, length: int = 50) -> DataFrame:
         .where("doc_id > least or not one").select("doc_id", "version", "spot", (F.col("doc_id") > F.col("least")).alias("whole"))
     )
     told = stored_copy(told, "anchors")
-    start = F.floor(F.col("spot") / 64)
-    whole = told.where("whole").select("doc_id", "version", start.alias("start"), (start + F.col("spot") % 64 + length).alias("end"))
+    start = F.shiftright("spot", 20)
+    whole = told.where("whole").select("doc_id", "version", start.alias("start"), (start + F.col("spot") % SPREAD + length).alias("end"))
 
     def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -204,7 +211,7 @@ def merged(spans: np.ndarray) -> np.ndarray:
 
 
 def _with_spans(docs: DataFrame, length: int) -> DataFrame:
-    packed = repeated_spans(docs, length).select("doc_id", "version", (F.col("start") * 4096 + F.col("end") - F.col("start")).alias("span"))
+    packed = repeated_spans(docs, length).select("doc_id", "version", (F.col("start") * SPREAD + F.col("end") - F.col("start")).alias("span"))
     spans = packed.groupBy("doc_id", "version").agg(F.collect_list("span").alias("_spans")).withColumnsRenamed({"doc_id": "_id", "version": "_version"})
     mine = (docs["doc_id"].cast("long") == spans["_id"]) & ((spans["_version"] == 0) | (spans["_version"] == version_of("text")))
     return docs.join(spans, mine, "left").drop("_id", "_version")
@@ -214,8 +221,8 @@ def _cut(text: np.ndarray, packed: np.ndarray | None) -> tuple[np.ndarray, np.nd
     """The bytes that stay, and the runs that go."""
     if packed is None or not len(packed):
         return text, np.zeros((0, 2), np.int64)
-    start = packed // 4096
-    runs = merged(np.stack([start, start + packed % 4096], 1))
+    start = packed // SPREAD
+    runs = merged(np.stack([start, start + packed % SPREAD], 1))
     stay = np.ones(len(text) + 1, np.int8)
     delta = np.zeros(len(text) + 1, np.int8)
     delta[runs[:, 0]] += 1

@@ -242,6 +242,19 @@ def test_repeats_against_brute_force(spark, documents, small):
     assert got == brute_repeats(some, 50)
 
 
+@pytest.mark.parametrize("length", [25, 87, 88, 100, 200, 1500])
+def test_repeats_of_other_lengths(spark, documents, length):
+    rng = random.Random(length)
+    parts = ["".join(rng.choice("abcdefgh é") for _ in range(rng.randrange(length // 3, 4 * length))) for _ in range(6)]
+    rows = [(i, "".join([rng.choice(parts), "".join(rng.choice("xyz") for _ in range(rng.randrange(30))), rng.choice(parts)])) for i in range(20)]
+    rows += [(20, "w" * 3 * length), (21, "w" * 2 * length), (22, parts[0][: length - 1])]
+    got = {r.doc_id: tuple(r) for r in suffix.span_digests(documents(rows), length).collect()}
+    assert got == brute_repeats(rows, length)
+    for wrong in (24, 1 << 19):
+        with pytest.raises(ValueError):
+            suffix.repeated_spans(documents(rows), wrong)
+
+
 def test_long_texts_are_read_in_pieces(spark, documents, monkeypatch):
     rng = random.Random(6)
     text = "".join(rng.choice("abcdefgh ") for _ in range(9000))
