@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from homegrid.functions.clock import span_seconds
@@ -19,14 +19,18 @@ def _level() -> Column:
     return F.when(F.col("battery_state_norm").isNotNull(), level)
 
 
-def battery_latest(df: DataFrame, limit: int = BATTERY_ROWS) -> DataFrame:
+def _top(df: DataFrame, order: Column, limit: int, keys: Sequence[str]) -> DataFrame:
+    """The first ``limit`` rows in order, of the table or of each key."""
+    if not keys:
+        return df.orderBy(order).limit(limit)
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
+    return df.withColumn("_rank", rank).filter(F.col("_rank") <= limit).drop("_rank")
+
+
+def battery_latest(df: DataFrame, limit: int = BATTERY_ROWS, keys: Sequence[str] = ()) -> DataFrame:
     """The newest readings of the normalised battery state, clipped to 0..100."""
-    return (
-        df.select("timestamp", "battery_state_norm")
-        .orderBy(F.desc("timestamp"))
-        .limit(limit)
-        .withColumn("battery_state_norm", _level())
-    )
+    rows = df.select(*keys, "timestamp", "battery_state_norm")
+    return _top(rows, F.desc("timestamp"), limit, keys).withColumn("battery_state_norm", _level())
 
 
 def battery_gauge(
@@ -52,20 +56,16 @@ def battery_gauge(
 
 
 def forecast_view(
-    df: DataFrame, base, days: int = FORECAST_DAYS, limit: int = FORECAST_ROWS
+    df: DataFrame, base, days: int = FORECAST_DAYS, limit: int = FORECAST_ROWS, keys: Sequence[str] = ()
 ) -> DataFrame:
     """Forecast rows of ``[base, base + days)`` in time order."""
     kind = df.schema["timestamp"].dataType
     start = F.lit(base).cast("date")
-    return (
-        df.filter(
-            (F.col("timestamp") >= start.cast(kind))
-            & (F.col("timestamp") < F.date_add(start, days).cast(kind))
-        )
-        .select("timestamp", "pv_estimate", "pv_estimate10", "pv_estimate90")
-        .orderBy("timestamp")
-        .limit(limit)
-    )
+    rows = df.filter(
+        (F.col("timestamp") >= start.cast(kind))
+        & (F.col("timestamp") < F.date_add(start, days).cast(kind))
+    ).select(*keys, "timestamp", "pv_estimate", "pv_estimate10", "pv_estimate90")
+    return _top(rows, F.asc("timestamp"), limit, keys)
 
 
 def forecast_series(view: DataFrame) -> DataFrame:

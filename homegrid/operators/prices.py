@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -48,20 +49,24 @@ def price_view(
     limit: int | None = PRICE_LIMIT,
     as_of=None,
     tz: str | None = None,
+    keys: Sequence[str] = (),
 ) -> DataFrame:
     """The first ``limit`` prices from ``base``, or all of them, with tariff and local time.
 
     ``row_index`` counts these rows before ``as_of`` drops those over an hour old. Without a limit
-    the rows are counted by day.
+    the rows are counted by day. With ``keys``, such as the price area, each has its own.
     """
     kind = prices.schema["timestamp"].dataType
     later = prices.filter(F.col("timestamp") >= F.lit(base).cast(kind))
+    order = Window.partitionBy(*keys).orderBy("timestamp")
     if limit is None:
-        days = in_buckets(later, epoch_seconds("timestamp"), [])
-        top = with_row_numbers(days, ["timestamp"], [], "row_index").drop(BUCKET)
+        days = in_buckets(later, epoch_seconds("timestamp"), keys)
+        top = with_row_numbers(days, ["timestamp"], keys, "row_index").drop(BUCKET)
+    elif keys:
+        top = later.withColumn("row_index", F.row_number().over(order) - 1).filter(F.col("row_index") < limit)
     else:
         top = later.orderBy("timestamp").limit(limit)
-        top = top.withColumn("row_index", F.row_number().over(Window.orderBy("timestamp")) - 1)
+        top = top.withColumn("row_index", F.row_number().over(order) - 1)
     view = with_tariff(top, tz)
     if as_of is not None:
         oldest = F.lit(as_of).cast(kind) - F.expr("interval 1 hour")
@@ -70,16 +75,16 @@ def price_view(
     return view.withColumn("timestamp", wall).withColumn("hour", F.hour("timestamp"))
 
 
-def price_span(view: DataFrame) -> DataFrame:
+def price_span(view: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Axis label ``"d"`` or ``"d1 to d2"`` and the currency of the first row."""
     first, last = F.to_date(F.min("timestamp")), F.to_date(F.max("timestamp"))
     label = F.when(first == last, first.cast("string")).otherwise(
         F.concat(first.cast("string"), F.lit(" to "), last.cast("string"))
     )
-    return view.agg(label.alias("label"), F.min_by("currency", "timestamp").alias("currency"))
+    return view.groupBy(*keys).agg(label.alias("label"), F.min_by("currency", "timestamp").alias("currency"))
 
 
-def first_midnight(view: DataFrame) -> DataFrame:
+def first_midnight(view: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """First row at hour 0 other than the very first row of the view."""
     at_midnight = (F.col("hour") == 0) & (F.col("row_index") != 0)
-    return view.agg(F.min(F.when(at_midnight, F.col("timestamp"))).alias("midnight"))
+    return view.groupBy(*keys).agg(F.min(F.when(at_midnight, F.col("timestamp"))).alias("midnight"))

@@ -114,7 +114,7 @@ def rows_before(end: Column, buckets: WindowSpec) -> Column:
     return F.coalesce(F.sum(end["_inside"] + 1).over(earlier), F.lit(0))
 
 
-def later_rows(df: DataFrame, offset: int, keys: Sequence[str], **columns: str) -> DataFrame:
+def later_rows(df: DataFrame, offset: int | Column, keys: Sequence[str], **columns: str) -> DataFrame:
     """Add ``name=column`` of the row ``offset`` rows on.
 
     Each row is sent to its own number and, with the wanted columns only, to that of the row it
@@ -391,7 +391,7 @@ def rolling_time_sum(
     ts: str,
     value: str,
     window: str | timedelta,
-    n: int,
+    n: int | str,
     divisor: float = 4,
     keys: Sequence[str] = (),
     alias: str = "rolling_sum",
@@ -401,7 +401,8 @@ def rolling_time_sum(
     """Sum over the trailing ``(t - window, t]`` of the row ``n - 1`` rows ahead.
 
     The sum is NULL where the window has no value; NULL, NaN and ±inf are missing values. Rows
-    of one time count in the order of ``arrival``: none sees a later one.
+    of one time count in the order of ``arrival``: none sees a later one. ``n`` may name a column, with
+    one number for all rows of a key.
 
     Buckets are equal parts of the window, at most ``bucket`` long, so a window begins a fixed
     number of buckets before its row. Its sum has three parts: the row's bucket up to the row, whole
@@ -451,7 +452,10 @@ def rolling_time_sum(
     pieces = [F.col("_head"), F.col("_between"), F.col("_tail")]
     total = sum((F.coalesce(p, F.lit(0.0)) for p in pieces[1:]), F.coalesce(pieces[0], F.lit(0.0)))
     rolled = rolled.withColumn("_sum", F.when(F.coalesce(*pieces).isNotNull(), total / divisor))
-    lead = later_rows(rolled, n - 1, keys, **{alias: "_sum"}) if n > 1 else rolled.withColumn(alias, F.col("_sum"))
+    if n == 1:
+        lead = rolled.withColumn(alias, F.col("_sum"))
+    else:
+        lead = later_rows(rolled, (F.col(n) if isinstance(n, str) else n) - 1, keys, **{alias: "_sum"})
     return lead.select(*df.columns, alias)
 
 

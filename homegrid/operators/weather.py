@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,19 +13,23 @@ from homegrid.operators.joins import spread_join
 NO_WEATHER = "No weather data available for today."
 
 
-def with_daylight(hourly: DataFrame, sun: DataFrame, tz: str = UTC) -> DataFrame:
+def with_daylight(
+    hourly: DataFrame, sun: DataFrame, tz: str = UTC, keys: Sequence[str] = ()
+) -> DataFrame:
     """Add ``during_day``: the clock time is within sunrise..sunset of the same local date.
 
-    A date without sun times counts as night. ``sun`` has one row per date.
+    A date without sun times counts as night. ``sun`` has one row per date, or per
+    date and place with ``keys``.
     """
     times = sun.select(
+        *keys,
         F.col("date").alias("_day"),
         micros_of_day("sunrise", tz).alias("_rise"),
         micros_of_day("sunset", tz).alias("_set"),
     )
     clocked = hourly.withColumns({"_day": local_date("date", tz), "_clock": micros_of_day("date", tz)})
     return (
-        spread_join(clocked, times, ["_day"])
+        spread_join(clocked, times, [*keys, "_day"])
         .withColumn(
             "during_day",
             F.coalesce(F.col("_clock").between(F.col("_rise"), F.col("_set")), F.lit(False)),

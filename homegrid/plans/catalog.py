@@ -338,6 +338,35 @@ def price_job_two_fetches(ev):
     return jobs.day_ahead_prices(_price_fetch(today), _price_fetch(tomorrow))
 
 
+def _areas(ev: DataFrame) -> DataFrame:
+    """Prices of three areas, each of the events of its users."""
+    area = (F.col("user_id") % 3).cast("int").alias("area")
+    slot = F.window("ts", SLOT).start.cast("timestamp_ntz").alias("timestamp")
+    last = F.max_by("value", F.struct("ts", "event_id"))
+    return ev.groupBy(area, slot).agg((last * 10).alias("price"))
+
+
+@query
+def price_job_by_area(ev):
+    """The price job of three areas at once, each with its own step."""
+    rows = _areas(ev).withColumns({"currency": F.lit("DKK"), "position": F.lit(0)})
+    return jobs.day_ahead_prices(rows, keys=["area"])
+
+
+@query
+def price_span_by_area(ev):
+    """Label and midnight of each area, over all its rows."""
+    rows = _areas(ev).withColumns({"price": F.col("price") / 1000, "currency": F.lit("DKK")})
+    view = prices.price_view(rows, "2024-01-10", None, "2024-01-10 20:10:00", LOCAL, ["area"])
+    return prices.price_span(view, ["area"]).join(prices.first_midnight(view, ["area"]), "area")
+
+
+@query
+def battery_latest_by_site(ev):
+    rows = _sites(ev).withColumn("battery_state_norm", normalize_soc("battery_state"))
+    return dashboard.battery_latest(rows, 50, ["site_id"])
+
+
 @query
 def price_tariff(ev):
     return prices.with_tariff(_kwh_prices(ev), LOCAL)

@@ -445,6 +445,31 @@ QUERIES = {
                     then a.timestamp - interval 1 hour else a.timestamp end as timestamp,
                round(a.price, 4) as price, round(s.s, 4) as rolling_sum, 'DKK' as currency
         from numbered a left join sums s on s.i = a.i + (select n from rows_in) - 1""",
+    "price_job_by_area": f"""
+        with rows_of as (
+          select cast(user_id % 3 as int) as area, {SLOT} as timestamp, max_by(value, (ts, event_id)) * 10 as price from events group by 1, 2),
+        counts as (
+          select area, floor(10800000000 / median(step))::bigint as n
+          from (select area, epoch_us(timestamp) - lag(epoch_us(timestamp)) over (partition by area order by timestamp) as step from rows_of) group by 1),
+        summed as (
+          select *, row_number() over (partition by area order by timestamp) as i,
+                 sum(price) over (partition by area order by timestamp range between
+                   interval '10799.999999 seconds' preceding and current row) / 4 as s
+          from rows_of)
+        select a.area, a.timestamp, round(a.price, 4) as price, 'DKK' as currency, round(b.s, 4) as rolling_sum
+        from summed a join counts c on a.area = c.area left join summed b on b.area = a.area and b.i = a.i + c.n - 1""",
+    "price_span_by_area": f"""
+        select area, case when cast(min(t) as date) = cast(max(t) as date) then cast(min(t) as date)::varchar
+                          else cast(min(t) as date)::varchar || ' to ' || cast(max(t) as date)::varchar end as label,
+               'DKK' as currency, min(t) filter (hour(t) = 0 and i > 1) as midnight
+        from (select area, s + interval 1 hour as t, s, row_number() over (partition by area order by s) as i
+              from (select distinct cast(user_id % 3 as int) as area, {SLOT} as s from events) where s >= date '2024-01-10')
+        where s > timestamp '2024-01-10 19:10:00' group by 1""",
+    "battery_latest_by_site": """
+        select user_id % 5 as site_id, timestamp, battery_state_norm
+        from (select event_id, timestamp, case when a < 1 then 0 when a > 99 then 100 else a end as battery_state_norm from norm)
+        join events using (event_id)
+        qualify row_number() over (partition by user_id % 5 order by timestamp desc) <= 50""",
     "price_tariff": f"""
         select timestamp, round(price, 4) as price, {tariff(LOCAL)} as "offset",
                round(price + {tariff(LOCAL)}, 4) as price_with_tariff,

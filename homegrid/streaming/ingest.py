@@ -73,28 +73,28 @@ def stream_dedupe(
 
 
 def stream_day_summary(
-    stream: DataFrame, delay: str = "1 day", thresholds: Sequence[float] = THRESHOLDS
+    stream: DataFrame, delay: str = "1 day", thresholds: Sequence[float] = THRESHOLDS, keys: Sequence[str] = ()
 ) -> DataFrame:
-    """The diary of each UTC day as the readings come in.
+    """The diary of each UTC day, and of each key such as a site, as the readings come in.
 
     In update mode a day is emitted again when it changes; in append mode once, when the
     watermark has passed it.
     """
     return (
         stream.withWatermark("timestamp", delay)
-        .groupBy(F.window("timestamp", "1 day"))
+        .groupBy(*keys, F.window("timestamp", "1 day"))
         .agg(*diary_aggregates(stream, thresholds))
         .withColumn("date", F.to_date("window.start"))
         .drop("window")
     )
 
 
-def start_day_summary(days: DataFrame, sink: str, checkpoint: str) -> StreamingQuery:
+def start_day_summary(days: DataFrame, sink: str, checkpoint: str, keys: Sequence[str] = ()) -> StreamingQuery:
     """Keep the table of days, partitioned by month, up to date with the changed ones."""
 
     def store(batch: DataFrame, _: int) -> None:
         by_month = batch.withColumn("month", F.date_format("date", "yyyy-MM"))
-        _once(by_month, lambda df: write_keyed(df, sink, ["date"], "month"))
+        _once(by_month, lambda df: write_keyed(df, sink, [*keys, "date"], "month"))
 
     return (
         days.writeStream.outputMode("update")
