@@ -174,11 +174,17 @@ def write_new(
     arrival: str | None = None,
     layout: Sequence[str] | None = None,
 ) -> None:
-    """Append the rows whose key is not stored yet; writing a batch again adds nothing."""
-    table = stored(df.sparkSession, path)
-    known = None if table is None else _touched(table, df, partition_col)
-    rows = new_rows(known, df, keys, arrival)
-    _write(rows, path, "append", partition_col, keys, layout)
+    """Append the rows whose key is not stored yet; writing a batch again adds nothing.
+
+    The batch is computed once, into the table's folder, as in :func:`write_keyed`.
+    """
+    spark = df.sparkSession
+    table = stored(spark, path)
+    df.write.mode("overwrite").parquet(f"{path}/{BATCH}")
+    batch = spark.read.schema(df.schema).parquet(f"{path}/{BATCH}")
+    known = None if table is None else _touched(table, batch, partition_col)
+    _write(new_rows(known, batch, keys, arrival), path, "append", partition_col, keys, layout)
+    _drop(spark, f"{path}/{BATCH}")
 
 
 def append_days(

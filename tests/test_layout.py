@@ -102,3 +102,21 @@ def test_a_large_mapping_spreads_one_device(spark, monkeypatch, most):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_a_batch_is_computed_once(spark, tmp_path):
+    """Every row of a batch is made once, however often the write needs it."""
+    made = spark.sparkContext.accumulator(0)
+
+    def count(row):
+        made.add(1)
+        return row
+
+    rows = readings(spark, days=2, a_day=50)
+    batch = spark.createDataFrame(rows.rdd.map(count), rows.schema)
+    for _ in range(2):
+        before = made.value
+        keyed.write_new(batch, str(tmp_path / "t"), ["timestamp", "dev_id"])
+        assert made.value - before == 100
+    table = spark.read.parquet(str(tmp_path / "t"))
+    assert table.count() == 100 and not (tmp_path / "t" / "_batch").exists()
