@@ -71,4 +71,14 @@ def stored_copy(df: DataFrame, purpose: str) -> DataFrame:
     path = shared_dir(df.sparkSession, purpose)
     with shuffles_dropped(df.sparkSession):
         df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    copy = df.sparkSession.read.parquet(path)
+    copy.stored_at = path
+    return copy
+
+
+def drop_stored(*copies: DataFrame) -> None:
+    """Deletes stored copies that no later plan reads; a result that still reads one would fail."""
+    for copy in copies:
+        spark = copy.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(copy.stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
