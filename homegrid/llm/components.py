@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from homegrid.session import stored_copy
+from homegrid.session import drop_stored, stored_copy
 
 
 def components(links: DataFrame, purpose: str = "components") -> DataFrame:
@@ -17,7 +17,7 @@ def components(links: DataFrame, purpose: str = "components") -> DataFrame:
     """
     both = links.select("u", "v").unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     edges = stored_copy(both.where("u is not null and v is not null").distinct(), f"{purpose}-links")
-    labels = stored_copy(edges.groupBy(F.col("u").alias("node")).agg(F.least("node", F.min("v")).alias("root")), purpose)
+    labels = stored = stored_copy(edges.groupBy(F.col("u").alias("node")).agg(F.least("node", F.min("v")).alias("root")), purpose)
     while True:
         near = (
             edges.join(labels.select(F.col("node").alias("v"), "root"), "v")
@@ -30,6 +30,8 @@ def components(links: DataFrame, purpose: str = "components") -> DataFrame:
             least.join(jump, "root", "left").select("node", "old", F.least("root", F.coalesce("far", "root")).alias("root")),
             purpose,
         )
-        labels = after.select("node", "root")
+        drop_stored(stored)
+        labels, stored = after.select("node", "root"), after
         if after.where("old <> root").isEmpty():
+            drop_stored(edges)
             return labels

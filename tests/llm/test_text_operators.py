@@ -123,7 +123,7 @@ def near_copies(seed, n=150):
 
 @pytest.mark.parametrize("percent, width", [(90, 3), (80, 5)])
 def test_join_finds_every_link(spark, documents, percent, width, monkeypatch):
-    monkeypatch.setattr(jaccard, "RATES", (8, 1))
+    monkeypatch.setattr(jaccard, "RATES", (8, 3, 1))
     monkeypatch.setattr(jaccard, "OWNERS", 4)
     monkeypatch.setattr(jaccard, "MEMBERS", 7)
     rows = near_copies(percent)
