@@ -44,6 +44,7 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/homegrid-{purpose}-{uuid.uuid4().hex}"
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -62,6 +63,23 @@ def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(CLEANUP, before)
 
 
+@contextmanager
+def batches_of(spark: SparkSession, most: int) -> Iterator[None]:
+    """Arrow batches of the queries run inside hold ``most`` bytes or one row, for rows that are long.
+
+    A batch lies in the memory of the executor and of its Python worker, however many rows it has.
+    """
+    before = spark.conf.get(BATCH_BYTES, None)
+    spark.conf.set(BATCH_BYTES, str(most))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(BATCH_BYTES)
+        else:
+            spark.conf.set(BATCH_BYTES, before)
+
+
 def stored_copy(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written to the shared folder and read back, for plans which use it often.
 

@@ -146,6 +146,30 @@ def test_join_of_an_empty_table(spark, documents):
     assert jaccard.jaccard_join(documents([])).count() == 0
 
 
+def test_whole_sets_are_stored_once_and_not_shuffled(spark, documents, monkeypatch):
+    seen, size, store = [], "spark.sql.execution.arrow.maxBytesPerBatch", jaccard.stored_copy
+
+    def stored(df, purpose):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        seen.append(("hashes" in df.columns, "hashpartitioning" in plan, spark.conf.get(size, None)))
+        return store(df, purpose)
+
+    monkeypatch.setattr(jaccard, "stored_copy", stored)
+    rows = near_copies(5, 40)
+    got = {r.doc_id: tuple(r) for r in jaccard.jaccard_join(documents([*rows, *rows])).collect()}
+    assert got == brute_links(rows, 90, 3)
+    assert [dealt for whole, dealt, _ in seen if whole] == [False]
+    assert {int(most) for *_, most in seen} == {jaccard.BATCH} and spark.conf.get(size, None) is None
+
+
+def test_postings_of_pivots_only(spark):
+    rest = spark.createDataFrame([(1, 10, [5, 6, 7, 8]), (2, 4, [6, 9])], "node long, n long, first array<long>")
+    table = jaccard._bits(spark.createDataFrame([(6,), (8,)], "h long"), 1 << 16)
+    got = sorted(map(tuple, jaccard._postings(rest, 70, table).collect()))
+    assert got == [(1, 10, 1, 6), (1, 10, 3, 8), (2, 4, 0, 6)]
+    assert [tuple(r) for r in jaccard._postings(rest, 90, table).collect() if r.node == 1] == [(1, 10, 1, 6)]
+
+
 def test_shared_bits_put_shared_shingles_last():
     data = np.frombuffer(b"a b c d e", np.uint8)
     (s,) = jaccard.shingle_sets(data, np.array([0, len(data)]))
