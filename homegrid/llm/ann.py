@@ -6,7 +6,9 @@ searched through a graph of their neighbours that every task holds in memory; a
 all lists whose centroid is not farther than the nearest one by more than a ratio. That ratio is
 measured on the data at hand: some queries are scored against all vectors, and it is the least
 one with which the search finds RECALL of their neighbours. Lists are joined with the queries
-that visit them, block by block, and the best of all blocks are ranked.
+that visit them, block by block, first the few nearest lists of each query. Of the others only
+candidates no worse than the last of the best found so far are given back, so that their number
+follows the queries, not the lists visited. The best of all blocks are ranked.
 
 The largest inner product is the least distance once each vector has one more component that
 gives all the same length; centroids and boundaries use that distance, scores the original
@@ -114,7 +116,10 @@ class Graph:
         return np.maximum(0, (x**2).sum(1)[:, None] + (self.centers**2).sum(1) - 2 * x @ self.centers.T)
 
     def visits(self, x: np.ndarray, ratio: float) -> tuple[np.ndarray, np.ndarray]:
-        """(row, centroid) of all whose squared distance is within ``ratio`` of the nearest one's, and of the first few.
+        return self.ranked_visits(x, ratio)[:2]
+
+    def ranked_visits(self, x: np.ndarray, ratio: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, centroid, rank from 0) of all whose squared distance is within ``ratio`` of the nearest one's, and of the first few.
 
         Where a beam ends before the ratio does, it is made four times as wide, up to all centroids.
         """
@@ -131,9 +136,9 @@ class Graph:
             n = real.sum(1)
             more = (use.sum(1) == n) & (n < k)
             row, j = np.nonzero(use & ~more[:, None])
-            found.append((rows[row], ids[row, j]))
+            found.append((rows[row], ids[row, j], j))
             rows, beam = rows[more], 4 * beam
-        return np.concatenate([r for r, _ in found]), np.concatenate([c for _, c in found])
+        return tuple(np.concatenate(column) for column in zip(*found, strict=True))
 
 
 def fit_ratio(graph: Graph, x: np.ndarray, query: np.ndarray, vector: np.ndarray, lists: np.ndarray) -> float:
@@ -218,6 +223,13 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
 
 
+def best_of(found: DataFrame, top: int) -> DataFrame:
+    """(query_id, rank, vec_id, score): the ``top`` best of each query's candidates, each counted once."""
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    ranked = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
 def nearest(rows: DataFrame, every: int = 20, top: int = 20) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``top`` largest inner products found for each query.
 
@@ -270,14 +282,21 @@ def nearest(rows: DataFrame, every: int = 20, top: int = 20) -> DataFrame:
                 take = pa.array(row)
                 yield pa.RecordBatch.from_arrays([pa.array(to.astype(np.int64)), column_of(part_, "vec_id").take(take), column_of(part_, "v").take(take)], ["list", "vec_id", "v"])
 
-    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        graph = sent.value
-        for batch in batches:
-            for a in range(0, batch.num_rows, 500):
-                part_ = batch.slice(a, 500)
-                row, to = graph.visits(lifted(_matrix(column_of(part_, "v")), True), ratio)
-                take = pa.array(row)
-                yield pa.RecordBatch.from_arrays([pa.array(to.astype(np.int64)), column_of(part_, "vec_id").take(take), column_of(part_, "v").take(take)], ["list", "query_id", "q"])
+    def visit(first: bool):
+        """The queries at the few lists nearest to them, or at the others."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            graph = sent.value
+            for batch in batches:
+                for a in range(0, batch.num_rows, 500):
+                    part_ = batch.slice(a, 500)
+                    row, to, rank = graph.ranked_visits(lifted(_matrix(column_of(part_, "v")), True), ratio)
+                    use = (rank < VISITED_LEAST) == first
+                    take = pa.array(row[use])
+                    columns = [column_of(part_, c).take(take) for c in ("vec_id", "v", "floor")]
+                    yield pa.RecordBatch.from_arrays([pa.array(to[use].astype(np.int64)), *columns], ["list", "query_id", "q", "floor"])
+
+        return run
 
     lists = stored_copy(kept.mapInArrow(deal, "list long, vec_id long, v array<double>"), "lists")
     queries = data.where(F.pmod("vec_id", F.lit(every)) == 0)
@@ -293,9 +312,7 @@ def nearest(rows: DataFrame, every: int = 20, top: int = 20) -> DataFrame:
     # CENTROIDS rows at most
     dealt = lists.join(F.broadcast(blocks), "list").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
     dealt = dealt.select("list", "block", "vec_id", "v")
-    asked = queries.mapInArrow(visit, "list long, query_id long, q array<double>")
     spread = blocks.select("list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("part"))
-    asked = asked.join(spread, "list").select("list", "part", "query_id", "q")
 
     def score(vectors: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if not len(vectors) or not len(queries):
@@ -305,7 +322,7 @@ def nearest(rows: DataFrame, every: int = 20, top: int = 20) -> DataFrame:
         parts = []
         for a in range(0, len(queries), 512):
             some = queries.iloc[a : a + 512]
-            q, q_ids = np.stack(some.q.to_numpy()), some.query_id.to_numpy()
+            q, q_ids, floor = np.stack(some.q.to_numpy()), some.query_id.to_numpy(), some.floor.to_numpy()
             rough = q @ v.T
             rough[q_ids[:, None] == ids[None, :]] = -np.inf
             n = min(2 * top + 24, len(ids))
@@ -313,7 +330,7 @@ def nearest(rows: DataFrame, every: int = 20, top: int = 20) -> DataFrame:
             row = np.repeat(np.arange(len(q)), n)
             at = best.ravel()
             exact = np.einsum("rd,rd->r", q[row], v[at])  # in one order, so that equal vectors tie
-            good = q_ids[row] != ids[at]
+            good = (q_ids[row] != ids[at]) & (exact >= floor[row])
             row, at, exact = row[good], at[good], exact[good]
             order = np.lexsort((ids[at], -exact, row))
             row, at, exact = row[order], at[order], exact[order]
@@ -322,7 +339,13 @@ def nearest(rows: DataFrame, every: int = 20, top: int = 20) -> DataFrame:
             parts.append(pd.DataFrame({"query_id": q_ids[row[use]], "vec_id": ids[at[use]], "score": exact[use]}))
         return pd.concat(parts)
 
-    found = dealt.groupBy("list", "block").cogroup(asked.groupBy("list", "part")).applyInPandas(score, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
-    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    def candidates(first: bool, asking: DataFrame) -> DataFrame:
+        asked = asking.select("vec_id", "v", "floor").mapInArrow(visit(first), "list long, query_id long, q array<double>, floor double")
+        asked = asked.join(spread, "list").select("list", "part", "query_id", "q", "floor")
+        return dealt.groupBy("list", "block").cogroup(asked.groupBy("list", "part")).applyInPandas(score, "query_id long, vec_id long, score double")
+
+    any_score = F.lit(float("-inf"))
+    best = stored_copy(best_of(candidates(True, queries.withColumn("floor", any_score)), top), "best")
+    last = best.where(F.col("rank") == top).select(F.col("query_id").alias("vec_id"), F.col("score").alias("floor"))
+    others = candidates(False, queries.join(last, "vec_id", "left").withColumn("floor", F.coalesce("floor", any_score)))
+    return best_of(best.drop("rank").unionByName(others), top)

@@ -134,6 +134,32 @@ def test_few_vectors_are_exact(spark):
     assert one.count() == 0
 
 
+def test_candidates_follow_the_queries_not_the_lists(spark, monkeypatch):
+    monkeypatch.setattr(ann, "LIST", 16)
+    e = np.random.default_rng(4).normal(size=(4000, 12))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(e)], "vec_id long, embedding array<double>").repartition(4)
+    visits, rows, fit, best_of = [], [], ann.fit_ratio, ann.best_of
+
+    def fitted(graph, x, *known):
+        ratio = fit(graph, x, *known)
+        visits.append(len(graph.visits(x, ratio)[0]) / len(x))
+        return ratio
+
+    def counted(found, top):
+        rows.append(found.count() / 200)
+        return best_of(found, top)
+
+    monkeypatch.setattr(ann, "fit_ratio", fitted)
+    monkeypatch.setattr(ann, "best_of", counted)
+    got = collections.defaultdict(list)
+    for r in sorted(ann.nearest(df).collect(), key=lambda r: (r.query_id, r.rank)):
+        got[r.query_id].append(r.vec_id)
+    want = brute_nearest(np.arange(4000), e, 20, 20)
+    assert np.mean([len(set(want[q]) & set(got[q])) / 20 for q in want]) > 0.95
+    assert visits[0] > 2 * ann.VISITED_LEAST
+    assert rows[0] <= 20 * ann.VISITED_LEAST and rows[1] < 20 * 8  # before: up to 20 from each list
+
+
 def test_graph_search_finds_the_nearest_centers():
     rng = np.random.default_rng(3)
     centers, x = rng.normal(size=(400, 10)), rng.normal(size=(50, 10))
