@@ -11,27 +11,33 @@ its size many times over, so the positions that can't repeat leave first, round
    after the first with the same pair repeat all of these strings.
 3. Where one anchor has several surroundings, each string around it is ranked by the pair of
    its halves' ranks, the second at the offset LENGTH / 2, in its first document. Sorted by
-   pair, a position repeats if the least document of its pair is smaller than its own.
+   pair, a position repeats if the least document of its pair is smaller than its own. These
+   places go to their texts by a join, and strings are ranked in parts by pair, one after the
+   other, so that no part shuffles more than the size of the texts, however many strings there are.
 
-Ranks are 64-bit names made from the bytes, equal for equal strings. What passes from one
-round to the next on the driver is a bit table of fixed size, whose chance hits only cost work.
+Ranks are 64-bit names made from the bytes, equal for equal strings. What passes from the first
+round to the second on the driver is a bit table of fixed size, whose chance hits only cost work:
+one row of the second round for an anchor.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from homegrid.llm.arrow import CHUNK, _BASE, _BYTES, _INVERSE, _power, chunks, column_of, mix, text_bytes
-from homegrid.session import shuffles_dropped, stored_copy
+from homegrid.session import drop_stored, shuffles_dropped, stored_copy
 
 GRAM = 24
-#: Bits of the tables of repeated anchors and of the surroundings that need a closer look.
+#: Bits of the tables of repeated anchors and of ids with several texts.
 BITS = 1 << 27
+#: Bytes of a shuffle that a ranked string takes.
+ROW = 16
 #: Texts are read in pieces of so many bytes, which overlap by one string.
 PIECE = 1 << 20
 PLACE = 26
@@ -112,21 +118,50 @@ def has(table: np.ndarray, values: np.ndarray) -> np.ndarray:
     return (table[(spot >> np.uint64(6)).astype(np.int64)] >> (spot & np.uint64(63))) & np.uint64(1) == 1
 
 
-def place_name(ids: np.ndarray, lo: np.ndarray) -> np.ndarray:
-    return mix(ids.astype(np.int64).view(np.uint64) * np.uint64(0x9FB21C651E98DF25) + lo.astype(np.uint64))
-
-
 def version_of(text: str) -> Column:
     """A hash that tells different texts of one doc_id apart."""
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
 
+def _strings(length: int, part: int, parts: int):
+    """(pair, doc_id, version, start) of the strings at the ``spots`` of a text whose pair belongs to ``part``."""
+    half = length // 2
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, data, at in chunks(batches, "text", CHUNK // 4):
+            ids, version = (column_of(batch, c).to_numpy(zero_copy_only=False) for c in ("doc_id", "version"))
+            spots = column_of(batch, "spots")
+            row = np.repeat(np.arange(len(ids)), spots.value_lengths().to_numpy(zero_copy_only=False))
+            spot = spots.flatten().to_numpy(zero_copy_only=False)
+            first = at[row] + spot // SPREAD
+            after = first + spot % SPREAD + 1
+            for a in range(0, len(data) - length + 1, PIECE):  # more than one in a long text
+                sums = Sums(data[a : a + PIECE + length - 1])
+                here = np.flatnonzero((after > a) & (first < a + PIECE))
+                lo = np.maximum(first[here], a) - a
+                n = np.minimum(after[here], a + PIECE) - a - lo
+                s = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                pair = mix(sums.rank(s, s + half) * np.uint64(0xD1342543DE82EF95) + sums.rank(s + half, s + length))
+                r = np.repeat(row[here], n)
+                if parts > 1:
+                    mine = (pair >> np.uint64(40)) % np.uint64(parts) == part
+                    s, pair, r = s[mine], pair[mine], r[mine]
+                yield pa.RecordBatch.from_arrays([pa.array(pair.view(np.int64)), pa.array(ids[r]), pa.array(version[r]), pa.array(s + a - at[r])], ["pair", "doc_id", "version", "start"])
+
+    return run
+
+
 def repeated_spans(docs: DataFrame, length: int = 50) -> DataFrame:
     """(doc_id, version, start, end): bytes of strings of ``length`` that a document with a smaller id has too.
 
     Spans may overlap and touch. Rows without an id or with less text than ``length`` give none.
     ``version`` is 0 for an id with one text, else it tells which of its texts has the span.
     """
+    return _spans(docs, length)[0]
+
+
+def _spans(docs: DataFrame, length: int) -> tuple[DataFrame, list[DataFrame]]:
+    """What repeated_spans gives, and the stored tables that it reads."""
     if not GRAM < length <= SPREAD // 4:
         raise ValueError(f"strings of {GRAM + 1} to {SPREAD // 4} bytes")
     spark = docs.sparkSession
@@ -168,37 +203,21 @@ def repeated_spans(docs: DataFrame, length: int = 50) -> DataFrame:
     )
     told = stored_copy(told, "anchors")
     start = F.shiftright("spot", 20)
-    whole = told.where("whole").select("doc_id", "version", start.alias("start"), (start + F.col("spot") % SPREAD + length).alias("end"))
-
-    def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, lo = (column_of(batch, c).to_numpy(zero_copy_only=False) for c in ("doc_id", "start"))
-            yield pa.RecordBatch.from_arrays([pa.array(place_name(ids, lo).view(np.int64))], ["value"])
-
-    open_spots = told.where("not whole").select("doc_id", start.cast("long").alias("start")).mapInArrow(names, "value long")
-    closer = spark.sparkContext.broadcast(bit_table(open_spots))
-    half = length // 2
-
-    def third(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = closer.value
-        for ids, offset, data, at, version in pieces(batches, length, "version"):
-            sums, found = anchors(data, at, length)
-            row, lo, hi = found["row"], found["lo"], found["hi"]
-            use = has(table, place_name(ids[row], lo - at[row] + offset[row]))
-            row, lo, n = row[use], lo[use], (hi - lo + 1)[use]
-            s = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum()) if len(lo) else lo
-            r = np.repeat(row, n)
-            left, right = sums.rank(s, s + half), sums.rank(s + half, s + length)
-            pair = mix(left * np.uint64(0xD1342543DE82EF95) + right)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(pair.view(np.int64)), pa.array(ids[r]), pa.array(told_apart(ids[r], version[r])), pa.array(s - at[r] + offset[r])], ["pair", "doc_id", "version", "start"]
-            )
-
-    strings = texts.mapInArrow(third, "pair long, doc_id long, version long, start long")
-    again = strings.withColumn("least", F.min("doc_id").over(Window.partitionBy("pair"))).where("doc_id > least")
-    return whole.select("doc_id", "version", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end")).unionByName(
-        again.select("doc_id", "version", "start", (F.col("start") + length).alias("end"))
-    )
+    whole = told.where("whole").select("doc_id", "version", start.cast("long").alias("start"), (start + F.col("spot") % SPREAD + length).cast("long").alias("end"))
+    spots = told.where("not whole").groupBy(F.col("doc_id").alias("_id"), F.col("version").alias("_version")).agg(F.collect_set("spot").alias("spots"))
+    of_text = (F.col("doc_id") == F.col("_id")) & ((F.col("_version") == 0) | (F.col("_version") == F.col("version")))
+    around = stored_copy(texts.join(spots, of_text).select("doc_id", F.col("_version").alias("version"), "text", F.octet_length("text").alias("size"), "spots"), "around")
+    n_bytes = around.agg(F.sum("size")).first()[0] or 1
+    n_strings = told.where("not whole").agg(F.sum(F.col("spot") % SPREAD + 1)).first()[0] or 0
+    parts = max(1, -(-ROW * n_strings // n_bytes))
+    found = []
+    for part in range(parts):
+        strings = around.mapInArrow(_strings(length, part, parts), "pair long, doc_id long, version long, start long")
+        again = strings.withColumn("least", F.min("doc_id").over(Window.partitionBy("pair"))).where("doc_id > least")
+        found.append(stored_copy(again.select("doc_id", "version", "start"), "again"))
+    drop_stored(around)
+    spans = [whole, *(again.select("doc_id", "version", "start", (F.col("start") + length).alias("end")) for again in found)]
+    return reduce(DataFrame.unionByName, spans), [told, *found]
 
 
 def merged(spans: np.ndarray) -> np.ndarray:
@@ -211,8 +230,10 @@ def merged(spans: np.ndarray) -> np.ndarray:
 
 
 def _with_spans(docs: DataFrame, length: int) -> DataFrame:
-    packed = repeated_spans(docs, length).select("doc_id", "version", (F.col("start") * SPREAD + F.col("end") - F.col("start")).alias("span"))
-    spans = packed.groupBy("doc_id", "version").agg(F.collect_list("span").alias("_spans")).withColumnsRenamed({"doc_id": "_id", "version": "_version"})
+    found, stored = _spans(docs, length)
+    packed = found.select("doc_id", "version", (F.col("start") * SPREAD + F.col("end") - F.col("start")).alias("span"))
+    spans = stored_copy(packed.groupBy("doc_id", "version").agg(F.collect_list("span").alias("_spans")).withColumnsRenamed({"doc_id": "_id", "version": "_version"}), "spans")
+    drop_stored(*stored)
     mine = (docs["doc_id"].cast("long") == spans["_id"]) & ((spans["_version"] == 0) | (spans["_version"] == version_of("text")))
     return docs.join(spans, mine, "left").drop("_id", "_version")
 

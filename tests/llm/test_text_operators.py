@@ -351,6 +351,32 @@ def test_repeats_of_other_lengths(spark, documents, length):
             suffix.repeated_spans(documents(rows), wrong)
 
 
+def test_strings_are_ranked_in_parts_of_the_size_of_the_texts(spark, documents, monkeypatch):
+    stored, ranked, store = [], [], suffix.stored_copy
+
+    def kept(df, purpose):
+        stored.append(purpose)
+        if purpose == "around":
+            spots = df.selectExpr("explode(spots) as spot").selectExpr("sum(spot % (1 << 20) + 1)")
+            ranked.append(spots.first()[0])
+        return store(df, purpose)
+
+    monkeypatch.setattr(suffix, "stored_copy", kept)
+    monkeypatch.setattr(suffix, "bit_table", lambda values: np.full(suffix.BITS // 64, 2**64 - 1, np.uint64))  # full, as with many rows
+    monkeypatch.setattr(suffix, "ROW", 1 << 8, raising=False)
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    shared = [" ".join(word() for _ in range(n)) for n in (4, 5, 7, 9, 20)]
+    rows = [(i, " ".join(rng.choice(shared) if rng.random() < 0.1 else word() for _ in range(rng.randrange(1, 120)))) for i in range(60)]
+    rows += [(60, "x" * 300), (61, rows[3][1]), (61, rows[3][1]), (62, None), (None, rows[4][1])]
+    got = {r.doc_id: tuple(r) for r in suffix.span_digests(documents(rows), 50).collect()}
+    want = brute_repeats({d: t for d, t in rows if d is not None}.items(), 50)
+    assert {d: r for d, r in got.items() if d is not None} == want
+    total = sum(len((t or "").encode()) for _, t in rows)
+    assert stored.count("again") > 2  # before: the strings of all places went through one shuffle,
+    assert 0 < ranked[0] < total / 2  # and with a full table those of nearly all places of the texts
+
+
 def test_long_texts_are_read_in_pieces(spark, documents, monkeypatch):
     rng = random.Random(6)
     text = "".join(rng.choice("abcdefgh ") for _ in range(9000))
