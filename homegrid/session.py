@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -100,3 +101,13 @@ def drop_stored(*copies: DataFrame) -> None:
         spark = copy.sparkSession
         path = spark._jvm.org.apache.hadoop.fs.Path(copy.stored_at)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Collects the driver's garbage, so that broadcasts and plans of ended queries leave its memory.
+
+    Spark drops them only when the driver's JVM collects those objects, for which the JVM takes
+    its time while its heap may still grow. For long series of queries, between their rounds.
+    """
+    gc.collect()
+    spark._jvm.System.gc()

@@ -242,6 +242,28 @@ def test_postings_of_pivots_only(spark):
     assert [tuple(r) for r in jaccard._postings(rest, 90, table).collect() if r.node == 1] == [(1, 10, 1, 6)]
 
 
+def test_tables_of_pivots_stay_small_on_the_driver(spark, documents, monkeypatch):
+    sizes, parts, bits, store = [], [], jaccard._bits, jaccard.stored_copy
+
+    def table(values, *n):
+        sizes.extend(n)
+        return bits(values, *n)
+
+    def stored(df, purpose):
+        parts.append(purpose)
+        return store(df, purpose)
+
+    monkeypatch.setattr(jaccard, "_bits", table)
+    monkeypatch.setattr(jaccard, "stored_copy", stored)
+    monkeypatch.setattr(jaccard, "RATES", (2, 1))
+    monkeypatch.setattr(jaccard, "SPARSE", 1 << 12)
+    monkeypatch.setattr(jaccard, "WIDEST", 1 << 17)
+    rows = near_copies(5, 40)
+    got = {r.doc_id: tuple(r) for r in jaccard.jaccard_join(documents(rows)).collect()}
+    assert got == brute_links(rows, 90, 3)
+    assert parts.count("met") > 2 and max(sizes) <= 1 << 17  # before: one table, and so its fill, however many postings
+
+
 def test_shared_bits_put_shared_shingles_last():
     data = np.frombuffer(b"a b c d e", np.uint8)
     (s,) = jaccard.shingle_sets(data, np.array([0, len(data)]))
